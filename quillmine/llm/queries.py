@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quillmine.llm.quality import op8_quality_nbsvm
+from quillmine.llm.sharding import op9_sampled_splitters
+from quillmine.llm.simhash import op5_simhash_near_dedup
+from quillmine.llm.warc import OP10_SQL, op10_warc_zstd
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_quality_nbsvm,)
+    f.__name__: f for f in (op5_simhash_near_dedup, op8_quality_nbsvm, op9_sampled_splitters, op10_warc_zstd)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_warc_zstd": OP10_SQL}
