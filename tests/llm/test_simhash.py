@@ -28,7 +28,7 @@ def brute_components(ids, fps, radius=2):
                 root[max(top(i), top(j))] = min(top(i), top(j))
     low = {}
     for i in range(len(fps)):
-        low[top(i)] = min(low.get(top(i), 1 << 60), ids[i])
+        low[top(i)] = min(low.get(top(i), 1 << 64), ids[i])
     return [low[top(i)] for i in range(len(fps))]
 
 
