@@ -50,12 +50,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/quillmine/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:
     """Write a frame to the shared folder and read it again: it is computed once, its lineage is cut,
-    and a lost executor costs no more than the tasks that it ran."""
+    and a lost executor costs no more than the tasks that it ran.  Ids and hashes hardly compress;
+    frames with texts should name a codec."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
