@@ -76,12 +76,9 @@ def map_arrow(df: DataFrame, schema: str, f: Callable[[dict[str, pa.Array]], dic
     return df.mapInArrow(run, schema)
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def lower_ascii(column: Column) -> Column:
-    """A-Z to a-z and nothing else, inside generated code.
-
-    Where all characters are ASCII, lower() does it; elsewhere one replace() a letter, which is
-    a plain byte search, and much faster than translate()."""
-    plain = column
-    for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ":
-        plain = F.replace(plain, F.lit(c), F.lit(c.lower()))
-    return F.when(F.octet_length(column) == F.char_length(column), F.lower(column)).otherwise(plain)
+    """A-Z to a-z and nothing else."""
+    return F.translate(column, UPPER, LOWER)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillmine.llm.decontaminate import OP3_SQL, op3_benchmark_decontamination
 from quillmine.llm.langid import op1_language_rank_order
 from quillmine.llm.quality import op8_quality_nbsvm
 from quillmine.llm.sharding import op9_sampled_splitters
@@ -14,7 +15,7 @@ from quillmine.llm.vptree import op4_vantage_point_ann
 from quillmine.llm.warc import OP10_SQL, op10_warc_zstd
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_rank_order, op4_vantage_point_ann, op5_simhash_near_dedup, op8_quality_nbsvm, op9_sampled_splitters, op10_warc_zstd)
+    f.__name__: f for f in (op1_language_rank_order, op3_benchmark_decontamination, op4_vantage_point_ann, op5_simhash_near_dedup, op8_quality_nbsvm, op9_sampled_splitters, op10_warc_zstd)
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_warc_zstd": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_benchmark_decontamination": OP3_SQL, "op10_warc_zstd": OP10_SQL}
