@@ -1,11 +1,16 @@
 """Benchmark decontamination by a prefix-filtered set join, in DataFrame operations only.
 
-An item is cut into windows.  A window occurs in a document where all its shingles do, in place, so of
-its shingles any one is a sufficient prefix for the join: the one that is rarest among the documents.
+An item is cut into windows.  A window occurs in a document where all its shingles do, in place, so any
+one of its shingles is a sufficient prefix for the join.  Shingles are ordered by how many occurrences
+their rarest word has among all documents, which bounds their own; each window is joined by its first
+shingle in that order, at that word; then come the bounds of length and position, the shingle's hash
+and the window itself, word by word.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +18,8 @@ from quillmine.llm.common import LOWER, UPPER, lower_ascii, pick, settle
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # in a text that isn't lower-cased
-MOST = 1_000_000  # shingle hashes broadcast at a time, 8 bytes each
+WORDS = 1_000_000  # word hashes broadcast at a time, 8 bytes each
+WINDOWS = 50_000  # windows broadcast at a time
 
 
 def words(text: Column) -> Column:
@@ -26,11 +32,6 @@ def _positions(count: Column) -> Column:
     return F.when(count >= 1, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
 
 
-def _shingles(listed: Column, size: int) -> Column:
-    """Hash and place (from 1) of each run of ``size`` words."""
-    return F.transform(_positions(F.size(listed) - size + 1), lambda i: F.struct(F.xxhash64(F.lit(size), F.slice(listed, i, size)).alias("h"), i.alias("at")))
-
-
 def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 5) -> DataFrame:
     """(id, n_words, n_hit, n_items, items): one row for each row of ``documents``.
 
@@ -38,48 +39,43 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     n_hit counts the document's words inside any occurrence of a window, n_items the items of which a
     window occurs, and items is the sorted array of their ids as strings.  Null texts have no words;
     a null item id counts among hits, not among items.  Rows with equal id and text are judged alike.
-    Whole texts are read; each document word is hashed with its neighbours inside the scan, and only
-    hits of benchmark shingles, with the few words around them, are written and joined further.
+    Whole texts are read, once to count the benchmark's words and once to find its windows, and are
+    never shuffled; larger benchmarks are gone through in several passes of bounded size.
     """
     items = pick(benchmark, item=item_col, text=item_text_col).select("item", words(F.col("text")).alias("w"))
     length = F.least(F.size("w"), F.lit(window))
     cut = items.where(F.size("w") > 0).select("item", F.explode(F.transform(_positions(F.size("w") - length + 1), lambda i: F.slice("w", i, length))).alias("window"))
     cut = settle(cut.distinct(), "windows-of-items")
     windows = settle(cut.select("window").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
-    sizes = [r[0] for r in windows.select(F.least(F.size("window"), F.lit(shingle))).distinct().orderBy(F.lit(1)).collect()]  # at most ``shingle`` numbers
-    parts = [windows.where(F.least(F.size("window"), F.lit(shingle)) == s).select("wid", "window", F.lit(s).alias("s"), F.inline(_shingles(F.col("window"), s))) for s in sizes]
     docs = pick(documents, id=id_col, text=text_col).withColumn("th", F.xxhash64("text"))
     id_type = docs.schema["id"].dataType.simpleString()
-    if not parts:
-        return docs.select("id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), *[F.lit(0).cast("long").alias(c) for c in ("n_hit", "n_items")], F.array().cast("array<string>").alias("items")).fillna(0, "n_words")
-    tokens = parts[0]
-    for p in parts[1:]:
-        tokens = tokens.union(p)
-    tokens = settle(tokens, "window-shingles")
-
-    # All occurrences of the benchmark's shingles, each with the words that any of its windows would span.
-    hashes = settle(tokens.select("h", "s").distinct(), "shingles")
-    of = docs.select("id", "th", words(F.col("text")).alias("w"))
-    found = None
-    passes = -(-hashes.count() // MOST)
-    for s in sizes:
-        spread = of.select("id", "th", "w", F.inline(_shingles(F.col("w"), s)))
-        for k in range(passes):
-            some = hashes.where(F.col("s") == s).select("h").where(F.pmod("h", F.lit(passes)) == k)
-            hits = spread.join(F.broadcast(some), "h")
-            start = F.greatest(F.lit(1), F.col("at") - window + s)
-            hits = hits.select("id", "th", "h", "at", F.size("w").alias("n"), start.alias("from"), F.slice("w", start, F.col("at") + window - start).alias("around"))
-            found = hits if found is None else found.union(hits)
-    found = settle(found.distinct(), "shingle-hits", "snappy")
-
-    # Each window's rarest shingle (ties: smaller hash); one that no document has can't occur.
-    counted = found.groupBy("h").agg(F.count("*").alias("df"))
-    rare = tokens.join(counted, "h", "left").groupBy("wid").agg(F.min_by(F.struct("h", "at", "window"), F.struct(F.coalesce("df", F.lit(0)), "h", "at")).alias("t"), F.min(F.coalesce("df", F.lit(0))).alias("df"))
-    prefix = settle(rare.where("df > 0").select("wid", "t.h", F.col("t.at").alias("off"), "t.window"), "window-prefixes")
-    begins, size = F.col("at") - F.col("off") + 1, F.size("window")
-    tried = found.join(prefix, "h").withColumn("begins", begins).where((begins >= F.col("from")) & (begins + size - 1 <= F.col("n")))
-    held = tried.where(F.slice("around", F.col("begins") - F.col("from") + 1, size) == F.col("window"))
-    held = settle(held.select("id", "th", "wid", "begins", (F.col("begins") + size).alias("ends")).distinct(), "window-hits")
+    split = docs.select("id", "th", words(F.col("text")).alias("w"))
+
+    # How often each of the benchmark's words occurs in all documents.
+    inside = settle(windows.select("wid", "window", F.posexplode("window").alias("off", "word")).withColumn("key", F.xxhash64("word")), "window-words")
+    known = settle(inside.select("key").distinct(), "benchmark-words")
+    occurring = split.select(F.explode("w").alias("word")).select(F.xxhash64("word").alias("key"))
+    passes = max(1, -(-known.count() // WORDS))
+    counted = reduce(DataFrame.union, [occurring.join(F.broadcast(known.where(F.pmod("key", F.lit(passes)) == k)), "key") for k in range(passes)])
+    counted = settle(counted.groupBy("key").agg(F.count("*").alias("n")), "word-counts")
+
+    # Each window's first shingle, at its rarest word (ties: smaller hash, then place); a window with a
+    # word that no document has can't occur.
+    first = inside.join(counted, "key", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "off")).alias("f"), F.first("window").alias("window"))
+    size, run = F.size("window"), F.least(F.size("window"), F.lit(shingle))
+    first = first.where("f.n > 0").select("wid", "window", "f.key", "f.off", F.least(F.col("f.off"), size - run).alias("lead"), run.alias("run"))
+    prefix = settle(first.withColumn("h", F.xxhash64(F.slice("window", F.col("lead") + 1, F.col("run")))).withColumn("nth", F.monotonically_increasing_id() % 1_000_003), "window-prefixes")
+    at = split.select("id", "th", "w", F.posexplode("w").alias("at", "word")).withColumn("key", F.xxhash64("word"))
+    begins = F.col("at") - F.col("off")  # from 0
+    bounds = (begins >= 0) & (begins + size <= F.size("w"))
+    place = F.greatest(begins, F.lit(0))
+    agrees = (F.xxhash64(F.slice("w", place + F.col("lead") + 1, F.col("run"))) == F.col("h")) & (F.slice("w", place + 1, size) == F.col("window"))
+    passes = max(1, -(-prefix.count() // WINDOWS))
+    held = []
+    for k in range(passes):
+        some = prefix.where(F.pmod("nth", F.lit(passes)) == k).withColumnRenamed("key", "of")
+        held.append(at.join(F.broadcast(some), (F.col("key") == F.col("of")) & bounds & agrees).select("id", "th", "wid", begins.alias("begins"), (begins + size).alias("ends")))
+    held = settle(reduce(DataFrame.union, held).distinct(), "window-hits")
 
     by = Window.partitionBy("id", "th").orderBy("begins", "ends")
     before = F.coalesce(F.max("ends").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

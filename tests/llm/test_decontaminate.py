@@ -31,7 +31,8 @@ def brute(doc, items, window=10):
 
 
 def test_cases_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(D, "MOST", 20)  # several passes
+    monkeypatch.setattr(D, "WORDS", 20)
+    monkeypatch.setattr(D, "WINDOWS", 3)  # several passes
     ten = "one two three four five six seven eight nine ten"
     items = [(1, ten + " eleven twelve"), (2, "ab ab ab ab ab ab ab ab ab ab ab"), (10, "Lone"), (3, "tiny item here"), (4, None), (5, ""), (6, "!!"), (7, ten + " eleven twelve"), (None, "É accent word"), (7, ten + " eleven twelve")]
     docs = [(1, f"x {ten.upper()}, y"), (2, ten.replace("ten", "tenn")), (3, "ab " * 25), (4, "a tiny item, here; and tiny item."), (5, None), (6, ""), (7, "lone " * 5 + "\x00lone"), (8, "é accent word É accent word"), (9, ten + " eleven twelve " + ten), (9, ten), (9, ten), (None, "lone"), (11, "four five six seven eight " * 300)]
