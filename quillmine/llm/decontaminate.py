@@ -33,7 +33,7 @@ def _positions(count: Column) -> Column:
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 5) -> DataFrame:
-    """(id, n_words, n_hit, n_items, items): one row for each row of ``documents``.
+    """(id, text_hash, n_words, n_hit, n_items, items): one row for each row of ``documents``.
 
     Windows are the runs of ``window`` words of an item, or all its words if there are fewer but some.
     n_hit counts the document's words inside any occurrence of a window, n_items the items of which a
@@ -86,7 +86,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     count = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     out = docs.select("id", "th", count.alias("n_words")).join(result, F.col("id").eqNullSafe(F.col("rid")) & (F.col("th") == F.col("rth")), "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select(F.col("id").cast(id_type).alias("id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"))
+    return out.select(F.col("id").cast(id_type).alias("id"), F.col("th").alias("text_hash"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"))
+
+
+def remove_contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows and columns of ``documents`` whose texts hold no window of the benchmark."""
+    bad = contamination(documents, benchmark, id_col, text_col, **options).where("n_hit > 0")
+    key = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
+    bad = settle(bad.select(key(F.col("id")).alias("k"), F.col("text_hash").alias("h")).distinct(), "contaminated")
+    names = documents.columns
+    rows = documents.toDF(*[f"_{i}" for i in range(len(names))])
+    rows = rows.withColumn("k", key(F.col(f"_{names.index(id_col)}"))).withColumn("h", F.xxhash64(f"_{names.index(text_col)}"))
+    return rows.join(bad, ["k", "h"], "left_anti").select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
 
 
 def op3_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

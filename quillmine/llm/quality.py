@@ -7,6 +7,8 @@ probabilities by a logistic curve fitted on margins of rows left out of the fit.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -158,20 +160,26 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column | None = None,
     return np.frombuffer(got.model, np.float32).reshape(2, -1), got.slope, got.offset
 
 
-def score(documents: DataFrame, model: tuple[np.ndarray, float, float], id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """(id, score): the probability of label 1 for every whole text, one row for each row of the input.
-
-    Null and empty texts set no indicator and get the score of the offset alone.
-    """
-    tune(documents.sparkSession)
+def _judge(model: tuple[np.ndarray, float, float]) -> Callable[[str | None], float]:
     (r, w), slope, offset = model
 
-    def one(text):
+    def one(text: str | None) -> float:
         ids = features(text)
         v = r[ids].astype(np.float64)
         m = w[ids] @ v / (np.sqrt(v @ v) or 1.0)
         return float(1 / (1 + np.exp(-np.clip(slope * m + offset, -700, 700))))
 
+    return one
+
+
+def score(documents: DataFrame, model: tuple[np.ndarray, float, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score): the probability of label 1 for every whole text, one row for each row of the input.
+
+    Null and empty texts set no indicator and get the score of the offset alone.
+    """
+    tune(documents.sparkSession)
+    one = _judge(model)
+
     def run(batch):
         return {"id": batch["id"], "score": pa.array([one(t) for t in batch["text"].to_pylist()], pa.float64())}
 
@@ -179,6 +187,21 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float, float], id_col:
     return map_arrow(rows, f"id {rows.schema['id'].dataType.simpleString()}, score double", run)
 
 
+def keep_good(documents: DataFrame, model: tuple[np.ndarray, float, float], threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``documents`` whose score reaches the threshold; texts aren't shuffled."""
+    tune(documents.sparkSession)
+    judge, names = _judge(model), documents.columns
+    at = names.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            good = [judge(t) >= threshold for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    rows = documents.toDF(*[f"_{i}" for i in range(len(names))])
+    return rows.mapInArrow(run, rows.schema).toDF(*names)
+
+
 def op8_quality_nbsvm(spark, sf_dir: str) -> DataFrame:
     documents, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = train(documents, labels, ~crc_mod(F.col("id"), 5, 0))

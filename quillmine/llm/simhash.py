@@ -13,7 +13,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmine.llm.common import map_arrow, pick, settle, tune
@@ -48,12 +48,21 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id, fp): one row for each row of the input; fp holds the 64 bits as a signed long."""
     tune(documents.sparkSession)
     rows = pick(documents, id=id_col, text=text_col)
+    return _fingerprints(rows, width, seed).select("id", "fp")
+
+
+def _fingerprints(rows: DataFrame, width: int, seed: int) -> DataFrame:
+    """The rows with fp, and with a hash of the text in the text's place."""
+    others = [c for c in rows.columns if c != "text"]
+    rows = rows.select(*others, F.xxhash64("text").alias("text_hash"), "text")
 
     def run(batch):
         texts = batch["text"].cast(pa.binary()).to_pylist()
-        return {"id": batch["id"], "fp": pa.array(np.array([fingerprint(t, width, seed) for t in texts], np.uint64).view(np.int64))}
+        fp = np.array([fingerprint(t, width, seed) for t in texts], np.uint64).view(np.int64)
+        return {c: batch[c] for c in [*others, "text_hash"]} | {"fp": pa.array(fp)}
 
-    return map_arrow(rows, f"id {rows.schema['id'].dataType.simpleString()}, fp long", run)
+    kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in others]
+    return map_arrow(rows, ", ".join([*kinds, "text_hash long", "fp long"]), run)
 
 
 def _ball(bits: int, radius: int) -> list[int]:
@@ -110,15 +119,45 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     share fingerprint zero and are linked like any other.  Null ids are kept, and are a component's
     name only where it has no other.  An empty table gives an empty result.
     """
-    rows = settle(fingerprints(documents, id_col, text_col, width, seed), "simhash-rows")
+    tune(documents.sparkSession)
+    rows = settle(_fingerprints(pick(documents, id=id_col, text=text_col), width, seed), "simhash-rows")
     nodes = settle(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    found = components(links(nodes.select("fp"), radius), "simhash-links")
-    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(nodes, radius)
     names = rooted.groupBy("root").agg(F.min("least").alias("component"))
     named = settle(rooted.join(names, "root").select("fp", "component"), "simhash-named")
     return rows.join(named, "fp").select("id", "fp", "component")
 
 
+def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """The distinct fingerprints with the root of their component, which is one of its fingerprints."""
+    found = components(links(nodes.select("fp"), radius), "simhash-links")
+    return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, radius: int = 2) -> DataFrame:
+    """The rows and columns of ``documents`` with one row of each component, that of its smallest id.
+
+    Null ids come last; of rows with one id the smallest hash of the text stays, and of rows with one
+    id and text any.  Only ids and hashes are worked on; texts are shuffled once, for the last join.
+    """
+    tune(documents.sparkSession)
+    spread = _fingerprints(pick(documents, id=id_col, text=text_col), width, seed).select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "fp")
+    nodes = settle(spread.groupBy("fp").agg(F.min("row").alias("row")), "simhash-nodes")
+    stay = settle(_rooted(nodes, radius).groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "simhash-stay")
+    return keep_rows(documents, stay, id_col, text_col)
+
+
+def keep_rows(documents: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of ``documents`` for each (id, text_hash) of ``stay``."""
+    key = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
+    names = documents.columns
+    rows = documents.toDF(*[f"_{i}" for i in range(len(names))])
+    rows = rows.withColumn("k", key(F.col(f"_{names.index(id_col)}"))).withColumn("h", F.xxhash64(f"_{names.index(text_col)}"))
+    stay = stay.select(key(F.col("id")).alias("k"), F.col("text_hash").alias("h"))
+    found = rows.join(stay, ["k", "h"]).withColumn("n", F.row_number().over(Window.partitionBy("k", "h").orderBy("k")))
+    return found.where("n = 1").select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
+
+
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=3)
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
