@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from quillmine.llm.common import LOWER, UPPER, lower_ascii, pick, settle
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # in a text that isn't lower-cased
 WORDS = 1_000_000  # word hashes broadcast at a time, 8 bytes each
 WINDOWS = 50_000  # windows broadcast at a time
 
@@ -83,8 +82,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     named = held.select("id", "th", "wid").distinct().join(windows.join(cut, "window").select("wid", "item"), "wid")
     named = named.groupBy("id", "th").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
     result = covered.join(named, (covered.id.eqNullSafe(named.id)) & (covered.th == named.th), "left").select(covered.id.alias("rid"), covered.th.alias("rth"), "n_hit", "items")
-    count = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    out = docs.select("id", "th", count.alias("n_words")).join(result, F.col("id").eqNullSafe(F.col("rid")) & (F.col("th") == F.col("rth")), "left")
+    out = split.select("id", "th", F.size("w").cast("long").alias("n_words")).join(result, F.col("id").eqNullSafe(F.col("rid")) & (F.col("th") == F.col("rth")), "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(F.col("id").cast(id_type).alias("id"), F.col("th").alias("text_hash"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"))
 
