@@ -97,23 +97,20 @@ def extract(papers: DataFrame, store: Store, run_id: str, fields: list[Field], c
             yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in made], to_arrow_type(f.dataType)) for f in types], types.names)
 
     spent = lambda: store.all().where((F.col("schema_name") == name) & (F.col("run_id") == run_id)).agg(F.coalesce(F.sum("cost_usd"), F.lit(0.0))).first()[0]
-    cap, tried = config["max_cost_usd"], None
+    cap, last = config["max_cost_usd"], None
     while True:
         left = pending(gate(papers, config["filter_column"]), store.all(), name, run_id)
-        if tried is not None:
-            left = left.join(tried, "pmid", "left_anti")
-        wave = left.orderBy("pmid").limit(config["wave"])
-        asked = prompts(wave, config).repartition(max(1, spark.sparkContext.defaultParallelism)).persist()
-        if not asked.count():
-            asked.unpersist()
+        if last is not None:  # waves go by key, so a failure isn't tried again in the same call
+            left = left.where(F.col("pmid") > last)
+        keys = [(r.pmid,) for r in left.select("pmid").orderBy("pmid").limit(config["wave"]).collect()]  # a wave's keys, whose number is a parameter
+        if not keys:
             break
-        if cap is not None and spent() >= cap:
-            asked.unpersist()
-            raise CostCapExceeded(f"{spent():.4f} of {cap} spent")
-        keys = asked.select("pmid")
-        store.write(asked.mapInArrow(run, types))
-        tried = spark.createDataFrame(keys.toPandas()) if tried is None else tried.union(spark.createDataFrame(keys.toPandas()))  # a wave's keys, whose number is a parameter
-        asked.unpersist()
+        if cap is not None and (cost := spent()) >= cap:
+            raise CostCapExceeded(f"{cost:.4f} of {cap} spent")
+        wave = spark.createDataFrame(keys, "pmid string")
+        asked = prompts(papers.join(F.broadcast(wave), "pmid", "left_semi"), config)
+        store.write(asked.repartition(max(1, spark.sparkContext.defaultParallelism), "pmid").mapInArrow(run, types))
+        last = keys[-1][0]
     n, bad = store.all().where((F.col("schema_name") == name) & (F.col("run_id") == run_id)).agg(F.count("*"), F.count_if(F.col("error_label").isNotNull())).first()
     if n and bad / n > config["max_error_rate"]:
         raise ErrorRateExceeded(f"{bad} of {n} extractions failed")
