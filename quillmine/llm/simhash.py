@@ -8,6 +8,7 @@ segments' tables with small Hamming balls, and complete distances are verified o
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -20,28 +21,36 @@ from quillmine.llm.common import map_arrow, pick, settle, tune
 from quillmine.llm.components import components
 
 
-def fingerprint(raw: bytes | None, width: int = 5, seed: int = 42) -> int:
-    """The SimHash of a text's word shingles as an unsigned 64-bit number.
+def shingle_hashes(raw: bytes | None, width: int = 5, seed: int = 42) -> np.ndarray:
+    """XXH64 of a text's word shingles, repeats included, as unsigned 64-bit numbers.
 
-    A-Z are lower-cased; words are runs without ASCII white space; shingles keep repeats.  A bit is
-    1 if it is set in over half of the shingles' XXH64.  Fewer words than a shingle make one of them
-    all; no words, or a null text, make fingerprint zero.
+    A-Z are lower-cased; words are runs without ASCII white space.  Fewer words than a shingle make one
+    of them all; no words, or a null text, make none.
     """
     words = (raw or b"").lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     of, n = xxhash.xxh64_intdigest, max(1, len(words) - width + 1)
     if n == 1:
-        return of(joined, seed)
+        return np.array([of(joined, seed)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = [0, *(ends[: n - 1] + 1).tolist()]
-    h = np.fromiter((of(joined[s:e], seed) for s, e in zip(starts, ends[width - 1 :].tolist(), strict=True)), np.uint64, n)
+    return np.fromiter((of(joined[s:e], seed) for s, e in zip(starts, ends[width - 1 :].tolist(), strict=True)), np.uint64, n)
+
+
+def simhash(h: np.ndarray) -> int:
+    """The number of which a bit is 1 if it is set in over half of the hashes; zero if there are none."""
     counts = np.zeros(64, np.int64)
-    for k in range(0, n, 8192):
+    for k in range(0, len(h), 8192):
         block = np.ascontiguousarray(h[k : k + 8192].astype("<u8")).view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(block, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(raw: bytes | None, width: int = 5, seed: int = 42) -> int:
+    """The SimHash of a text's word shingles as an unsigned 64-bit number."""
+    return simhash(shingle_hashes(raw, width, seed))
 
 
 def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42) -> DataFrame:
@@ -51,18 +60,27 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     return _fingerprints(rows, width, seed).select("id", "fp")
 
 
-def _fingerprints(rows: DataFrame, width: int, seed: int) -> DataFrame:
-    """The rows with fp, and with a hash of the text in the text's place."""
+def _fingerprints(rows: DataFrame, width: int, seed: int, twice: bool = False) -> DataFrame:
+    """The rows with fp, and with a hash of the text in the text's place; ``twice``: with 64 bits more, fq,
+    of the same shingles' hashes once more hashed."""
     others = [c for c in rows.columns if c != "text"]
     rows = rows.select(*others, F.xxhash64("text").alias("text_hash"), "text")
 
     def run(batch):
-        texts = batch["text"].cast(pa.binary()).to_pylist()
-        fp = np.array([fingerprint(t, width, seed) for t in texts], np.uint64).view(np.int64)
-        return {c: batch[c] for c in [*others, "text_hash"]} | {"fp": pa.array(fp)}
+        hashes = [shingle_hashes(t, width, seed) for t in batch["text"].cast(pa.binary()).to_pylist()]
+        column = lambda change: pa.array(np.array([simhash(change(h)) for h in hashes], np.uint64).view(np.int64))
+        made = {c: batch[c] for c in [*others, "text_hash"]} | {"fp": column(lambda h: h)}
+        return made | ({"fq": column(_rehash)} if twice else {})
 
     kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in others]
-    return map_arrow(rows, ", ".join([*kinds, "text_hash long", "fp long"]), run)
+    return map_arrow(rows, ", ".join([*kinds, "text_hash long", "fp long", *["fq long"] * twice]), run)
+
+
+def _rehash(h: np.ndarray) -> np.ndarray:
+    """SplitMix64's finish, which leaves no two hashes equal that differ."""
+    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(31)
 
 
 def _ball(bits: int, radius: int) -> list[int]:
@@ -134,19 +152,110 @@ def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
-def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, radius: int = 2) -> DataFrame:
-    """The rows and columns of ``documents`` with one row of each component, that of its smallest id.
+def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, distance: int = 28, bucket: int = 256) -> DataFrame:
+    """The rows and columns of ``documents`` with one row of each group of similar ones, that of its smallest id.
 
-    Null ids come last; of rows with one id the smallest hash of the text stays, and of rows with one
-    id and text any.  Only ids and hashes are worked on; texts are shuffled once, for the last join.
+    Two texts are linked if their sets of word shingles have a Jaccard similarity of ``similarity`` or
+    more, and groups are what links connect; equal texts are linked whatever they hold.  Candidates come
+    from ``candidates`` below, so pairs that are barely similar enough can be missed, but texts that are
+    not similar enough are never linked.  Null ids come last; of rows with one id the smallest hash of
+    the text stays, and of rows with one id and text any.  Texts are shuffled once, for the last join;
+    besides, only those of candidates are read again for their shingles.
     """
     tune(documents.sparkSession)
-    spread = _fingerprints(pick(documents, id=id_col, text=text_col), width, seed).select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "fp")
-    nodes = settle(spread.groupBy("fp").agg(F.min("row").alias("row")), "simhash-nodes")
-    stay = settle(_rooted(nodes, radius).groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "simhash-stay")
+    spread = _fingerprints(pick(documents, id=id_col, text=text_col), width, seed, twice=True)
+    spread = spread.select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "text_hash", "fp", "fq")
+    nodes = settle(spread.groupBy("text_hash", "fp", "fq").agg(F.min("row").alias("row")), "similar-nodes")
+    plain = nodes.select(F.col("text_hash").alias("node"), "fp", "fq")
+
+    texts = pick(documents, text=text_col).withColumn("node", F.xxhash64("text"))
+
+    def sets(pairs: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes in the pairs."""
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        found = texts.join(wanted, "node", "left_semi").select("node", "text")
+
+        def run(batch):
+            held = [np.unique(shingle_hashes(t, width, seed)).tobytes() for t in batch["text"].cast(pa.binary()).to_pylist()]
+            return {"node": batch["node"], "shingles": pa.array(held, pa.binary())}
+
+        return map_arrow(found, "node long, shingles binary", run).groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The pairs whose shingles are similar enough, exactly."""
+        held = settle(sets(pairs), "similar-shingles")
+        joined = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+
+        def run(batch):
+            good = []
+            for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(x.tobytes() == y.tobytes() or both >= similarity * (len(x) + len(y) - both))
+            return {"a": batch["a"], "b": batch["b"], "good": pa.array(good, pa.bool_())}
+
+        return settle(map_arrow(joined.select("a", "b", "x", "y"), "a long, b long, good boolean", run).where("good").select("a", "b"), "similar-links")
+
+    found = candidates(plain, similar, distance, bucket)
+    group = nodes.join(found, nodes.text_hash == found.node, "left").select("row", F.coalesce("root", nodes.text_hash).alias("root"))
+    stay = settle(group.groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "similar-stay")
     return keep_rows(documents, stay, id_col, text_col)
 
 
+def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], distance: int, bucket: int, segments: tuple[int, ...] = (21, 21, 22)) -> DataFrame:
+    """(node, root) of the components that verified candidate pairs make.
+
+    Fingerprints have 128 bits, fp and fq, in three segments each.  A segment's table lists them under all
+    values within one bit of their own, so two meet where the segment differs in at most two bits; every
+    pair within 17 bits meets, and nearly all do that differ in some more.  Of these, pairs within
+    ``distance`` bits in all are verified.
+
+    A value under which more than ``bucket`` fingerprints stand (beyond what chance brings) would give
+    the square of their number.  There, first each fingerprint is tried with the smallest that it
+    meets; then those outside the value's largest component so far are tried with all; only pairs
+    that one component holds already are left out, so the components are the same as of all pairs.
+    """
+    spots = []
+    for half in ("fp", "fq"):
+        shift = 0
+        for bits in segments:
+            part = F.shiftrightunsigned(half, shift).bitwiseAND(F.lit((1 << bits) - 1))
+            spots.append(_values(len(spots), part, _ball(bits, 1)))
+            shift += bits
+    table = nodes.select("node", "fp", "fq", F.explode(F.concat(*spots)).alias("value"))
+    chance = nodes.count() * max(len(_ball(b, 1)) / 2.0**b for b in segments)
+    held = table.groupBy("value").count().where(F.col("count") > F.lit(bucket + 4 * chance))
+    large = settle(held.select("value"), "similar-large")
+    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) + F.bit_count(F.col("x.fq").bitwiseXOR(F.col("y.fq"))) <= distance
+    few = table.join(large, "value", "left_anti")
+    x, y = few.alias("x"), few.alias("y")
+    pairs = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & near)
+    pairs = settle(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "similar-pairs")
+    links_found = similar(pairs)
+    many = settle(table.join(large, "value", "left_semi"), "similar-many")
+    if many.limit(1).count():
+        first = many.groupBy("value").agg(F.min("node").alias("node"), F.min_by("fp", "node").alias("fp"), F.min_by("fq", "node").alias("fq"))
+        x, y = many.alias("x"), first.alias("y")
+        hub = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") > F.col("y.node")) & near)
+        hub = settle(hub.groupBy(F.col("x.node").alias("b")).agg(F.min("y.node").alias("a")), "similar-hubs")
+        links_found = links_found.union(similar(hub.select("a", "b")))
+        so_far = components(links_found, "similar-components")
+        sizes = so_far.groupBy("root").count()
+        marked = settle(many.join(so_far, "node", "left").withColumn("root", F.coalesce("root", "node")).join(sizes, "root", "left").withColumn("count", F.coalesce("count", F.lit(1))), "similar-marked")
+        main = marked.groupBy("value").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+        outside = marked.join(main, "value").where("root <> main").select("value", "node", "fp", "fq", "root")
+        x, y = outside.alias("x"), marked.alias("y")
+        rest = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.root") != F.col("y.root")) & near)
+        rest = settle(rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "similar-rest")
+        links_found = links_found.union(similar(rest))
+    return components(links_found, "similar-components")
+
+
+def _values(segment: int, part: Column, masks: list[int]) -> Column:
+    listed = F.array(*[F.lit(x).cast("long") for x in masks])
+    return F.transform(listed, lambda m: part.bitwiseXOR(m).bitwiseOR(F.lit(segment << 40)))
+
+
 def keep_rows(documents: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row of ``documents`` for each (id, text_hash) of ``stay``."""
     key = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
