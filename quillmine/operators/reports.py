@@ -143,3 +143,99 @@ def bridge_names(counts: DataFrame, name: str, bridge: dict[str, str | None], va
     gone = [k for k, v in bridge.items() if v is None]
     kept = counts.where(~F.col(name).isin(gone)) if gone else counts
     return kept.groupBy(F.coalesce(table[F.col(name)], F.col(name)).alias(name)).agg(F.sum(value).alias(value))
+
+
+def typed_panel(df: DataFrame, names: Column, original: Column, k: int, normal=None, keep=None, name: str = "entity") -> DataFrame:
+    """The most frequent entities of papers: different raw names count once a paper and are brought to one
+    spelling after that, so two spellings in a paper count twice; ``keep`` is a condition on the spelling."""
+    out = distinct_per_paper(df.withColumn("__o", original), names, name)
+    if normal is not None:
+        out = out.withColumn(name, normal(F.col(name)))
+    if keep is not None:
+        out = out.where(keep(F.col(name)))
+    return out.groupBy(name).agg(F.count("*").alias("total"), F.count_if("__o").alias("original")).orderBy(F.desc("total"), name).limit(k)
+
+
+def top_within_top(df: DataFrame, group: str, value: str, groups: int, k: int) -> DataFrame:
+    """The k most frequent values within each of the most frequent groups."""
+    first = df.groupBy(group).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), group).limit(groups)
+    inside = df.join(F.broadcast(first), group)  # as many rows as groups are wanted
+    return top_per_group(inside.groupBy(group, value).agg(F.count("*").alias("n")), group, k, value)
+
+
+def journal_bar(papers: DataFrame, journal: str, original: Column, scopes: DataFrame, k: int = 20) -> DataFrame:
+    """Journals by papers, with how many are original research and the journal's scope."""
+    out = papers.where(F.col(journal) != "").groupBy(journal).agg(F.count("*").alias("total"), F.count_if(original).alias("original")).orderBy(F.desc("total"), journal).limit(k)
+    return out.join(scopes, F.lower(out[journal]) == scopes["journal_key"], "left").select(journal, "total", "original", F.coalesce("scope", F.lit("Other")).alias("scope"))
+
+
+def country_years(df: DataFrame, countries: Column, original: Column) -> DataFrame:
+    """Papers of each country and year, a country once a paper."""
+    out = distinct_per_paper(df.withColumn("__o", original), countries, "country").where("country <> 'unknown' and year is not null")
+    return out.groupBy("country", "year").agg(F.count("*").alias("total"), F.count_if("__o").alias("original"))
+
+
+def bridge_last(values: DataFrame, name: str, bridge: dict[str, str | None], value: str, order: str) -> DataFrame:
+    """Values under other names, where the last in order wins; what maps to nothing is left out."""
+    table = F.create_map(*[F.lit(x) for kv in bridge.items() if kv[1] is not None for x in kv])
+    gone = [k for k, v in bridge.items() if v is None]
+    kept = values.where(~F.col(name).isin(gone)) if gone else values
+    return kept.groupBy(F.coalesce(table[F.col(name)], F.col(name)).alias(name)).agg(F.max_by(value, order).alias(value))
+
+
+def focus_profile(df: DataFrame, places: Column, pattern: str) -> DataFrame:
+    """Papers with a focus institution, given by a pattern, among their affiliations: anywhere, first, last, first and last."""
+    hit = lambda a: F.coalesce(a.rlike(pattern), F.lit(False))
+    some, first, last = F.coalesce(F.exists(places, hit), F.lit(False)), hit(F.get(places, F.lit(0))), hit(F.get(places, F.size(places) - 1))
+    rows = df.select(some.alias("s"), first.alias("f"), last.alias("l"))
+    return rows.agg(F.count("*").alias("papers"), F.count_if("s").alias("any"), F.count_if("f").alias("first"), F.count_if("l").alias("last"), F.count_if(F.col("f") & F.col("l")).alias("both"))
+
+
+def ranked_with_variants(counts: DataFrame, name: str, variants: dict[str, list[str]]) -> DataFrame:
+    """Ranks after the variants of a name have been added up under it."""
+    table = F.create_map(*[F.lit(x) for main, others in variants.items() for other in others for x in (other, main)])
+    merged = counts.groupBy(F.coalesce(table[F.col(name)], F.col(name)).alias(name)).agg(F.sum("n").alias("n"))
+    return rank(merged, name)
+
+
+def rolled_up(counts: DataFrame, value: str, normal) -> DataFrame:
+    """A distribution over normalised values, without empty ones."""
+    return counts.groupBy(normal(F.col(value)).alias(value)).agg(F.sum("n").alias("n")).where("n > 0")
+
+
+def merged_shares(papers: DataFrame, journal: str, flagged: Column, original: Column, since: int, k: int = 10) -> DataFrame:
+    """The leading journals since a year: all papers, flagged and original ones, under names cut to length."""
+    from quillmine.functions.text import shorten
+
+    recent = papers.where(F.col("year") >= since).where(F.col(journal) != "")
+    out = recent.groupBy(journal).agg(F.count("*").alias("total"), F.count_if(flagged).alias("european"), F.count_if(original).alias("original"))
+    return out.orderBy(F.desc("total"), journal).limit(k).withColumn("label", shorten(F.col(journal)))
+
+
+def compared_roles(df: DataFrame, first: str, corresponding: str, last: str) -> DataFrame:
+    """How often each specialty is that of the first, the corresponding and the last author, by the last."""
+    roles = F.array(*[F.struct(F.lit(role).alias("role"), F.col(c).alias("specialty")) for role, c in (("first", first), ("corr", corresponding), ("last", last))])
+    out = df.select(F.inline(roles)).where("specialty <> ''").groupBy("specialty")
+    return out.agg(*[F.count_if(F.col("role") == r).alias(r) for r in ("first", "corr", "last")]).orderBy(F.desc("last"), "specialty")
+
+
+def json_field_counts(df: DataFrame, column: str, fields: list[str], default: str = "Unclear") -> DataFrame:
+    """(field, value, n) of JSON fields, blank and missing ones under a default."""
+    value = lambda f: F.get_json_object(column, f"$.{f}")
+    said = lambda f: F.when(F.coalesce(value(f), F.lit("")) == "", F.lit(default)).otherwise(value(f))
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), said(f).alias("value")) for f in fields])
+    return df.select(F.inline(pairs)).groupBy("field", "value").agg(F.count("*").alias("n"))
+
+
+def snapshot(papers: DataFrame, records: DataFrame, fields: list[str]) -> dict:
+    """A report document from small aggregates: corpus, run, distributions and leading journals."""
+    from quillmine.operators.extractions import field_distribution, snapshot_summary
+
+    rows = lambda df: [r.asDict() for r in df.collect()]  # noqa: E731  aggregates: a row for each year, language and so on
+    spread: dict[str, dict[str, int]] = {f: {} for f in fields}
+    for r in field_distribution(records, fields).collect():
+        spread[r["field"]][r["value"]] = r["n"]
+    return {
+        "corpus": {"total": papers.count(), "by_year": rows(per_year(papers)), "by_language": rows(most_common(papers, "language")), "top_journals": rows(most_common(papers, "journal", 10))},
+        "run": snapshot_summary(records, papers).first().asDict(), "distributions": spread,
+    }

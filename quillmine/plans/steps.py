@@ -36,8 +36,16 @@ def unparsed(papers):
 
 
 def parse_step(spine: Spine, config: dict) -> dict:
+    """Parse what isn't parsed yet.  remove_html, min_abstract_length and language_filter, all off by default,
+    strip tags from titles and abstracts and flag what is too short or of another language."""
     todo = unparsed(spine.table()).select("pmid", "raw_xml")
     parsed = parse_frame(todo)
+    if config.get("remove_html"):
+        parsed = parsed.withColumns({c: F.regexp_replace(c, "<[^>]+>", "") for c in ("title", "abstract")})
+    if config.get("min_abstract_length"):
+        parsed = parsed.withColumn("abstract_too_short", F.char_length("abstract") < config["min_abstract_length"])
+    if config.get("language_filter"):
+        parsed = parsed.withColumn("other_language", ~F.col("language").isin(config["language_filter"]))
     if config.get("prepare_llm_input"):
         parsed = parsed.withColumn("llm_input", llm_input(F.col("title"), F.col("abstract"), F.col("mesh_terms"), F.col("keywords")))
     if config.get("flag_exclusions"):

@@ -44,6 +44,13 @@ STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
 
+def of_priority(**values: str) -> str:
+    names = {"a": "1-URGENT", "b": "2-HIGH", "c": "3-MEDIUM", "d": "4-NOT SPECIFIED", "e": "5-LOW"}
+    return "CASE o_orderpriority " + " ".join(f"WHEN '{names[k]}' THEN '{v}'" for k, v in values.items()) + " END"
+
+
+of_priority_sql = of_priority(a="Radiology", b="Radiology", c="Cardiology", d="Unclear", e="Other")
+
 # Articles from XML
 
 
@@ -436,6 +443,97 @@ def apc_percentiles(spark, sf):
     return R.change_bounds(changes(spark, sf)).select(F.round("p5", 6).alias("p5"), F.round("p95", 6).alias("p95"))
 
 
+# More reports
+
+
+def baskets(spark, sf):
+    """An order is a paper whose parts are the entities that its authors name, in order of their lines."""
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    listed_ = F.array_sort(F.collect_list(F.struct("l_linenumber", "p_name")))
+    return lines.groupBy(F.col("l_orderkey").alias("pmid")).agg(F.transform(listed_, lambda x: x["p_name"]).alias("names"), F.max(F.col("l_returnflag") == "R").alias("original"), F.min(F.year("l_shipdate")).cast("long").alias("year"))
+
+
+BASKETS = "b AS (SELECT l_orderkey AS pmid, list(p_name ORDER BY l_linenumber, p_name) AS names, bool_or(l_returnflag = 'R') AS original, CAST(min(year(l_shipdate)) AS BIGINT) AS year FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)"
+
+
+@query(f"WITH {BASKETS}, x AS (SELECT pmid, original, unnest(list_distinct(names)) AS entity FROM b) SELECT upper(entity) AS entity, count(*) AS total, count(*) FILTER (WHERE original) AS original FROM x WHERE upper(entity) LIKE '%E%' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
+def entity_panel(spark, sf):
+    return R.typed_panel(baskets(spark, sf), F.col("names"), F.col("original"), 15, F.upper, lambda e: e.contains("E"))
+
+
+@query(f"WITH {BASKETS}, x AS (SELECT pmid, year, original, unnest(list_distinct(names)) AS country FROM b) SELECT country, year, count(*) AS total, count(*) FILTER (WHERE original) AS original FROM x GROUP BY ALL")
+def country_years(spark, sf):
+    return R.country_years(baskets(spark, sf), F.col("names"), F.col("original"))
+
+
+@query(f"WITH {BASKETS} SELECT count(*) AS papers, count(*) FILTER (WHERE len(list_filter(names, lambda n: regexp_matches(n, '(?i)RE'))) > 0) AS any, count(*) FILTER (WHERE regexp_matches(names[1], '(?i)RE')) AS first, count(*) FILTER (WHERE regexp_matches(names[-1], '(?i)RE')) AS last, count(*) FILTER (WHERE regexp_matches(names[1], '(?i)RE') AND regexp_matches(names[-1], '(?i)RE')) AS both FROM b")
+def focus_profile(spark, sf):
+    return R.focus_profile(baskets(spark, sf), F.col("names"), "(?i)RE")
+
+
+@query(f"WITH {STUDIES}, t AS (SELECT country FROM s GROUP BY country ORDER BY count(*) DESC, country LIMIT 5), c AS (SELECT country, specialty, count(*) AS n FROM s WHERE country IN (SELECT country FROM t) GROUP BY ALL) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY n DESC, specialty) AS rank FROM c) WHERE rank <= 3")
+def top_within_top(spark, sf):
+    return R.top_within_top(studies(spark, sf), "country", "specialty", 5, 3)
+
+
+@query(f"WITH {PAPERS} SELECT journal, count(*) AS total, count(*) FILTER (WHERE NOT is_retracted) AS original, CASE WHEN journal LIKE '%1' THEN 'General' ELSE 'Other' END AS scope FROM p WHERE journal <> '' GROUP BY journal ORDER BY 2 DESC, 1 LIMIT 12")
+def journal_bar(spark, sf):
+    p = papers(spark, sf)
+    scopes = p.where("journal like '%1'").select(F.lower("journal").alias("journal_key"), F.lit("General").alias("scope")).distinct()
+    return R.journal_bar(p, "journal", ~F.col("is_retracted"), scopes, 12)
+
+
+@query(f"WITH {STUDIES}, c AS (SELECT country, count(*) AS n FROM s GROUP BY country), m AS (SELECT CASE WHEN country IN ('nation_1', 'nation_2') THEN 'nation_0' ELSE country END AS country, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 1) SELECT country, n, row_number() OVER (ORDER BY n DESC, country) AS rank FROM m")
+def rank_with_variants(spark, sf):
+    return R.ranked_with_variants(studies(spark, sf).groupBy("country").agg(F.count("*").alias("n")), "country", {"nation_0": ["nation_1", "nation_2"]})
+
+
+@query(f"WITH {STUDIES}, c AS (SELECT country, min(year) AS first_year, count(*) AS n FROM s WHERE country <> 'nation_3' GROUP BY country) SELECT CASE WHEN country IN ('nation_1', 'nation_2') THEN 'nation_0' ELSE country END AS country, arg_max(n, country) AS n FROM c GROUP BY 1")
+def bridge_last(spark, sf):
+    counts = studies(spark, sf).groupBy("country").agg(F.count("*").alias("n")).withColumn("order", F.col("country"))
+    return R.bridge_last(counts, "country", {"nation_1": "nation_0", "nation_2": "nation_0", "nation_3": None}, "n", "order")
+
+
+@query(f"SELECT {of_priority_sql} AS specialty, count(*) AS n FROM orders GROUP BY 1")
+def specialty_rollup(spark, sf):
+    counts = answers(spark, sf).groupBy("specialty").agg(F.count("*").alias("n"))
+    return R.rolled_up(counts, "specialty", N.specialty)
+
+
+@query(f"WITH {PAPERS} SELECT journal, count(*) AS total, count(*) FILTER (WHERE language <> 'en') AS european, count(*) FILTER (WHERE NOT is_retracted) AS original, journal AS label FROM p WHERE year >= 2015 AND journal <> '' GROUP BY journal ORDER BY 2 DESC, 1 LIMIT 10")
+def recent_journals(spark, sf):
+    return R.merged_shares(papers(spark, sf), "journal", F.col("language") != "en", ~F.col("is_retracted"), 2015)
+
+
+@query(f"WITH {STUDIES}, r AS (SELECT specialty AS f, study_type AS c, region AS l FROM s), u AS (SELECT 'first' AS role, f AS specialty FROM r UNION ALL SELECT 'corr', c FROM r UNION ALL SELECT 'last', l FROM r) SELECT specialty, count(*) FILTER (WHERE role = 'first') AS first, count(*) FILTER (WHERE role = 'corr') AS corr, count(*) FILTER (WHERE role = 'last') AS last FROM u GROUP BY specialty")
+def compared_roles(spark, sf):
+    return R.compared_roles(studies(spark, sf), "specialty", "study_type", "region")
+
+
+@query("SELECT field, coalesce(nullif(value, ''), 'Unclear') AS value, count(*) AS n FROM (SELECT 'k' AS field, json_extract_string(props, '$.k') AS value FROM events UNION ALL SELECT 'other', json_extract_string(props, '$.other') FROM events) GROUP BY ALL")
+def json_field_counts(spark, sf):
+    return R.json_field_counts(table(spark, sf, "events"), "props", ["k", "other"])
+
+
+@query("SELECT strftime(CAST(max(ts) AS DATE) - INTERVAL 7 DAY, '%Y/%m/%d') AS resume_from FROM events")
+def resume_date(spark, sf):
+    latest = table(spark, sf, "events").agg(F.max(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("latest")).first().latest
+    return spark.createDataFrame([(fetch.resume_from(latest),)], "resume_from string")
+
+
+@query(f"WITH {PAPERS} SELECT pmid, year FROM (SELECT pmid, year, CASE WHEN is_retracted THEN NULL WHEN language = 'fr' THEN '' ELSE title END AS title FROM p) WHERE title IS NULL OR title = ''")
+def incremental_parse(spark, sf):
+    from quillmine.plans.steps import unparsed
+
+    partly = papers(spark, sf).withColumn("title", F.when(F.col("is_retracted"), None).when(F.col("language") == "fr", "").otherwise(F.col("title")))
+    return unparsed(partly).select("pmid", "year")
+
+
+@query(f"WITH {EXTRACTIONS} SELECT pmid, seq, extracted_json FROM e WHERE schema_name = 'click' ORDER BY pmid, seq LIMIT 200")
+def records_page(spark, sf):
+    return extractions(spark, sf).where("schema_name = 'click'").orderBy("pmid", "seq").limit(200).select("pmid", "seq", "extracted_json")
+
+
 # Text functions
 
 
@@ -491,11 +589,6 @@ def answers(spark, sf):
         said(("1-URGENT", "Registry"), ("2-HIGH", "a  systematic   review"), ("3-MEDIUM", "Case report"), ("5-LOW", "narrative review")).alias("study"))
 
 
-def of_priority(**values: str) -> str:
-    names = {"a": "1-URGENT", "b": "2-HIGH", "c": "3-MEDIUM", "d": "4-NOT SPECIFIED", "e": "5-LOW"}
-    return "CASE o_orderpriority " + " ".join(f"WHEN '{names[k]}' THEN '{v}'" for k, v in values.items()) + " END"
-
-
 @query(f"SELECT o_orderkey, {of_priority(a='Radiology', b='Radiology', c='Cardiology', d='Unclear', e='Other')} AS specialty, {of_priority(a='Main', b='NotRelevant', c='Secondary', d='NotRelevant', e='Main')} AS relevance, {of_priority(a='OriginalResearch', b='SystematicReviewOrMetaAnalysis', c='CaseReportOrSeries', d='Other', e='Review')} AS study FROM orders")
 def answers_normalize(spark, sf):
     return answers(spark, sf).select("o_orderkey", N.specialty(F.col("specialty")).alias("specialty"), N.relevance(F.col("relevance")).alias("relevance"), N.study_type(F.col("study")).alias("study"))

@@ -186,3 +186,19 @@ class Spine:
             raise RuntimeError("the rewritten spine has another number of rows")
         self._commit(main=[folder])
         return count
+
+
+def storage(files: list[str]) -> dict:
+    """Rows, row groups, columns, size and codecs of Parquet files, from their footers alone."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    out = {"rows": 0, "row_groups": 0, "size_bytes": 0, "columns": [], "codecs": set()}
+    for uri in files:
+        place, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+        with place.open_input_file(path) as f:
+            meta = pq.ParquetFile(f).metadata
+            out["rows"], out["row_groups"], out["size_bytes"] = out["rows"] + meta.num_rows, out["row_groups"] + meta.num_row_groups, out["size_bytes"] + f.size()
+            out["columns"] = out["columns"] or meta.schema.to_arrow_schema().names
+            out["codecs"] |= {meta.row_group(g).column(c).compression for g in range(meta.num_row_groups) for c in range(meta.num_columns)}
+    return out | {"codecs": sorted(out["codecs"])}
