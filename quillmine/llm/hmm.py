@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -25,7 +26,7 @@ OWN, TAILS = 2000, 1023  # classes of one word each, and classes by a word's las
 END = OWN + TAILS
 CLASSES = END + 1
 BLOCK = 4096  # steps of a sequence whose forward variables are held at a time
-CHUNK = 150_000  # tokens of sequences that advance together
+CHUNK = 300_000  # tokens of sequences that advance together
 
 
 def tokens(raw: bytes | None) -> list[bytes]:
@@ -67,7 +68,7 @@ def _together(sequences: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarr
     while order:
         longest = len(sequences[order[0]])
         some, order = order[: max(1, CHUNK // longest)], order[max(1, CHUNK // longest) :]
-        seen = np.full((longest, len(some)), END, np.int32)
+        seen = np.full((longest, len(some)), END, np.intp)
         for j, i in enumerate(some):
             seen[: len(sequences[i]), j] = sequences[i]
         lengths = np.array([len(sequences[i]) for i in some])
@@ -78,13 +79,11 @@ def log10_forward(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     """The exact log10 probability of each sequence of classes (none is empty: each has its end)."""
     out = np.zeros(len(sequences))
     for some, seen, count in _together(sequences):
-        total = np.zeros(len(some))
-        a = model.start * model.emit[seen[0]]
+        total, ones, a = np.zeros(len(some)), np.ones(len(model.start)), None
         for t in range(len(seen)):
-            if t:
-                a = (a[: count[t]] @ model.move) * model.emit[seen[t, : count[t]]]
-            scale = a.sum(1)
-            a = a / scale[:, None]
+            a = (model.start if t == 0 else a[: count[t]] @ model.move) * model.emit.take(seen[t, : count[t]], 0, mode="clip")
+            scale = a @ ones
+            a /= scale[:, None]
             total[: count[t]] += np.log10(scale)
         out[some] = total
     return out
@@ -96,40 +95,44 @@ def expected_counts(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     Forward variables are held for ``BLOCK`` steps; of longer sequences those at the blocks' beginnings
     are, and each block is gone through again on the way back, so memory doesn't grow with a text."""
     k = len(model.start)
-    start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
+    start, move, emit, ones, moved = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k)), np.ones(k), np.ascontiguousarray(model.move.T)
     for _, seen, count in _together(sequences):
 
         def forward(t: int, a: np.ndarray | None, seen=seen, count=count):
-            a = (model.start if t == 0 else a[: count[t]] @ model.move) * model.emit[seen[t, : count[t]]]
-            scale = 1 / a.sum(1)
-            return a * scale[:, None], scale
-
-        saved, a = [], None
-        for t in range(len(seen)):
+            e = model.emit.take(seen[t, : count[t]], 0, mode="clip")
+            a = (model.start if t == 0 else a[: count[t]] @ model.move) * e
+            scale = 1 / (a @ ones)
+            a *= scale[:, None]
+            e *= scale[:, None]
+            return a, e
+
+        saved, a, last = [], None, (len(seen) - 1) // BLOCK * BLOCK
+        for t in range(last + 1):
             if t % BLOCK == 0:
                 saved.append(a)
-            if t >= (len(seen) - 1) // BLOCK * BLOCK:
-                break
-            a, _ = forward(t, a)
-        after = None  # emission times backward variable of the step after, scaled
+            if t < last:
+                a, _ = forward(t, a)
+        after = None  # scaled emission times backward variable of the step after
         for block in range(len(saved) - 1, -1, -1):
-            a, steps = saved[block], []
+            a, steps, flat, shares = saved[block], [], [], []
             for t in range(block * BLOCK, min(len(seen), (block + 1) * BLOCK)):
-                a, scale = forward(t, a)
-                steps.append((a, scale))
-            shares = []
-            for t in range(block * BLOCK + len(steps) - 1, block * BLOCK - 1, -1):
-                a, scale = steps[t - block * BLOCK]
-                b = np.ones_like(a)
+                a, e = forward(t, a)
+                steps.append((t, a, e))
+            while steps:
+                t, a, e = steps.pop()
+                share = a.copy()
                 if after is not None:
-                    move += a[: len(after)].T @ after
-                    b[: len(after)] = after @ model.move.T
-                shares.append(a * b)
-                after = model.emit[seen[t, : count[t]]] * b * scale[:, None]
-                if t == 0:
-                    start += (a * b).sum(0)
-            flat = np.concatenate([seen[t, : count[t]] for t in range(block * BLOCK + len(steps) - 1, block * BLOCK - 1, -1)])
-            share = np.concatenate(shares)
+                    n = len(after)
+                    move += a[:n].T @ after
+                    b = after @ moved
+                    share[:n] *= b
+                    e[:n] *= b
+                after = e
+                shares.append(share)
+                flat.append(seen[t, : count[t]])
+            if block == 0:
+                start += share.sum(0)
+            flat, share = np.concatenate(flat), np.concatenate(shares)
             for j in range(k):
                 emit[:, j] += np.bincount(flat, share[:, j], CLASSES)
     return np.concatenate([start, (move * model.move).ravel(), emit.ravel()])
@@ -165,6 +168,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _common(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """At most ``most`` words of at most 64 bytes with their counts, the most frequent first.
+
+    Counts are binned finely, and the bins' sizes tell from which count on all words fit; so however
+    many tasks there are, no more than that comes to the driver."""
+    short = counts.where("word is not null and octet_length(word) <= 64").withColumn("bin", F.floor(F.log2(F.col("n").cast("double")) * 32).cast("int"))
+    bins, least = sorted(((r["bin"], r["count"]) for r in short.groupBy("bin").count().collect()), reverse=True), None
+    for b, size in bins:
+        if (most := most - size) < 0:
+            break
+        least = b
+    if least is None:
+        return []
+    got = short.where(F.col("bin") >= least).select("word", "n").toArrow()
+    return sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+
+
 def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", states: int = 8, rounds: int = 2, warm: int = 10, known: int = 200_000, seed: int = 11) -> DataFrame:
     """(id, learnt, n_tokens, n_known, train_tokens, base_score, score): one row for each row of the input.
 
@@ -183,16 +203,16 @@ def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col
     rows = pick(documents, id=id_col, text=text_col).withColumn("learnt", F.coalesce(usable, F.lit(False)))
     counts = settle(word_counts(rows.where("learnt").select("text")), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    common = counts.where("word is not null and octet_length(word) <= 64").orderBy(F.desc("n"), "word").limit(known)
-    common = [(bytes(r.word), r.n) for r in common.collect()]
-    count_of = dict(common)
-    own = {w: i for i, (w, _) in enumerate(common[:OWN])}
+    common = _common(counts, known)
+    index = {w: i for i, (w, _) in enumerate(common)}
+    near_class = np.array([i if i < OWN else tail_class(w) for i, (w, _) in enumerate(common)], np.int32)
+    near_log = np.log10(np.array([n for _, n in common], np.float64) + 0.5)
 
     def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
         for batch in batches:
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                c = END if word is None else own[word] if word in own else tail_class(word)
+                c = END if word is None else near_class[index[word]] if word in index else tail_class(word)
                 held[c] += n
                 kinds[c] += 1
         at = np.flatnonzero(held)
@@ -211,40 +231,29 @@ def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col
         for batch in batches:
             packed, n, logs, rooms, near, rare, times = [], [], [], [], [], [], []
             for raw in batch.column("text").cast(pa.binary()).to_pylist():
-                bag = Counter(tokens(raw))
-                seen = dict.fromkeys(bag, 0)
-                log = places = 0.0
-                have, far, often = 0, [], []
-                for word, k in bag.items():
-                    c = own.get(word)
-                    if c is None:
-                        c = tail_class(word)
-                        places += k * room[c]
-                        if (m := count_of.get(word)) is None:
-                            far.append(word)
-                            often.append(k)
-                        else:
-                            log += k * np.log10(m + 0.5)
-                            have += k
-                    else:
-                        have += k
-                    seen[word] = c
-                line = np.fromiter(map(seen.__getitem__, tokens(raw)), np.int32)
-                fixed = np.bincount(line[line < OWN], minlength=OWN)
-                packed.append(_packed(np.append(line, END)))
-                n.append(len(line) + 1)
-                logs.append((log, float(fixed @ own_logs)))
-                rooms.append(places)
-                near.append(have + (ends > 0))
-                rare.append(far)
-                times.append(often)
+                words = tokens(raw)
+                at = np.fromiter(map(index.get, words, repeat(-1)), np.int32, len(words))
+                here = at >= 0
+                line = np.empty(len(words) + 1, np.int32)
+                line[:-1][here] = near_class[at[here]]
+                far = [words[i] for i in np.flatnonzero(~here)]
+                line[:-1][~here] = [tail_class(w) for w in far]
+                line[-1] = END
+                bag = Counter(far)
+                packed.append(_packed(line))
+                n.append(len(line))
+                own = line < OWN
+                both = near_log[at[here]]
+                logs.append((float(both.sum()), float(both[at[here] < OWN].sum())))
+                rooms.append(float(room[line[:-1][~own[:-1]]].sum()))
+                near.append(int(here.sum()) + (ends > 0))
+                rare.append(list(bag))
+                times.append(list(bag.values()))
             yield pa.RecordBatch.from_pydict({
                 "id": batch.column("id"), "learnt": batch.column("learnt"), "classes": pa.array(packed, pa.binary()), "n_tokens": pa.array(n, pa.int64()),
-                "log_near": pa.array([x for x, _ in logs], pa.float64()), "log_own": pa.array([x for _, x in logs], pa.float64()), "rooms": pa.array(rooms, pa.float64()), "near": pa.array(near, pa.int64()),
+                "log_near": pa.array([x - y for x, y in logs], pa.float64()), "log_own": pa.array([y for _, y in logs], pa.float64()), "rooms": pa.array(rooms, pa.float64()), "near": pa.array(near, pa.int64()),
                 "rare": pa.array(rare, pa.list_(pa.binary())), "times": pa.array(times, pa.list_(pa.int32()))})
 
-    own_logs = np.zeros(OWN)
-    own_logs[: len(own)] = np.log10([n + 0.5 for _, n in common[:OWN]]) if own else 0
     id_type = rows.schema["id"].dataType.simpleString()
     made = rows.select("id", "text", "learnt").mapInArrow(classify, f"id {id_type}, learnt boolean, classes binary, n_tokens long, log_near double, log_own double, rooms double, near long, rare array<binary>, times array<int>")
     made = settle(made.withColumn("row", F.monotonically_increasing_id()), "classes", "snappy")
