@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmine.llm import decontaminate, quality, secrets, sentencepiece, simhash
-from quillmine.llm.common import settle
+from quillmine.llm.common import passing, scratch
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written as Parquet and read again."""
+    """All stages over ``documents``, each result written as Parquet and read again.
+
+    A stage's intermediate tables go when its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"), "zstd")
+        path = scratch(spark, "stage-" + name.replace(" ", "-"))
+        with passing(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,9 +46,27 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/quillmine/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/quillmine/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end; for callers that write their result
+    inside, since frames that are still to be computed may read them."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for where in _made[before:]:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        del _made[before:]
 
 
 def settle(df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:

@@ -112,3 +112,14 @@ def test_decontamination_removes_only_what_it_should(spark):
     bench = spark.createDataFrame([(1, ten)], "item_id long, text string")
     got = sorted(((r.doc_id, r.text) for r in decontaminate.remove_contaminated(docs, bench).collect()), key=str)
     assert got == sorted([(1, "clean"), (None, "clean"), (3, None)], key=str)
+
+
+def test_intermediate_tables_go(spark):
+    from quillmine.llm import common
+
+    with common.passing(spark):
+        held = common.settle(spark.range(3), "some")
+        path = common._made[-1]
+        assert held.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
