@@ -91,13 +91,13 @@ def region_by_year(df: DataFrame, country: Column) -> DataFrame:
 
 
 def top_per_group(counts: DataFrame, group: str, k: int, value: str) -> DataFrame:
-    row = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("n"), value))
+    row = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("n"), value)).cast("long")
     return counts.withColumn("rank", row).where(F.col("rank") <= k)
 
 
 def rank(counts: DataFrame, value: str) -> DataFrame:
     """Places by count; ties get places of their own, by name.  The counts are few: one row a value."""
-    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), value)))
+    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), value)).cast("long"))
 
 
 def role_counts(df: DataFrame, value: str = "entity") -> DataFrame:
