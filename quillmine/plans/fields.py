@@ -76,3 +76,28 @@ def spark_type(fields: list[Field], parent: str | None = None) -> str:
         return "string" if f.type == "enum" else LEAVES[f.type][1]
 
     return f"struct<{','.join(f'`{f.name}`:{one(f)}' for f in fields if f.parent == parent)}>"
+
+
+def problems(record: object, fields: list[Field], parent: str | None = None, at: str = "") -> list[str]:
+    """Where an extracted record departs from its fields: what is missing, of another type, or not foreseen."""
+    own = {f.name: f for f in fields if f.parent == parent}
+    if not isinstance(record, dict):
+        return [f"{at or 'record'} is no object"]
+    out = [f"{at}{name} is not foreseen" for name in record if name not in own]
+    kinds = {"string": str, "integer": int, "float": (int, float), "boolean": bool}
+    for name, f in own.items():
+        here, value = f"{at}{name}", record.get(name)
+        if value is None:
+            out += [f"{here} is missing"] * (f.required and name not in record)
+        elif f.type == "object":
+            out += problems(value, fields, name, f"{here}.")
+        elif f.type == "list[object]":
+            out += [p for i, v in enumerate(value) for p in problems(v, fields, name, f"{here}[{i}].")] if isinstance(value, list) else [f"{here} is no list"]
+        elif f.type == "enum":
+            out += [f"{here} is none of its values"] * (value not in f.values)
+        else:
+            inner = f.type.removeprefix("list[").removesuffix("]")
+            good = lambda v, inner=inner: isinstance(v, kinds[inner]) and (inner == "boolean" or not isinstance(v, bool))
+            fits = isinstance(value, list) and all(map(good, value)) if f.type.startswith("list[") else good(value)
+            out += [] if fits else [f"{here} is no {f.type}"]
+    return out

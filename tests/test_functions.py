@@ -7,7 +7,7 @@ from quillmine.functions import affiliation as A
 from quillmine.functions import article_xml, geography, json_repair
 from quillmine.functions import normalize as N
 from quillmine.functions import text as T
-from quillmine.operators import affiliations, reports
+from quillmine.operators import affiliations, exports, reports
 from quillmine.operators import extractions as E
 
 XML = """<?xml version="1.0"?><!DOCTYPE x><PubmedArticleSet><PubmedArticle><MedlineCitation><PMID Version="1">11111111</PMID>
@@ -166,3 +166,22 @@ def test_reports(spark):
     names = spark.createDataFrame([("European Heart Journal",), ("Heart",), ("Lung",), ("xy",)], "j string")
     assert {r.j: r.scope for r in reports.classify_by_part(names, "j", table).collect()} == {"European Heart Journal": "E", "Heart": "H", "Lung": "Other", "xy": "Other"}
     assert reports.change_bounds(spark.createDataFrame([(float(i),) for i in range(101)] + [(None,)], "apc double")).first() == (5.0, 95.0)
+
+
+def test_exports(spark):
+    papers = spark.createDataFrame([("1", 2001, "J", "en", 0), ("2", 2001, "J", "en", 1), ("3", None, "K", "fr", 2)], "pmid string, year long, journal string, language string, _pos long")
+    records = spark.createDataFrame([("1", '{"k": "x"}', None, None, 1.0)], "pmid string, extracted_json string, error_label string, fix_applied string, cost_usd double")
+    assert json.loads(exports.json_bytes(papers.orderBy("pmid"), 2)) == [{"pmid": "1", "year": 2001, "journal": "J", "language": "en", "_pos": 0}, {"pmid": "2", "year": 2001, "journal": "J", "language": "en", "_pos": 1}]
+    frames = exports.sheets(papers, records, ["k"])
+    assert [tuple(r) for r in frames["Years"].collect()] == [(2001, 2)] and frames["Fields"].first().value == "x"
+    assert {k: v.count() for k, v in exports.dashboard(papers, "year", "language", "language", "journal", "language").items()} == {"years": 1, "specialties": 2, "regions": 2, "journals": 2, "studies": 2}
+    found = reports.snapshot(papers, records, ["k", "none"])
+    assert found["corpus"]["total"] == 3 and found["distributions"] == {"k": {"x": 1}, "none": {}} and found["run"]["coverage_pct"] == 33.33
+
+
+def test_storage_reads_footers(spark, tmp_path):
+    from quillmine.spine import storage
+
+    spark.range(10, numPartitions=2).write.parquet(f"{tmp_path}/t")
+    got = storage([str(p) for p in tmp_path.glob("t/part-*")])
+    assert got["rows"] == 10 and got["row_groups"] == 2 and got["columns"] == ["id"] and got["codecs"] == ["SNAPPY"]

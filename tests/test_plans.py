@@ -6,7 +6,8 @@ import pytest
 from quillmine import cli
 from quillmine.plans import config, fetch
 from quillmine.plans.extract import CostCapExceeded, ErrorRateExceeded, Store, extract, gate
-from quillmine.plans.fields import Field, check, json_schema, spark_type
+from quillmine.plans.fields import Field, check, json_schema, problems, spark_type
+from quillmine.plans.tracker import Processed, batched
 from quillmine.sources import literature_api as api
 from quillmine.sources.registry import read_registry, write_registry
 
@@ -91,6 +92,22 @@ def test_fields():
             check(bad)
 
 
+def test_records_are_held_against_their_fields():
+    fields = [Field("a", "string"), Field("n", "integer", required=False), Field("l", "list[integer]"), Field("o", "object"), Field("e", "enum", values=["p"], parent="o"), Field("r", "list[object]", required=False), Field("b", "boolean", parent="r")]
+    assert problems({"a": "x", "l": [1, 2], "o": {"e": "p"}, "r": [{"b": True}], "n": None}, fields) == []
+    assert problems({"n": True, "l": [1, "2"], "o": {"e": "q"}, "r": [{"b": 1}, 3], "z": 0}, fields) == ["z is not foreseen", "a is missing", "n is no integer", "l is no list[integer]", "o.e is none of its values", "r[0].b is no boolean", "r[1]. is no object"]
+    assert problems([], fields) == ["record is no object"]
+
+
+def test_tracker(tmp_path):
+    done = Processed(f"{tmp_path}/ids.json")
+    done.done(["a", "b"])
+    assert Processed(f"{tmp_path}/ids.json").left(["b", "c", "a", "d"]) == ["c", "d"]
+    assert list(batched(range(5), 2)) == [[0, 1], [2, 3], [4]]
+    with pytest.raises(ValueError):
+        list(batched([1], 0))
+
+
 def settings(**more):
     return config.DEFAULTS["extract"] | {"schema_name": "s", "wave": 2} | more
 
