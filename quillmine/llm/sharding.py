@@ -28,7 +28,7 @@ def shard_by_bytes(documents: DataFrame, shards: int = 8, id_col: str = "doc_id"
 
     size is the text's UTF-8 bytes plus 1 (null: 1), crc its CRC-32 (null: null); slots count from 0
     without gaps within a shard.  Rows of equal text stay in one shard unless together they hold
-    more than ``keep_together`` of a shard; then the shard's boundary may cut them, so that sizes stay
+    more than ``keep_together`` of a shard and more than the largest row; then the shard's boundary may cut them, so that sizes stay
     near equal whatever one text's share.  ``ranges`` and ``draws`` (samples a range) bound what comes
     to the driver; they don't depend on the data.  Repeated rows are rows like others; an empty table
     gives an empty result.  Texts are read once and never shuffled.
@@ -38,7 +38,7 @@ def shard_by_bytes(documents: DataFrame, shards: int = 8, id_col: str = "doc_id"
         "id", (F.octet_length(F.coalesce(text, F.lit(""))) + F.lit(1)).cast("long").alias("size"), F.crc32(text).alias("crc"),
         F.xxhash64("text").alias("key"), F.xxhash64("id").alias("tie"), F.monotonically_increasing_id().alias("last"))
     slim = settle(slim, "shard-rows")
-    all_bytes, rows = slim.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    all_bytes, rows, largest = slim.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*"), F.coalesce(F.max("size"), F.lit(0))).first()
     # Half of a row's weight is its size and half is the same for all, so ranges are even in bytes and in rows.
     slim = slim.withColumn("weight", F.col("size") + F.lit(all_bytes / max(rows, 1)))
     whole = 2.0 * all_bytes or 1.0
@@ -71,7 +71,7 @@ def shard_by_bytes(documents: DataFrame, shards: int = 8, id_col: str = "doc_id"
     placed = placed.withColumn("run", F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0))).withColumn("row", F.row_number().over(by))
     placed = placed.withColumn("held", F.sum("size").over(group)).withColumn("opened", F.min(F.col("run") - F.col("size")).over(group))
     share = max(before, 1) / shards
-    middle = F.when(F.col("held") <= keep_together * share, F.col("opened") + F.col("held") / 2).otherwise(F.col("run") - F.col("size") / 2)
+    middle = F.when(F.col("held") <= max(keep_together * share, largest), F.col("opened") + F.col("held") / 2).otherwise(F.col("run") - F.col("size") / 2)
     placed = placed.withColumn("shard", F.least(F.floor((F.col("start") + middle) / share), F.lit(shards - 1)).cast("int"))
     placed = settle(placed.select("id", "size", "crc", "shard", "at", "row"), "shard-placed")
     before, bases = {}, []
