@@ -9,6 +9,7 @@ segments' tables with small Hamming balls, and complete distances are verified o
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -60,20 +61,22 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     return _fingerprints(rows, width, seed).select("id", "fp")
 
 
-def _fingerprints(rows: DataFrame, width: int, seed: int, twice: bool = False) -> DataFrame:
-    """The rows with fp, and with a hash of the text in the text's place; ``twice``: with 64 bits more, fq,
-    of the same shingles' hashes once more hashed."""
+def _fingerprints(rows: DataFrame, width: int, seed: int, names: tuple[str, ...] = ("fp",)) -> DataFrame:
+    """The rows with fp, and with a hash of the text in the text's place; each further name has 64 bits
+    more, of the same shingles' hashes hashed once more."""
     others = [c for c in rows.columns if c != "text"]
     rows = rows.select(*others, F.xxhash64("text").alias("text_hash"), "text")
 
     def run(batch):
         hashes = [shingle_hashes(t, width, seed) for t in batch["text"].cast(pa.binary()).to_pylist()]
-        column = lambda change: pa.array(np.array([simhash(change(h)) for h in hashes], np.uint64).view(np.int64))
-        made = {c: batch[c] for c in [*others, "text_hash"]} | {"fp": column(lambda h: h)}
-        return made | ({"fq": column(_rehash)} if twice else {})
+        made = {c: batch[c] for c in [*others, "text_hash"]}
+        for name in names:
+            made[name] = pa.array(np.array([simhash(h) for h in hashes], np.uint64).view(np.int64))
+            hashes = [_rehash(h) for h in hashes] if name != names[-1] else hashes
+        return made
 
     kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in others]
-    return map_arrow(rows, ", ".join([*kinds, "text_hash long", "fp long", *["fq long"] * twice]), run)
+    return map_arrow(rows, ", ".join([*kinds, "text_hash long", *[f"{n} long" for n in names]]), run)
 
 
 def _rehash(h: np.ndarray) -> np.ndarray:
@@ -152,7 +155,10 @@ def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
-def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, distance: int = 28, bucket: int = 256) -> DataFrame:
+WIDE = ("fp", "fq", "f2", "f3", "f4", "f5", "f6", "f7")
+
+
+def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, distance: int = 24, wide_distance: int = 90, bucket: int = 32) -> DataFrame:
     """The rows and columns of ``documents`` with one row of each group of similar ones, that of its smallest id.
 
     Two texts are linked if their sets of word shingles have a Jaccard similarity of ``similarity`` or
@@ -163,10 +169,10 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     besides, only those of candidates are read again for their shingles.
     """
     tune(documents.sparkSession)
-    spread = _fingerprints(pick(documents, id=id_col, text=text_col), width, seed, twice=True)
-    spread = spread.select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "text_hash", "fp", "fq")
-    nodes = settle(spread.groupBy("text_hash", "fp", "fq").agg(F.min("row").alias("row")), "similar-nodes")
-    plain = nodes.select(F.col("text_hash").alias("node"), "fp", "fq")
+    spread = _fingerprints(pick(documents, id=id_col, text=text_col), width, seed, WIDE)
+    spread = spread.select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "text_hash", *WIDE)
+    nodes = settle(spread.groupBy("text_hash", *WIDE).agg(F.min("row").alias("row")), "similar-nodes")
+    plain = nodes.select(F.col("text_hash").alias("node"), *WIDE)
 
     texts = pick(documents, text=text_col).withColumn("node", F.xxhash64("text"))
 
@@ -196,13 +202,13 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
         return settle(map_arrow(joined.select("a", "b", "x", "y"), "a long, b long, good boolean", run).where("good").select("a", "b"), "similar-links")
 
-    found = candidates(plain, similar, distance, bucket)
+    found = candidates(plain, similar, distance, wide_distance, bucket)
     group = nodes.join(found, nodes.text_hash == found.node, "left").select("row", F.coalesce("root", nodes.text_hash).alias("root"))
     stay = settle(group.groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "similar-stay")
     return keep_rows(documents, stay, id_col, text_col)
 
 
-def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], distance: int, bucket: int, segments: tuple[int, ...] = (21, 21, 22)) -> DataFrame:
+def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], distance: int, wide_distance: int, bucket: int, segments: tuple[int, ...] = (21, 21, 22)) -> DataFrame:
     """(node, root) of the components that verified candidate pairs make.
 
     Fingerprints have 128 bits, fp and fq, in three segments each.  A segment's table lists them under all
@@ -210,50 +216,77 @@ def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], dist
     pair within 17 bits meets, and nearly all do that differ in some more.  Of these, pairs within
     ``distance`` bits in all are verified.
 
-    A value under which more than ``bucket`` fingerprints stand (beyond what chance brings) would give
-    the square of their number.  There, first each fingerprint is tried with the smallest that it
-    meets; then those outside the value's largest component so far are tried with all; only pairs
-    that one component holds already are left out, so the components are the same as of all pairs.
+    The number of pairs would grow with the square of a group's size.  So, first, each fingerprint is tried
+    with the nearest of those that stand first or last where one of its segments is equal; what that
+    joins is one component from then on, and pairs within a component are left out, which changes no
+    component.  A pair that meets under several values counts under one.  Under values that hold more
+    than ``bucket`` fingerprints (beyond what chance brings) the first step is done once more, and then
+    those outside the value's largest component are tried with all, of which pairs within
+    ``wide_distance`` of 512 bits are verified.
     """
-    spots = []
-    for half in ("fp", "fq"):
-        shift = 0
-        for bits in segments:
-            part = F.shiftrightunsigned(half, shift).bitwiseAND(F.lit((1 << bits) - 1))
-            spots.append(_values(len(spots), part, _ball(bits, 1)))
-            shift += bits
-    table = nodes.select("node", "fp", "fq", F.explode(F.concat(*spots)).alias("value"))
+    part = lambda side, k: F.shiftrightunsigned(f"{side}{spots[k][0]}", spots[k][2]).bitwiseAND(F.lit((1 << spots[k][1]) - 1))
+    listed = lambda radius: F.concat(*[_values(half, k, bits, shift, radius) for k, (half, bits, shift) in enumerate(spots)])
+    spots = [(half, bits, sum(segments[:k])) for half in ("fp", "fq") for k, bits in enumerate(segments)]
+    apart = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) + F.bit_count(F.col("x.fq").bitwiseXOR(F.col("y.fq")))
+    met = F.col("x.value") == F.col("y.value")
+
+    def shared() -> Column:
+        """The one value that stands for a pair: of the first segment that differs in two bits at most, a
+        value between the two, the smaller if there are two."""
+        found = []
+        for k in range(len(spots)):
+            p, q = part("x.", k), part("y.", k)
+            d = p.bitwiseXOR(q)
+            low = d.bitwiseAND(-d)
+            n = F.bit_count(d)
+            between = F.when(n == 0, p).when(n == 1, F.least(p, q)).when(n == 2, F.least(p.bitwiseXOR(low), q.bitwiseXOR(low)))
+            found.append(between.bitwiseOR(F.lit(k << 40)))
+        return F.coalesce(*found)
+
+
+    def hubs(rows: DataFrame) -> DataFrame:
+        """Pairs of each fingerprint with the nearest first one and the nearest last one."""
+        ends = rows.groupBy("value").agg(*[f(c, "node").alias(c + end) for end, f in (("0", F.min_by), ("1", F.max_by)) for c in ("node", "fp", "fq", "root")])
+        out = None
+        for end in "01":
+            x, y = rows.alias("x"), ends.select("value", *[F.col(c + end).alias(c) for c in ("node", "fp", "fq", "root")]).alias("y")
+            best = x.join(y, met & (F.col("x.root") != F.col("y.root")) & (apart <= distance)).groupBy(F.col("x.node").alias("b")).agg(F.min_by(F.col("y.node"), F.struct(apart, F.col("y.node"))).alias("a"))
+            out = best if out is None else out.union(best)
+        return settle(out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-hubs")
+
+    def rooted(found: DataFrame) -> DataFrame:
+        known = components(found, "similar-components")
+        return settle(nodes.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-rooted")
+
+    exact = nodes.withColumn("root", F.col("node")).withColumn("value", F.explode(listed(0)))
+    found = similar(hubs(exact))
+    table = rooted(found).select("node", "fp", "fq", "root", F.explode(listed(1)).alias("value"))
     chance = nodes.count() * max(len(_ball(b, 1)) / 2.0**b for b in segments)
-    held = table.groupBy("value").count().where(F.col("count") > F.lit(bucket + 4 * chance))
-    large = settle(held.select("value"), "similar-large")
-    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) + F.bit_count(F.col("x.fq").bitwiseXOR(F.col("y.fq"))) <= distance
+    large = settle(table.groupBy("value").count().where(F.col("count") > F.lit(bucket + 4 * chance)).select("value"), "similar-large")
     few = table.join(large, "value", "left_anti")
     x, y = few.alias("x"), few.alias("y")
-    pairs = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & near)
+    pairs = x.join(y, met & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (apart <= distance) & (F.col("x.value") == shared()))
     pairs = settle(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "similar-pairs")
-    links_found = similar(pairs)
+    found = found.union(similar(pairs))
     many = settle(table.join(large, "value", "left_semi"), "similar-many")
     if many.limit(1).count():
-        first = many.groupBy("value").agg(F.min("node").alias("node"), F.min_by("fp", "node").alias("fp"), F.min_by("fq", "node").alias("fq"))
-        x, y = many.alias("x"), first.alias("y")
-        hub = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") > F.col("y.node")) & near)
-        hub = settle(hub.groupBy(F.col("x.node").alias("b")).agg(F.min("y.node").alias("a")), "similar-hubs")
-        links_found = links_found.union(similar(hub.select("a", "b")))
-        so_far = components(links_found, "similar-components")
-        sizes = so_far.groupBy("root").count()
-        marked = settle(many.join(so_far, "node", "left").withColumn("root", F.coalesce("root", "node")).join(sizes, "root", "left").withColumn("count", F.coalesce("count", F.lit(1))), "similar-marked")
-        main = marked.groupBy("value").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-        outside = marked.join(main, "value").where("root <> main").select("value", "node", "fp", "fq", "root")
+        found = found.union(similar(hubs(many)))
+        marked = settle(many.select("value", "node").join(rooted(found), "node"), "similar-marked")
+        sizes = marked.select("root", "node").distinct().groupBy("root").agg(F.count("*").alias("size"))
+        main = marked.join(sizes, "root").groupBy("value").agg(F.max_by("root", F.struct("size", "root")).alias("main"))
+        outside = marked.join(main, "value").where("root <> main").select("value", "node", "root", *WIDE)
         x, y = outside.alias("x"), marked.alias("y")
-        rest = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.root") != F.col("y.root")) & near)
-        rest = settle(rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "similar-rest")
-        links_found = links_found.union(similar(rest))
-    return components(links_found, "similar-components")
+        far = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in WIDE])
+        rest = x.join(y, met & (F.col("x.root") != F.col("y.root")) & (apart <= distance) & (far <= wide_distance) & (F.col("x.value") == shared()))
+        rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        found = found.union(similar(settle(rest, "similar-rest")))
+    return components(found, "similar-components")
 
 
-def _values(segment: int, part: Column, masks: list[int]) -> Column:
-    listed = F.array(*[F.lit(x).cast("long") for x in masks])
-    return F.transform(listed, lambda m: part.bitwiseXOR(m).bitwiseOR(F.lit(segment << 40)))
+def _values(half: str, segment: int, bits: int, shift: int, radius: int) -> Column:
+    """What a fingerprint's segment stands under: all values within ``radius`` bits, with the segment's number."""
+    part = F.shiftrightunsigned(half, shift).bitwiseAND(F.lit((1 << bits) - 1)).bitwiseOR(F.lit(segment << 40))
+    return F.transform(F.array(*[F.lit(x).cast("long") for x in _ball(bits, radius)]), lambda m: part.bitwiseXOR(m))
 
 
 def keep_rows(documents: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
