@@ -258,7 +258,8 @@ def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col
     made = rows.select("id", "text", "learnt").mapInArrow(classify, f"id {id_type}, learnt boolean, classes binary, n_tokens long, log_near double, log_own double, rooms double, near long, rare array<binary>, times array<int>")
     made = settle(made.withColumn("row", F.monotonically_increasing_id()), "classes", "snappy")
 
-    sample = made.where("learnt").select("classes").orderBy(F.xxhash64("id")).limit(500).collect()
+    part = int(min(1.0, 2000 / max(ends, 1)) * (1 << 30)) + 1  # else each task would send as many as are wanted of all
+    sample = made.where("learnt").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < part).select("classes").orderBy(F.xxhash64("id")).limit(500).collect()
     model = Model.begin(share, states, seed)
     start = [_unpacked(r.classes)[:500] for r in sample]
     for _ in range(warm if start else 0):
