@@ -158,7 +158,7 @@ def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
 WIDE = ("fp", "fq", "f2", "f3", "f4", "f5", "f6", "f7")
 
 
-def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, distance: int = 24, wide_distance: int = 90, bucket: int = 32) -> DataFrame:
+def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, distance: int = 36, wide_distance: int = 90, bucket: int = 256) -> DataFrame:
     """The rows and columns of ``documents`` with one row of each group of similar ones, that of its smallest id.
 
     Two texts are linked if their sets of word shingles have a Jaccard similarity of ``similarity`` or

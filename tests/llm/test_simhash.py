@@ -72,3 +72,34 @@ def test_query_equals_brute_force(spark, tmp_path):
     want = {r.doc_id: (f"{f:016x}", c) for r, f, c in zip(rows, fps, brute_components([r.doc_id for r in rows], fps), strict=True)}
     got = S.op5_simhash_near_dedup(spark, "/root/testdata/sf0.001").collect()
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == want
+
+
+def pairs_at(similarity, n, rng, keep=lambda a, b: True, words=150):
+    """``n`` pairs of texts whose shingles are barely ``similarity`` or more alike."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    sets = lambda t: set(S.shingle_hashes(t.encode()).tolist())
+    found = []
+    while len(found) < n:
+        a = [word() for _ in range(words)]
+        b, was = list(a), " ".join(a)
+        while True:
+            b[rng.randrange(len(b))] = word()
+            x, y = sets(" ".join(a)), sets(" ".join(b))
+            if len(x & y) < similarity * len(x | y):
+                break
+            was = " ".join(b)
+        if keep(" ".join(a), was):
+            found.append((" ".join(a), was))
+    return found
+
+
+def test_pairs_of_the_required_similarity_pass_the_distance(spark):
+    def meets(a, b):
+        h, other = S.shingle_hashes(a.encode()), S.shingle_hashes(b.encode())
+        d = [S.simhash(h) ^ S.simhash(other), S.simhash(S._rehash(h)) ^ S.simhash(S._rehash(other))]
+        parts = [(x >> s & (1 << n) - 1).bit_count() for x in d for s, n in ((0, 21), (21, 21), (42, 22))]
+        return 25 <= sum(parts) <= 36 and min(parts) <= 2
+
+    texts = [t for pair in pairs_at(0.8, 10, random.Random(3), meets) for t in pair]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in S.deduplicate(docs).collect()) == list(range(0, 20, 2))
