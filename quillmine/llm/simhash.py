@@ -61,22 +61,26 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     return _fingerprints(rows, width, seed).select("id", "fp")
 
 
-def _fingerprints(rows: DataFrame, width: int, seed: int, names: tuple[str, ...] = ("fp",)) -> DataFrame:
-    """The rows with fp, and with a hash of the text in the text's place; each further name has 64 bits
-    more, of the same shingles' hashes hashed once more."""
+def _fingerprints(rows: DataFrame, width: int, seed: int) -> DataFrame:
+    """The rows with fp, and with a hash of the text in the text's place."""
+    return _made(rows, width, seed, "fp long", lambda hashes: {"fp": _longs([simhash(h) for h in hashes])})
+
+
+def _longs(x: list[int]) -> pa.Array:
+    return pa.array(np.array(x, np.uint64).view(np.int64))
+
+
+def _made(rows: DataFrame, width: int, seed: int, schema: str, f: Callable[[list[np.ndarray]], dict]) -> DataFrame:
+    """The rows with what ``f`` makes of the texts' shingles, and with a hash of the text in its place."""
     others = [c for c in rows.columns if c != "text"]
     rows = rows.select(*others, F.xxhash64("text").alias("text_hash"), "text")
 
     def run(batch):
-        hashes = [shingle_hashes(t, width, seed) for t in batch["text"].cast(pa.binary()).to_pylist()]
-        made = {c: batch[c] for c in [*others, "text_hash"]}
-        for name in names:
-            made[name] = pa.array(np.array([simhash(h) for h in hashes], np.uint64).view(np.int64))
-            hashes = [_rehash(h) for h in hashes] if name != names[-1] else hashes
-        return made
+        made = f([shingle_hashes(t, width, seed) for t in batch["text"].cast(pa.binary()).to_pylist()])
+        return {c: batch[c] for c in [*others, "text_hash"]} | made
 
     kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in others]
-    return map_arrow(rows, ", ".join([*kinds, "text_hash long", *[f"{n} long" for n in names]]), run)
+    return map_arrow(rows, ", ".join([*kinds, "text_hash long", schema]), run)
 
 
 def _rehash(h: np.ndarray) -> np.ndarray:
@@ -155,10 +159,26 @@ def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
-WIDE = ("fp", "fq", "f2", "f3", "f4", "f5", "f6", "f7")
+PARITIES = tuple(f"p{k}" for k in range(8))
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """512 bits in eight words: whether the number of shingles of a hash's first nine bits is odd.
 
+    Two sets' words differ in at most as many bits as shingles stand in one of the sets only (the bitmap
+    filter of Sandes, Teodoro and Melo, 2020), so no pair of similar sets is lost by comparing them."""
+    odd = np.bincount((shingles >> np.uint64(55)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
-def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, distance: int = 36, wide_distance: int = 90, bucket: int = 256) -> DataFrame:
+
+def may_be_similar(similarity: float) -> Column:
+    """Of x and y: false only where sizes and parities show that the similarity is not reached."""
+    least, both = F.least("x.size", "y.size"), F.col("x.size") + F.col("y.size")
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in PARITIES])
+    return (least + 1e-6 >= similarity * F.greatest("x.size", "y.size")) & (apart <= both * ((1 - similarity) / (1 + similarity)) + 1e-6)
+
+
+def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, distance: int = 36, bucket: int = 256) -> DataFrame:
     """The rows and columns of ``documents`` with one row of each group of similar ones, that of its smallest id.
 
     Two texts are linked if their sets of word shingles have a Jaccard similarity of ``similarity`` or
@@ -169,10 +189,18 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     besides, only those of candidates are read again for their shingles.
     """
     tune(documents.sparkSession)
-    spread = _fingerprints(pick(documents, id=id_col, text=text_col), width, seed, WIDE)
-    spread = spread.select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "text_hash", *WIDE)
-    nodes = settle(spread.groupBy("text_hash", *WIDE).agg(F.min("row").alias("row")), "similar-nodes")
-    plain = nodes.select(F.col("text_hash").alias("node"), *WIDE)
+    kept = ("fp", "fq", "size", *PARITIES)
+
+    def sketch(hashes: list[np.ndarray]) -> dict:
+        held = [np.unique(h) for h in hashes]
+        odd = np.array([parities(h) for h in held]).reshape(-1, len(PARITIES))
+        made = {"fp": _longs([simhash(h) for h in hashes]), "fq": _longs([simhash(_rehash(h)) for h in hashes]), "size": pa.array([len(h) for h in held], pa.int64())}
+        return made | {c: pa.array(np.ascontiguousarray(odd[:, k])) for k, c in enumerate(PARITIES)}
+
+    spread = _made(pick(documents, id=id_col, text=text_col), width, seed, ", ".join(f"{c} long" for c in kept), sketch)
+    spread = spread.select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "text_hash", *kept)
+    nodes = settle(spread.groupBy("text_hash", *kept).agg(F.min("row").alias("row")), "similar-nodes")
+    plain = nodes.select(F.col("text_hash").alias("node"), *kept)
 
     texts = pick(documents, text=text_col).withColumn("node", F.xxhash64("text"))
 
@@ -202,13 +230,13 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
         return settle(map_arrow(joined.select("a", "b", "x", "y"), "a long, b long, good boolean", run).where("good").select("a", "b"), "similar-links")
 
-    found = candidates(plain, similar, distance, wide_distance, bucket)
+    found = candidates(plain, similar, similarity, distance, bucket)
     group = nodes.join(found, nodes.text_hash == found.node, "left").select("row", F.coalesce("root", nodes.text_hash).alias("root"))
     stay = settle(group.groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "similar-stay")
     return keep_rows(documents, stay, id_col, text_col)
 
 
-def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], distance: int, wide_distance: int, bucket: int, segments: tuple[int, ...] = (21, 21, 22)) -> DataFrame:
+def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], similarity: float, distance: int, bucket: int, segments: tuple[int, ...] = (21, 21, 22)) -> DataFrame:
     """(node, root) of the components that verified candidate pairs make.
 
     Fingerprints have 128 bits, fp and fq, in three segments each.  A segment's table lists them under all
@@ -221,8 +249,8 @@ def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], dist
     joins is one component from then on, and pairs within a component are left out, which changes no
     component.  A pair that meets under several values counts under one.  Under values that hold more
     than ``bucket`` fingerprints (beyond what chance brings) the first step is done once more, and then
-    those outside the value's largest component are tried with all, of which pairs within
-    ``wide_distance`` of 512 bits are verified.
+    those outside the value's largest component are tried with all.  Of either kind of pairs those go
+    whose sizes or parities show that they are not similar.
     """
     part = lambda side, k: F.shiftrightunsigned(f"{side}{spots[k][0]}", spots[k][2]).bitwiseAND(F.lit((1 << spots[k][1]) - 1))
     listed = lambda radius: F.concat(*[_values(half, k, bits, shift, radius) for k, (half, bits, shift) in enumerate(spots)])
@@ -254,6 +282,11 @@ def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], dist
             out = best if out is None else out.union(best)
         return settle(out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-hubs")
 
+    def likely(pairs: DataFrame) -> DataFrame:
+        held = nodes.select("node", "size", *PARITIES)
+        got = pairs.join(held.alias("x"), F.col("a") == F.col("x.node")).join(held.alias("y"), F.col("b") == F.col("y.node"))
+        return settle(got.where(may_be_similar(similarity)).select("a", "b"), "similar-likely")
+
     def rooted(found: DataFrame) -> DataFrame:
         known = components(found, "similar-components")
         return settle(nodes.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-rooted")
@@ -267,17 +300,16 @@ def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], dist
     x, y = few.alias("x"), few.alias("y")
     pairs = x.join(y, met & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (apart <= distance) & (F.col("x.value") == shared()))
     pairs = settle(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "similar-pairs")
-    found = found.union(similar(pairs))
+    found = found.union(similar(likely(pairs)))
     many = settle(table.join(large, "value", "left_semi"), "similar-many")
     if many.limit(1).count():
         found = found.union(similar(hubs(many)))
         marked = settle(many.select("value", "node").join(rooted(found), "node"), "similar-marked")
-        sizes = marked.select("root", "node").distinct().groupBy("root").agg(F.count("*").alias("size"))
-        main = marked.join(sizes, "root").groupBy("value").agg(F.max_by("root", F.struct("size", "root")).alias("main"))
-        outside = marked.join(main, "value").where("root <> main").select("value", "node", "root", *WIDE)
+        sizes = marked.select("root", "node").distinct().groupBy("root").agg(F.count("*").alias("n"))
+        main = marked.join(sizes, "root").groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+        outside = marked.join(main, "value").where("root <> main").select(*marked.columns)
         x, y = outside.alias("x"), marked.alias("y")
-        far = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in WIDE])
-        rest = x.join(y, met & (F.col("x.root") != F.col("y.root")) & (apart <= distance) & (far <= wide_distance) & (F.col("x.value") == shared()))
+        rest = x.join(y, met & (F.col("x.root") != F.col("y.root")) & (apart <= distance) & may_be_similar(similarity) & (F.col("x.value") == shared()))
         rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         found = found.union(similar(settle(rest, "similar-rest")))
     return components(found, "similar-components")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -103,3 +104,16 @@ def test_pairs_of_the_required_similarity_pass_the_distance(spark):
     texts = [t for pair in pairs_at(0.8, 10, random.Random(3), meets) for t in pair]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r.doc_id for r in S.deduplicate(docs).collect()) == list(range(0, 20, 2))
+
+
+def test_parities_pass_every_pair_of_the_required_similarity(spark):
+    pairs, columns = [], ["size", *S.PARITIES]
+    for words in (10, 150, 1000):
+        for a, b in pairs_at(0.8, 20, random.Random(words), words=words):
+            sets = [np.unique(S.shingle_hashes(t.encode())) for t in (a, b)]
+            pairs.append(tuple((len(h), *S.parities(h).tolist()) for h in sets))
+    kind = ", ".join(f"{c}: long" for c in columns)
+    rows = spark.createDataFrame(pairs, f"x struct<{kind}>, y struct<{kind}>")
+    assert rows.where(S.may_be_similar(0.8)).count() == len(pairs)
+    other = spark.createDataFrame([(x[0], y[1]) for x, y in zip(pairs[20:], pairs[21:], strict=False) if x[0][0] < 500], f"x struct<{kind}>, y struct<{kind}>")
+    assert other.where(S.may_be_similar(0.8)).count() == 0
