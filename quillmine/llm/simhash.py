@@ -8,7 +8,7 @@ segments' tables with small Hamming balls, and complete distances are verified o
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -178,29 +178,29 @@ def may_be_similar(similarity: float) -> Column:
     return (least + 1e-6 >= similarity * F.greatest("x.size", "y.size")) & (apart <= both * ((1 - similarity) / (1 + similarity)) + 1e-6)
 
 
-def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, distance: int = 36, bucket: int = 256) -> DataFrame:
+def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, bucket: int = 64) -> DataFrame:
     """The rows and columns of ``documents`` with one row of each group of similar ones, that of its smallest id.
 
     Two texts are linked if their sets of word shingles have a Jaccard similarity of ``similarity`` or
     more, and groups are what links connect; equal texts are linked whatever they hold.  Candidates come
-    from ``candidates`` below, so pairs that are barely similar enough can be missed, but texts that are
-    not similar enough are never linked.  Null ids come last; of rows with one id the smallest hash of
+    from ``candidates`` below, which misses no similar pair, and are verified exactly.  Null ids come last; of rows with one id the smallest hash of
     the text stays, and of rows with one id and text any.  Texts are shuffled once, for the last join;
     besides, only those of candidates are read again for their shingles.
     """
     tune(documents.sparkSession)
+    usual = _usual(pick(documents, text=text_col), width, seed)
     kept = ("fp", "fq", "size", *PARITIES)
 
     def sketch(hashes: list[np.ndarray]) -> dict:
         held = [np.unique(h) for h in hashes]
         odd = np.array([parities(h) for h in held]).reshape(-1, len(PARITIES))
         made = {"fp": _longs([simhash(h) for h in hashes]), "fq": _longs([simhash(_rehash(h)) for h in hashes]), "size": pa.array([len(h) for h in held], pa.int64())}
-        return made | {c: pa.array(np.ascontiguousarray(odd[:, k])) for k, c in enumerate(PARITIES)}
+        return made | {c: pa.array(np.ascontiguousarray(odd[:, k])) for k, c in enumerate(PARITIES)} | {"prefix": pa.array([_prefix(h, usual, similarity).tobytes() for h in held], pa.binary())}
 
-    spread = _made(pick(documents, id=id_col, text=text_col), width, seed, ", ".join(f"{c} long" for c in kept), sketch)
-    spread = spread.select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "text_hash", *kept)
-    nodes = settle(spread.groupBy("text_hash", *kept).agg(F.min("row").alias("row")), "similar-nodes")
-    plain = nodes.select(F.col("text_hash").alias("node"), *kept)
+    spread = _made(pick(documents, id=id_col, text=text_col), width, seed, ", ".join([*[f"{c} long" for c in kept], "prefix binary"]), sketch)
+    spread = spread.select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "text_hash", *kept, "prefix")
+    nodes = settle(spread.groupBy("text_hash", *kept, "prefix").agg(F.min("row").alias("row")), "similar-nodes")
+    plain = nodes.select(F.col("text_hash").alias("node"), *kept, "prefix")
 
     texts = pick(documents, text=text_col).withColumn("node", F.xxhash64("text"))
 
@@ -230,95 +230,118 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
         return settle(map_arrow(joined.select("a", "b", "x", "y"), "a long, b long, good boolean", run).where("good").select("a", "b"), "similar-links")
 
-    found = candidates(plain, similar, similarity, distance, bucket)
+    found = candidates(plain, similar, similarity, bucket)
     group = nodes.join(found, nodes.text_hash == found.node, "left").select("row", F.coalesce("root", nodes.text_hash).alias("root"))
     stay = settle(group.groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "similar-stay")
     return keep_rows(documents, stay, id_col, text_col)
 
 
-def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], similarity: float, distance: int, bucket: int, segments: tuple[int, ...] = (21, 21, 22)) -> DataFrame:
-    """(node, root) of the components that verified candidate pairs make.
+def _usual(texts: DataFrame, width: int, seed: int, share: int = 16, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur in several of one in ``share`` texts, at most ``most`` of them, and their counts.
 
-    Fingerprints have 128 bits, fp and fq, in three segments each.  A segment's table lists them under all
-    values within one bit of their own, so two meet where the segment differs in at most two bits; every
-    pair within 17 bits meets, and nearly all do that differ in some more.  Of these, pairs within
-    ``distance`` bits in all are verified.
+    They only say in which order shingles are taken, and any order finds the same pairs."""
+
+    def run(batch):
+        held = [np.unique(shingle_hashes(t, width, seed)) for t in batch["text"].cast(pa.binary()).to_pylist()]
+        return {"h": pa.array(np.concatenate(held).view(np.int64))}
+
+    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
+    counts = map_arrow(some, "h long", run).groupBy("h").count().where("count > 1")
+    got = counts.orderBy(F.desc("count"), "h").limit(most).toArrow()
+    keys, n = got.column(0).to_numpy().view(np.uint64), got.column(1).to_numpy()
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
+def _prefix(shingles: np.ndarray, usual: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles of a set, the rarest first, of which similar sets share one: all but as many as
+    a similar set must share, and one more.  Sets without shingles get a value of their own."""
+    if not len(shingles):
+        return np.zeros(1, np.uint64)
+    keys, n = usual
+    often = np.zeros(len(shingles), np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+        often = np.where(keys[at] == shingles, n[at], 0)
+    return shingles[np.lexsort((shingles, often))[: len(shingles) - max(1, int(np.ceil(similarity * len(shingles) - 1e-6))) + 1]]
+
+
+def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], similarity: float, bucket: int, segments: tuple[int, ...] = (21, 21, 22)) -> DataFrame:
+    """(node, root) of the components that all similar pairs make.
+
+    The pairs come from a prefix-filtered join (Chaudhuri, Ganti and Kaushik, 2006): in any one order of
+    shingles, two sets of a similarity share one of the first n - ceil(similarity * n) + 1 of either.  So
+    each set stands under these, the rarest first, and those that meet are verified, unless their
+    sizes or parities show that they are not similar; no pair is lost.
 
     The number of pairs would grow with the square of a group's size.  So, first, each fingerprint is tried
-    with the nearest of those that stand first or last where one of its segments is equal; what that
-    joins is one component from then on, and pairs within a component are left out, which changes no
-    component.  A pair that meets under several values counts under one.  Under values that hold more
-    than ``bucket`` fingerprints (beyond what chance brings) the first step is done once more, and then
-    those outside the value's largest component are tried with all.  Of either kind of pairs those go
-    whose sizes or parities show that they are not similar.
+    with the nearest of those that stand first or last where one of its SimHash segments is equal; what
+    that joins is one component from then on, and pairs within a component are left out, which changes
+    no component.  Under shingles that more than ``bucket`` sets hold this is done once more by shingle,
+    and then those outside the shingle's largest component are tried with all.
     """
-    part = lambda side, k: F.shiftrightunsigned(f"{side}{spots[k][0]}", spots[k][2]).bitwiseAND(F.lit((1 << spots[k][1]) - 1))
-    listed = lambda radius: F.concat(*[_values(half, k, bits, shift, radius) for k, (half, bits, shift) in enumerate(spots)])
-    spots = [(half, bits, sum(segments[:k])) for half in ("fp", "fq") for k, bits in enumerate(segments)]
+    listed = F.concat(*[_values(half, k, bits, shift) for k, (half, bits, shift) in enumerate((half, bits, sum(segments[:k])) for half in ("fp", "fq") for k, bits in enumerate(segments))])
     apart = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) + F.bit_count(F.col("x.fq").bitwiseXOR(F.col("y.fq")))
     met = F.col("x.value") == F.col("y.value")
-
-    def shared() -> Column:
-        """The one value that stands for a pair: of the first segment that differs in two bits at most, a
-        value between the two, the smaller if there are two."""
-        found = []
-        for k in range(len(spots)):
-            p, q = part("x.", k), part("y.", k)
-            d = p.bitwiseXOR(q)
-            low = d.bitwiseAND(-d)
-            n = F.bit_count(d)
-            between = F.when(n == 0, p).when(n == 1, F.least(p, q)).when(n == 2, F.least(p.bitwiseXOR(low), q.bitwiseXOR(low)))
-            found.append(between.bitwiseOR(F.lit(k << 40)))
-        return F.coalesce(*found)
-
+    held = nodes.drop("prefix")
 
     def hubs(rows: DataFrame) -> DataFrame:
         """Pairs of each fingerprint with the nearest first one and the nearest last one."""
-        ends = rows.groupBy("value").agg(*[f(c, "node").alias(c + end) for end, f in (("0", F.min_by), ("1", F.max_by)) for c in ("node", "fp", "fq", "root")])
+        names = ("node", "fp", "fq", "root", "size", *PARITIES)
+        ends = rows.groupBy("value").agg(*[f(F.struct(*names), "node").alias("end" + end) for end, f in (("0", F.min_by), ("1", F.max_by))])
         out = None
         for end in "01":
-            x, y = rows.alias("x"), ends.select("value", *[F.col(c + end).alias(c) for c in ("node", "fp", "fq", "root")]).alias("y")
-            best = x.join(y, met & (F.col("x.root") != F.col("y.root")) & (apart <= distance)).groupBy(F.col("x.node").alias("b")).agg(F.min_by(F.col("y.node"), F.struct(apart, F.col("y.node"))).alias("a"))
+            x, y = rows.alias("x"), ends.select("value", f"end{end}.*").alias("y")
+            best = x.join(y, met & (F.col("x.root") != F.col("y.root")) & may_be_similar(similarity)).groupBy(F.col("x.node").alias("b")).agg(F.min_by(F.col("y.node"), F.struct(apart, F.col("y.node"))).alias("a"))
             out = best if out is None else out.union(best)
         return settle(out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-hubs")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        held = nodes.select("node", "size", *PARITIES)
         got = pairs.join(held.alias("x"), F.col("a") == F.col("x.node")).join(held.alias("y"), F.col("b") == F.col("y.node"))
         return settle(got.where(may_be_similar(similarity)).select("a", "b"), "similar-likely")
 
-    def rooted(found: DataFrame) -> DataFrame:
+    def rooted(found: DataFrame, names: list[str]) -> DataFrame:
         known = components(found, "similar-components")
-        return settle(nodes.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-rooted")
-
-    exact = nodes.withColumn("root", F.col("node")).withColumn("value", F.explode(listed(0)))
-    found = similar(hubs(exact))
-    table = rooted(found).select("node", "fp", "fq", "root", F.explode(listed(1)).alias("value"))
-    chance = nodes.count() * max(len(_ball(b, 1)) / 2.0**b for b in segments)
-    large = settle(table.groupBy("value").count().where(F.col("count") > F.lit(bucket + 4 * chance)).select("value"), "similar-large")
-    few = table.join(large, "value", "left_anti")
+        return settle(nodes.select("node", *names).join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-rooted")
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefixes = [np.frombuffer(x, np.int64) for x in batch["prefix"].to_pylist()]
+            for k in range(0, len(prefixes), 64):
+                some = prefixes[k : k + 64]
+                times = np.repeat(np.arange(k, k + len(some)), [len(x) for x in some])
+                yield pa.RecordBatch.from_pydict({"value": pa.array(np.concatenate(some))} | {c: batch[c].take(pa.array(times)) for c in ("node", "root", "size")})
+
+    found = similar(hubs(held.withColumn("root", F.col("node")).withColumn("value", F.explode(listed))))
+    table = rooted(found, ["size", "prefix"]).mapInArrow(values, "value long, node long, root long, size long")
+    counts = table.groupBy("value").agg(F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("n > 1 and r0 <> r1")
+    shared = settle(counts.select("value", "n"), "similar-shared")
+    table = settle(table.join(shared, "value"), "similar-table")
+    few = table.where(F.col("n") <= bucket)
     x, y = few.alias("x"), few.alias("y")
-    pairs = x.join(y, met & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (apart <= distance) & (F.col("x.value") == shared()))
+    fits = F.least("x.size", "y.size") + 1e-6 >= similarity * F.greatest("x.size", "y.size")
+    pairs = x.join(y, met & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & fits)
     pairs = settle(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "similar-pairs")
     found = found.union(similar(likely(pairs)))
-    many = settle(table.join(large, "value", "left_semi"), "similar-many")
+    many = table.where(F.col("n") > bucket).select("value", "node")
     if many.limit(1).count():
-        found = found.union(similar(hubs(many)))
-        marked = settle(many.select("value", "node").join(rooted(found), "node"), "similar-marked")
+        whole = [c for c in held.columns if c != "node"]
+        found = found.union(similar(hubs(settle(many.join(rooted(found, whole), "node"), "similar-many"))))
+        marked = settle(many.join(rooted(found, whole), "node"), "similar-marked")
         sizes = marked.select("root", "node").distinct().groupBy("root").agg(F.count("*").alias("n"))
         main = marked.join(sizes, "root").groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
         outside = marked.join(main, "value").where("root <> main").select(*marked.columns)
         x, y = outside.alias("x"), marked.alias("y")
-        rest = x.join(y, met & (F.col("x.root") != F.col("y.root")) & (apart <= distance) & may_be_similar(similarity) & (F.col("x.value") == shared()))
+        rest = x.join(y, met & (F.col("x.root") != F.col("y.root")) & may_be_similar(similarity))
         rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         found = found.union(similar(settle(rest, "similar-rest")))
     return components(found, "similar-components")
 
 
-def _values(half: str, segment: int, bits: int, shift: int, radius: int) -> Column:
-    """What a fingerprint's segment stands under: all values within ``radius`` bits, with the segment's number."""
-    part = F.shiftrightunsigned(half, shift).bitwiseAND(F.lit((1 << bits) - 1)).bitwiseOR(F.lit(segment << 40))
-    return F.transform(F.array(*[F.lit(x).cast("long") for x in _ball(bits, radius)]), lambda m: part.bitwiseXOR(m))
+def _values(half: str, segment: int, bits: int, shift: int) -> Column:
+    """What a fingerprint's segment stands under: its bits, with the segment's number."""
+    part = F.shiftrightunsigned(half, shift).bitwiseAND(F.lit((1 << bits) - 1))
+    return F.array(part.bitwiseOR(F.lit(segment << 40)))
 
 
 def keep_rows(documents: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -117,3 +117,10 @@ def test_parities_pass_every_pair_of_the_required_similarity(spark):
     assert rows.where(S.may_be_similar(0.8)).count() == len(pairs)
     other = spark.createDataFrame([(x[0], y[1]) for x, y in zip(pairs[20:], pairs[21:], strict=False) if x[0][0] < 500], f"x struct<{kind}>, y struct<{kind}>")
     assert other.where(S.may_be_similar(0.8)).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [0, 64])
+def test_every_pair_of_the_required_similarity_is_linked(spark, bucket):
+    texts = [t for words in (12, 40, 150) for pair in pairs_at(0.8, 60, random.Random(words), words=words) for t in pair]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in S.deduplicate(docs, bucket=bucket).collect()) == list(range(0, len(texts), 2))
