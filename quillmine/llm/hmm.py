@@ -90,11 +90,16 @@ def log10_forward(sequences: list[np.ndarray], model: Model) -> np.ndarray:
 
 
 def expected_counts(sequences: list[np.ndarray], model: Model) -> np.ndarray:
-    """Baum-Welch counts of starts, moves and emissions, one after the other.
+    """Baum-Welch counts of starts, moves and emissions, one after the other."""
+    return _expected(sequences, model)[0]
+
+
+def _expected(sequences: list[np.ndarray], model: Model) -> tuple[np.ndarray, float]:
+    """Those counts, and the log10 probability of all sequences.
 
     Forward variables are held for ``BLOCK`` steps; of longer sequences those at the blocks' beginnings
     are, and each block is gone through again on the way back, so memory doesn't grow with a text."""
-    k = len(model.start)
+    k, log = len(model.start), 0.0
     start, move, emit, ones, moved = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k)), np.ones(k), np.ascontiguousarray(model.move.T)
     for _, seen, count in _together(sequences):
 
@@ -104,19 +109,20 @@ def expected_counts(sequences: list[np.ndarray], model: Model) -> np.ndarray:
             scale = 1 / (a @ ones)
             a *= scale[:, None]
             e *= scale[:, None]
-            return a, e
+            return a, e, scale
 
         saved, a, last = [], None, (len(seen) - 1) // BLOCK * BLOCK
         for t in range(last + 1):
             if t % BLOCK == 0:
                 saved.append(a)
             if t < last:
-                a, _ = forward(t, a)
+                a, _, _ = forward(t, a)
         after = None  # scaled emission times backward variable of the step after
         for block in range(len(saved) - 1, -1, -1):
             a, steps, flat, shares = saved[block], [], [], []
             for t in range(block * BLOCK, min(len(seen), (block + 1) * BLOCK)):
-                a, e = forward(t, a)
+                a, e, scale = forward(t, a)
+                log -= float(np.log10(scale).sum())
                 steps.append((t, a, e))
             while steps:
                 t, a, e = steps.pop()
@@ -135,7 +141,7 @@ def expected_counts(sequences: list[np.ndarray], model: Model) -> np.ndarray:
             flat, share = np.concatenate(flat), np.concatenate(shares)
             for j in range(k):
                 emit[:, j] += np.bincount(flat, share[:, j], CLASSES)
-    return np.concatenate([start, (move * model.move).ravel(), emit.ravel()])
+    return np.concatenate([start, (move * model.move).ravel(), emit.ravel()]), log
 
 
 def _packed(classes: np.ndarray) -> bytes:
@@ -185,7 +191,37 @@ def _common(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
 
 
-def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", states: int = 8, rounds: int = 2, warm: int = 10, known: int = 200_000, seed: int = 11) -> DataFrame:
+def learn(texts: DataFrame, share: np.ndarray, tokens: int, states: int = 8, gain: float = 1e-3, seed: int = 11) -> Model:
+    """Baum-Welch over all of the packed ``classes``, from states about the classes' shares of all texts.
+
+    Rounds end when one has raised the mean log10 probability of a token by less than ``gain``."""
+    size = states + states * states + CLASSES * states
+    model, before = Model.begin(share, states, seed), -np.inf
+
+    def step(model: Model):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size + 1)
+            for batch in batches:
+                counts, log = _expected([_unpacked(c) for c in batch.column(0).to_pylist()], model)
+                total[:-1] += counts
+                total[-1] += log
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({"at": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
+
+        return run
+
+    while tokens:
+        counted = np.zeros(size + 1)
+        for r in texts.mapInArrow(step(model), "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect():
+            counted[r["at"]] = r.n
+        model = Model.from_counts(counted[:-1], share, states)
+        if counted[-1] / tokens - before < gain:
+            break
+        before = counted[-1] / tokens
+    return model
+
+
+def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", states: int = 8, gain: float = 1e-3, known: int = 200_000, seed: int = 11) -> DataFrame:
     """(id, learnt, n_tokens, n_known, train_tokens, base_score, score): one row for each row of the input.
 
     ``usable`` is a condition on the column ``id``: the rows to learn from (``learnt``).  Tokens are a text's words
@@ -193,8 +229,7 @@ def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col
     model's log10 probability of the text, null texts being empty.  Words that weren't learnt share, in
     either, the place that the smoothing leaves them.
 
-    Each of the ``rounds`` of Baum-Welch goes over every text to learn from; they begin from ``warm``
-    rounds over the first 500 tokens of 500 texts.  The ``known`` most frequent words of at most 64 bytes
+    The model is that of ``learn`` below, over every whole text to learn from.  The ``known`` most frequent words of at most 64 bytes
     are looked up in each task (13 MB at most); all others are joined with the table of counts.  Rows
     with equal ids are scored each on its own.  An empty table, or nothing to learn from, is no error.
     """
@@ -258,29 +293,7 @@ def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col
     made = rows.select("id", "text", "learnt").mapInArrow(classify, f"id {id_type}, learnt boolean, classes binary, n_tokens long, log_near double, log_own double, rooms double, near long, rare array<binary>, times array<int>")
     made = settle(made.withColumn("row", F.monotonically_increasing_id()), "classes", "snappy")
 
-    part = int(min(1.0, 2000 / max(ends, 1)) * (1 << 30)) + 1  # else each task would send as many as are wanted of all
-    sample = made.where("learnt").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < part).select("classes").orderBy(F.xxhash64("id")).limit(500).collect()
-    model = Model.begin(share, states, seed)
-    start = [_unpacked(r.classes)[:500] for r in sample]
-    for _ in range(warm if start else 0):
-        model = Model.from_counts(expected_counts(start, model), share, states)
-
-    def step(model: Model):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(states + states * states + CLASSES * states)
-            for batch in batches:
-                total += expected_counts([_unpacked(c) for c in batch.column(0).to_pylist()], model)
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict({"at": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
-
-        return run
-
-    for _ in range(rounds if total else 0):
-        counted = np.zeros(states + states * states + CLASSES * states)
-        got = made.where("learnt").select("classes").mapInArrow(step(model), "at int, n double").groupBy("at").agg(F.sum("n").alias("n"))
-        for r in got.collect():
-            counted[r["at"]] = r.n
-        model = Model.from_counts(counted, share, states)
+    model = learn(made.where("learnt").select("classes"), share, int(total), states, gain, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

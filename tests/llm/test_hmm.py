@@ -96,3 +96,16 @@ def test_defined_cases(spark, known):
     nothing = H.score(df, F.lit(False)).collect()
     assert len(nothing) == 6 and all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in nothing)
     assert H.score(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_rounds_go_over_whole_texts_until_they_gain_little(spark):
+    rng = np.random.default_rng(2)
+    texts = [np.append(rng.integers(0, 20, n) + 20 * (np.arange(n) // 500), H.END).astype(np.int32) for n in (30, 700, 1600, 5, 900)]
+    share = (np.bincount(np.concatenate(texts), minlength=H.CLASSES) + 0.5) / (sum(map(len, texts)) + 0.5 * H.CLASSES)
+    tokens, model, logs = sum(map(len, texts)), H.Model.begin(share, 3, 7), []
+    while len(logs) < 2 or logs[-1] - logs[-2] >= 1e-3:
+        logs.append(H.log10_forward(texts, model).sum() / tokens)
+        model = H.Model.from_counts(H.expected_counts(texts, model), share, 3)
+    got = H.learn(spark.createDataFrame([(H._packed(t),) for t in texts], "classes binary"), share, tokens, 3, 1e-3, 7)
+    assert len(logs) > 3
+    assert got.emit == pytest.approx(model.emit) and got.move == pytest.approx(model.move) and got.start == pytest.approx(model.start)
