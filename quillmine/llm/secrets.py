@@ -18,7 +18,11 @@ from quillmine.llm.common import pick
 
 NAMES = r"(?:password|passwd|pwd|passphrase|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|bearer|authorization)"
 ASSIGNED = rf"(?=[pPsStTcCaAbB])(?i:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?[^\s\"',;]{{6,}}"
-PEM = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?s).{0,8000}?-----END [A-Z ]{0,30}-----)?"
+# A key's body: lines of Base64 however many, or else what stands before an END line nearby.  Possessive
+# repeats need no stack.
+LINES = r"(?:\s*+[A-Za-z][A-Za-z-]{0,40}: [^\r\n]{0,200}+)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{40,}+)++(?:(?:\s|\\[nr])++=?+[A-Za-z0-9+/]*+={0,2}+(?=[\r\n\\]|$)){0,2}+"
+LAST = r"-----END [A-Z ]{0,40}-----"
+PEM = rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY(?: BLOCK)?-----(?:{LINES}(?:\s|\\[nr])*+{LAST}|(?s:(?!-----(?:BEGIN|END) ).){{0,8000}}+{LAST}|{LINES})?"
 RUN = r"(?<![A-Za-z0-9_+/.~-])(?=[A-Za-z_+/.~-]*[0-9])[A-Za-z0-9_+/.~-]{12,}"
 CANDIDATE = f"{PEM}|{ASSIGNED}|{RUN}"
 NEEDED = "[0-9:=]|-----BEGIN"  # what every candidate holds: a digit, a sign of assignment or a key's first line
