@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from quillmine.llm.common import pick
 
 NAMES = r"(?:password|passwd|pwd|passphrase|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|bearer|authorization)"
-ASSIGNED = rf"(?=[pPsStTcCaAbB])(?i:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?[^\s\"',;]{{6,}}"
+LED = rf"(?i:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?(?:(?i:bearer|basic)\s{{1,3}}(?=[^\s\"',;]{{6}}))?"
+ASSIGNED = rf"(?=[pPsStTcCaAbB]){LED}[^\s\"',;]{{6,}}"
 # A key's body: lines of Base64 however many, or else what stands before an END line nearby.  Possessive
 # repeats need no stack.
 LINES = r"(?:\s*+[A-Za-z][A-Za-z-]{0,40}: [^\r\n]{0,200}+)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{40,}+)++(?:(?:\s|\\[nr])++=?+[A-Za-z0-9+/]*+={0,2}+(?=[\r\n\\]|$)){0,2}+"
@@ -149,7 +150,7 @@ def _scanned(rows: DataFrame, text_col: str, forest: list, threshold: float) ->
     rows = rows.withColumn("__hit", F.coalesce(text.rlike(NEEDED) & text.rlike(CANDIDATE), F.lit(False))).withColumn("__cut", F.struct(cut(1).alias("gaps"), cut(2).alias("matches")))
     found = F.col("__hit")
     kind = lambda m: F.when(m.startswith("-----BEGIN"), "pem").when(m.rlike(rf"^{ASSIGNED}$"), "assigned").otherwise("free")
-    value = lambda m: F.when(kind(m) == "assigned", F.regexp_replace(m, rf"^(?i:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?", "")).otherwise(m)
+    value = lambda m: F.when(kind(m) == "assigned", F.regexp_replace(m, f"^{LED}", "")).otherwise(m)
     used = F.aggregate(F.arrays_zip(F.col("__cut.gaps").alias("g"), F.col("__cut.matches").alias("m")), F.lit(0), lambda a, x: a + F.char_length(x["g"]) + F.char_length(x["m"]))
     tail = F.when(found, text.substr(used + 1, F.char_length(text))).otherwise(text)
     rows = rows.withColumn("__cut", F.struct("__cut.gaps", "__cut.matches", tail.alias("tail")))
@@ -159,8 +160,13 @@ def _scanned(rows: DataFrame, text_col: str, forest: list, threshold: float) ->
         match = F.element_at(matches, at + 1)
         held = value(match)
         led = F.substr(match, F.lit(1), F.char_length(match) - F.char_length(held))
+        # No match has under 10 characters, so four of them with their gaps reach back far enough.
+        first = F.greatest(at - 4, F.lit(0))
+        last = lambda x: F.right(x, F.lit(CONTEXT))
+        earlier = F.zip_with(F.slice(gaps, first + 1, at - first), F.slice(matches, first + 1, at - first), lambda g, m: F.concat(last(g), last(m)))
+        before = F.concat(last(F.concat(F.array_join(earlier, ""), last(gap))), led)
         after = F.coalesce(F.try_element_at(gaps, at + 2), tail)
-        return F.struct(gap.alias("gap"), led.alias("led"), held.alias("value"), kind(match).alias("kind"), F.concat(F.right(gap, F.lit(CONTEXT)), led).alias("before"), F.left(after, F.lit(CONTEXT)).alias("after"))
+        return F.struct(gap.alias("gap"), led.alias("led"), held.alias("value"), kind(match).alias("kind"), before.alias("before"), F.left(after, F.lit(CONTEXT)).alias("after"))
 
     rows = rows.withColumn("__found", F.transform(gaps, one))
     featured = F.transform(F.col("__found"), lambda x: F.struct(*[v.cast("double").alias(n) for n, v in zip(FEATURES, _features(x["value"], x["kind"], x["before"], x["after"]), strict=True)]))

@@ -77,3 +77,13 @@ def test_keys_are_masked_whole(spark, forest):
     got = {r.id: r.masked for r in S.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), forest).collect()}
     for i in range(len(keys)):
         assert got[i].split() == f"some words before {S.MASK} and some after it".split(), i
+
+
+def test_words_before_a_candidate_are_those_of_the_text(spark, forest):
+    token = "b7db7aa4a5fcc78305e2"
+    texts = [f"Authorization: Bearer {token} and more", f"commit 1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae {token} x"]
+    rows = S._scanned(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "text", forest, 0.5).orderBy("id").collect()
+    one = rows[0]["__found"]
+    assert [(x["value"], x["kind"], x["before"]) for x in one] == [(token, "assigned", "Authorization: Bearer ")]
+    assert rows[0]["__masked"] == f"Authorization: Bearer {S.MASK} and more"
+    assert [x["before"] for x in rows[1]["__found"]] == ["commit ", texts[1][:48][-40:]]
