@@ -133,7 +133,7 @@ def write_archives(pages: DataFrame, out: str | None = None, id_col: str = "page
 
     Payload: the html in UTF-8, empty where null.  Of the records with equal payloads of at least
     ``least`` bytes, those of the largest id are responses and the others revisit that id; a null id
-    is always a response.  Texts are compressed before the one shuffle that brings each record the id
+    is always a response, and rows of one id with different payloads are records of their own.  Texts are compressed before the one shuffle that brings each record the id
     it refers to; only digests are shuffled by digest.  Each attempt of a task writes files of its
     own, and only the manifest, of attempts that succeeded, says which count; so tasks can be lost.
     ``out`` is a folder that all executors reach (default: in the shared folder).
@@ -159,8 +159,8 @@ def write_archives(pages: DataFrame, out: str | None = None, id_col: str = "page
     slim = rows.select("page", F.octet_length(F.coalesce("html", F.lit(""))).alias("size"), F.unhex(F.sha1(F.coalesce("html", F.lit("")))).alias("digest"))
     slim = settle(slim.where((F.col("size") >= least) & F.col("page").isNotNull()), "warc-slim")
     groups = settle(slim.groupBy("digest").agg(F.max("page").alias("refers"), F.count("*").alias("n")).where("n > 1").drop("n"), "warc-groups")
-    again = slim.join(groups, "digest").where("page <> refers").select("page", "refers").distinct()
-    records = map_arrow(rows, f"page {page_type}, url string, size long, digest binary, frame binary", compress).join(again, "page", "left")
+    again = slim.join(groups, "digest").where("page <> refers").select("page", "digest", "refers").distinct()
+    records = map_arrow(rows, f"page {page_type}, url string, size long, digest binary, frame binary", compress).join(again, ["page", "digest"], "left")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, folder = fs.FileSystem.from_uri(out)

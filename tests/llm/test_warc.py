@@ -61,3 +61,13 @@ def test_query_equals_sql(spark):
     con.execute("CREATE VIEW pages AS SELECT * FROM '/root/testdata/sf0.001/pages.parquet'")
     want = sorted(map(str, con.execute(W.OP10_SQL).fetchall()))
     assert sorted(str(tuple(r)) for r in W.op10_warc_zstd(spark, "/root/testdata/sf0.001").collect()) == want
+
+
+def test_rows_of_one_id_with_different_payloads_are_kept_apart(spark, tmp_path):
+    a, b, c = "a" * 2000, "b" * 2000, "c" * 2000
+    rows = [(1, "u", a), (1, "u", c), (2, "u", a), (3, "u", b), (3, "u", c), (4, "u", b), (5, "u", c)]
+    got = W.read_archives(W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"file://{tmp_path}/out")).collect()
+    last = {a: 2, b: 4, c: 5}
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    want = sorted((i, sha(t), "response" if i == last[t] else "revisit", 0 if i == last[t] else last[t]) for i, _, t in rows)
+    assert sorted((r.page_id, r.digest, r.type, r.refers_to or 0) for r in got) == want
