@@ -8,8 +8,7 @@ segments' tables with small Hamming balls, and complete distances are verified o
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -58,36 +57,21 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id, fp): one row for each row of the input; fp holds the 64 bits as a signed long."""
     tune(documents.sparkSession)
     rows = pick(documents, id=id_col, text=text_col)
-    return _fingerprints(rows, width, seed).select("id", "fp")
+    return _fingerprints(rows, width, seed)
 
 
 def _fingerprints(rows: DataFrame, width: int, seed: int) -> DataFrame:
-    """The rows with fp, and with a hash of the text in the text's place."""
-    return _made(rows, width, seed, "fp long", lambda hashes: {"fp": _longs([simhash(h) for h in hashes])})
-
-
-def _longs(x: list[int]) -> pa.Array:
-    return pa.array(np.array(x, np.uint64).view(np.int64))
-
-
-def _made(rows: DataFrame, width: int, seed: int, schema: str, f: Callable[[list[np.ndarray]], dict]) -> DataFrame:
-    """The rows with what ``f`` makes of the texts' shingles, and with a hash of the text in its place."""
-    others = [c for c in rows.columns if c != "text"]
-    rows = rows.select(*others, F.xxhash64("text").alias("text_hash"), "text")
+    """The rows with fp in the text's place."""
+    id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batch):
-        made = f([shingle_hashes(t, width, seed) for t in batch["text"].cast(pa.binary()).to_pylist()])
-        return {c: batch[c] for c in [*others, "text_hash"]} | made
+        return {"id": batch["id"], "fp": _longs([fingerprint(t, width, seed) for t in batch["text"].cast(pa.binary()).to_pylist()])}
 
-    kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in others]
-    return map_arrow(rows, ", ".join([*kinds, "text_hash long", schema]), run)
+    return map_arrow(rows, f"id {id_type}, fp long", run)
 
 
-def _rehash(h: np.ndarray) -> np.ndarray:
-    """SplitMix64's finish, which leaves no two hashes equal that differ."""
-    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return h ^ h >> np.uint64(31)
+def _longs(x: list[int]) -> pa.Array:
+    return pa.array(np.array(x, np.uint64).view(np.int64))
 
 
 def _ball(bits: int, radius: int) -> list[int]:
@@ -159,93 +143,108 @@ def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
-PARITIES = tuple(f"p{k}" for k in range(8))
-
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """Whether the number of shingles with each value of the hash's last bits is odd; two bits a shingle or more.
 
-def parities(shingles: np.ndarray) -> np.ndarray:
-    """512 bits in eight words: whether the number of shingles of a hash's first nine bits is odd.
+    Two sets' bits differ in at most as many places as shingles stand in one of the sets only (the bitmap
+    filter of Sandes, Teodoro and Melo, 2020), also after the longer is folded to the length of the
+    other, so no pair of similar sets is lost by comparing them."""
+    size = 64
+    while size < 2 * len(shingles):
+        size *= 2
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
-    Two sets' words differ in at most as many bits as shingles stand in one of the sets only (the bitmap
-    filter of Sandes, Teodoro and Melo, 2020), so no pair of similar sets is lost by comparing them."""
-    odd = np.bincount((shingles >> np.uint64(55)).astype(np.int64), minlength=512) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
-
-def may_be_similar(similarity: float) -> Column:
-    """Of x and y: false only where sizes and parities show that the similarity is not reached."""
-    least, both = F.least("x.size", "y.size"), F.col("x.size") + F.col("y.size")
-    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in PARITIES])
-    return (least + 1e-6 >= similarity * F.greatest("x.size", "y.size")) & (apart <= both * ((1 - similarity) / (1 + similarity)) + 1e-6)
+def parity_distance(x: bytes, y: bytes) -> int:
+    """In how many places two sets' parity bits differ, the longer ones folded."""
+    a, b = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, bucket: int = 64) -> DataFrame:
     """The rows and columns of ``documents`` with one row of each group of similar ones, that of its smallest id.
 
     Two texts are linked if their sets of word shingles have a Jaccard similarity of ``similarity`` or
-    more, and groups are what links connect; equal texts are linked whatever they hold.  Candidates come
-    from ``candidates`` below, which misses no similar pair, and are verified exactly.  Null ids come last; of rows with one id the smallest hash of
-    the text stays, and of rows with one id and text any.  Texts are shuffled once, for the last join;
-    besides, only those of candidates are read again for their shingles.
+    more, and groups are what links connect; equal texts are linked whatever they hold, and so are texts
+    without words, null among them.  ``similar_groups`` below misses no similar pair.  Null ids come
+    last; of rows with one id the smallest hash of the text stays, and of rows with one id and text that
+    of the smallest hash over all columns.  An empty table gives an empty result.  Texts of any length
+    are compared whole.  Texts are not shuffled unless those that go are too many to broadcast.
     """
     tune(documents.sparkSession)
-    usual = _usual(pick(documents, text=text_col), width, seed)
-    kept = ("fp", "fq", "size", *PARITIES)
-
-    def sketch(hashes: list[np.ndarray]) -> dict:
-        held = [np.unique(h) for h in hashes]
-        odd = np.array([parities(h) for h in held]).reshape(-1, len(PARITIES))
-        made = {"fp": _longs([simhash(h) for h in hashes]), "fq": _longs([simhash(_rehash(h)) for h in hashes]), "size": pa.array([len(h) for h in held], pa.int64())}
-        return made | {c: pa.array(np.ascontiguousarray(odd[:, k])) for k, c in enumerate(PARITIES)} | {"prefix": pa.array([_prefix(h, usual, similarity).tobytes() for h in held], pa.binary())}
-
-    spread = _made(pick(documents, id=id_col, text=text_col), width, seed, ", ".join([*[f"{c} long" for c in kept], "prefix binary"]), sketch)
-    spread = spread.select(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash").alias("row"), "text_hash", *kept, "prefix")
-    nodes = settle(spread.groupBy("text_hash", *kept, "prefix").agg(F.min("row").alias("row")), "similar-nodes")
-    plain = nodes.select(F.col("text_hash").alias("node"), *kept, "prefix")
-
+    rows = pick(documents, id=id_col, text=text_col).select(F.struct(F.col("id").isNull().alias("none"), "id", F.xxhash64("text").alias("node")).alias("row"))
+    texts = settle(rows.groupBy("row").agg(F.count("*").alias("n")), "similar-texts")
+    found = similar_groups(documents, text_col, similarity, width, seed, bucket)
+    nodes = texts.groupBy(F.col("row.node").alias("node")).agg(F.min("row").alias("row"))
+    group = nodes.join(found, "node", "left").select("row", F.coalesce("root", "node").alias("root"))
+    stay = settle(group.groupBy("root").agg(F.min("row").alias("row")).select("row"), "similar-stay")
+    go = texts.join(stay, texts.row.eqNullSafe(stay.row), "left_anti")
+    again = texts.where("n > 1").join(stay, texts.row.eqNullSafe(stay.row), "left_semi")
+    return _without(documents, settle(go, "similar-go"), settle(again, "similar-again"), id_col, text_col)
+
+
+def similar_groups(documents: DataFrame, text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, bucket: int = 64) -> DataFrame:
+    """(node, root) of the texts (by xxhash64) that are similar to others, with what names their group.
+
+    Candidates come in two ways.  SimHash fingerprints that multi-index hashing finds within two bits of
+    each other are tried first.  But at a Jaccard similarity of 0.8 fingerprints differ in some ten bits,
+    where no small Hamming ball reaches.  So a prefix-filtered join (Chaudhuri, Ganti and Kaushik, 2006)
+    completes them: in any one order of shingles, two sets of a similarity share one of the first
+    n - ceil(similarity * n) + 1 of either.  Each set stands under these, the rarest first, and those
+    that meet are compared unless their sizes, the places where they meet or their parity bits show that
+    they are not similar; no pair is lost, and every link is verified on the shingles themselves.
+
+    The number of pairs would grow with the square of a group's size.  So each set is first tried with one
+    hub under each shingle; what that joins is one component from then on, and pairs within a component
+    are left out, which changes no component.  Under shingles that more than ``bucket`` sets hold, those
+    outside the shingle's largest component are tried with other members of it, the nearest first, and
+    only those that are still outside are compared with all.
+    """
     texts = pick(documents, text=text_col).withColumn("node", F.xxhash64("text"))
-
-    def sets(pairs: DataFrame) -> DataFrame:
-        """(node, shingles) of the nodes in the pairs."""
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        found = texts.join(wanted, "node", "left_semi").select("node", "text")
-
-        def run(batch):
-            held = [np.unique(shingle_hashes(t, width, seed)).tobytes() for t in batch["text"].cast(pa.binary()).to_pylist()]
-            return {"node": batch["node"], "shingles": pa.array(held, pa.binary())}
-
-        return map_arrow(found, "node long, shingles binary", run).groupBy("node").agg(F.first("shingles").alias("shingles"))
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        """The pairs whose shingles are similar enough, exactly."""
-        held = settle(sets(pairs), "similar-shingles")
-        joined = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-
-        def run(batch):
-            good = []
-            for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(x.tobytes() == y.tobytes() or both >= similarity * (len(x) + len(y) - both))
-            return {"a": batch["a"], "b": batch["b"], "good": pa.array(good, pa.bool_())}
-
-        return settle(map_arrow(joined.select("a", "b", "x", "y"), "a long, b long, good boolean", run).where("good").select("a", "b"), "similar-links")
-
-    found = candidates(plain, similar, similarity, bucket)
-    group = nodes.join(found, nodes.text_hash == found.node, "left").select("row", F.coalesce("root", nodes.text_hash).alias("root"))
-    stay = settle(group.groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "similar-stay")
-    return keep_rows(documents, stay, id_col, text_col)
+    usual = _usual(texts, width, seed)
+    kept = settle(_sketches(texts, usual, similarity, width, seed), "similar-sketches")
+    nodes = settle(kept.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "size", "bits")]), "similar-nodes")
+    check = _Check(texts, nodes, similarity, width, seed)
+
+    held = settle(_meetings(kept, usual, bucket), "similar-meetings")
+    hubs = held.where((F.col("node") != F.col("hub.node")) & _fits(F.col("meta"), F.col("hub.meta"), similarity))
+    pairs = hubs.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).union(_near_fingerprints(nodes))
+    found = check.links(pairs)
+
+    rooted = _rooted_by(held, found, "node", "meta", "value", "n")
+    few = rooted.where(F.col("n") <= bucket).groupBy("value").agg(F.collect_list(F.struct("node", "meta", "root")).alias("all"), F.min("root").alias("low"), F.max("root").alias("high"))
+    other = lambda y: (y["node"] > F.col("x.node")) & (y["root"] != F.col("x.root")) & _fits(F.col("x.meta"), y["meta"], similarity)
+    few = few.where("low <> high").select("all", F.explode("all").alias("x")).select(F.col("x.node").alias("a"), F.explode(F.filter("all", other)).alias("y"))
+    found = found.union(check.links(few.select("a", F.col("y.node").alias("b"))))
+
+    many = settle(held.where(F.col("n") > bucket).select("value", "node", "meta"), "similar-many")
+    if many.limit(1).count():
+        for nearest in (4, 16, None):
+            inside, outside = _main_and_others(_rooted_by(many, found, "node", "meta", "value"))
+            if nearest:
+                pairs = outside.join(inside, "value").where(_fits(F.col("meta"), F.col("hub.meta"), similarity)).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+            else:
+                pairs = _with_all(outside, _rooted_by(many, found, "node", "meta", "value"), similarity)
+            found = found.union(check.links(pairs, nearest))
+    return components(found, "similar-components")
 
 
 def _usual(texts: DataFrame, width: int, seed: int, share: int = 16, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that occur in several of one in ``share`` texts, at most ``most`` of them, and their counts.
 
-    They only say in which order shingles are taken, and any order finds the same pairs."""
+    They only say in which order shingles are taken and which are dealt to several tasks; any order finds
+    the same pairs."""
 
     def run(batch):
         held = [np.unique(shingle_hashes(t, width, seed)) for t in batch["text"].cast(pa.binary()).to_pylist()]
         return {"h": pa.array(np.concatenate(held).view(np.int64))}
 
-    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
+    some = texts.where(F.pmod("node", F.lit(share)) == 0).dropDuplicates(["node"]).select("text")
     counts = map_arrow(some, "h long", run).groupBy("h").count().where("count > 1")
     got = counts.orderBy(F.desc("count"), "h").limit(most).toArrow()
     keys, n = got.column(0).to_numpy().view(np.uint64), got.column(1).to_numpy()
@@ -266,93 +265,160 @@ def _prefix(shingles: np.ndarray, usual: tuple[np.ndarray, np.ndarray], similari
     return shingles[np.lexsort((shingles, often))[: len(shingles) - max(1, int(np.ceil(similarity * len(shingles) - 1e-6))) + 1]]
 
 
-def candidates(nodes: DataFrame, similar: Callable[[DataFrame], DataFrame], similarity: float, bucket: int, segments: tuple[int, ...] = (21, 21, 22)) -> DataFrame:
-    """(node, root) of the components that all similar pairs make.
-
-    The pairs come from a prefix-filtered join (Chaudhuri, Ganti and Kaushik, 2006): in any one order of
-    shingles, two sets of a similarity share one of the first n - ceil(similarity * n) + 1 of either.  So
-    each set stands under these, the rarest first, and those that meet are verified, unless their
-    sizes or parities show that they are not similar; no pair is lost.
+def _sketches(texts: DataFrame, usual: tuple[np.ndarray, np.ndarray], similarity: float, width: int, seed: int) -> DataFrame:
+    """(node, fp, size, bits, prefix) of the texts; of equal texts in one task only the first."""
 
-    The number of pairs would grow with the square of a group's size.  So, first, each fingerprint is tried
-    with the nearest of those that stand first or last where one of its SimHash segments is equal; what
-    that joins is one component from then on, and pairs within a component are left out, which changes
-    no component.  Under shingles that more than ``bucket`` sets hold this is done once more by shingle,
-    and then those outside the shingle's largest component are tried with all.
-    """
-    listed = F.concat(*[_values(half, k, bits, shift) for k, (half, bits, shift) in enumerate((half, bits, sum(segments[:k])) for half in ("fp", "fq") for k, bits in enumerate(segments))])
-    apart = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) + F.bit_count(F.col("x.fq").bitwiseXOR(F.col("y.fq")))
-    met = F.col("x.value") == F.col("y.value")
-    held = nodes.drop("prefix")
-
-    def hubs(rows: DataFrame) -> DataFrame:
-        """Pairs of each fingerprint with the nearest first one and the nearest last one."""
-        names = ("node", "fp", "fq", "root", "size", *PARITIES)
-        ends = rows.groupBy("value").agg(*[f(F.struct(*names), "node").alias("end" + end) for end, f in (("0", F.min_by), ("1", F.max_by))])
-        out = None
-        for end in "01":
-            x, y = rows.alias("x"), ends.select("value", f"end{end}.*").alias("y")
-            best = x.join(y, met & (F.col("x.root") != F.col("y.root")) & may_be_similar(similarity)).groupBy(F.col("x.node").alias("b")).agg(F.min_by(F.col("y.node"), F.struct(apart, F.col("y.node"))).alias("a"))
-            out = best if out is None else out.union(best)
-        return settle(out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-hubs")
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        got = pairs.join(held.alias("x"), F.col("a") == F.col("x.node")).join(held.alias("y"), F.col("b") == F.col("y.node"))
-        return settle(got.where(may_be_similar(similarity)).select("a", "b"), "similar-likely")
-
-    def rooted(found: DataFrame, names: list[str]) -> DataFrame:
-        known = components(found, "similar-components")
-        return settle(nodes.select("node", *names).join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-rooted")
-
-    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            prefixes = [np.frombuffer(x, np.int64) for x in batch["prefix"].to_pylist()]
-            for k in range(0, len(prefixes), 64):
-                some = prefixes[k : k + 64]
-                times = np.repeat(np.arange(k, k + len(some)), [len(x) for x in some])
-                yield pa.RecordBatch.from_pydict({"value": pa.array(np.concatenate(some))} | {c: batch[c].take(pa.array(times)) for c in ("node", "root", "size")})
-
-    found = similar(hubs(held.withColumn("root", F.col("node")).withColumn("value", F.explode(listed))))
-    table = rooted(found, ["size", "prefix"]).mapInArrow(values, "value long, node long, root long, size long")
-    counts = table.groupBy("value").agg(F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("n > 1 and r0 <> r1")
-    shared = settle(counts.select("value", "n"), "similar-shared")
-    table = settle(table.join(shared, "value"), "similar-table")
-    few = table.where(F.col("n") <= bucket)
-    x, y = few.alias("x"), few.alias("y")
-    fits = F.least("x.size", "y.size") + 1e-6 >= similarity * F.greatest("x.size", "y.size")
-    pairs = x.join(y, met & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & fits)
-    pairs = settle(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "similar-pairs")
-    found = found.union(similar(likely(pairs)))
-    many = table.where(F.col("n") > bucket).select("value", "node")
-    if many.limit(1).count():
-        whole = [c for c in held.columns if c != "node"]
-        found = found.union(similar(hubs(settle(many.join(rooted(found, whole), "node"), "similar-many"))))
-        marked = settle(many.join(rooted(found, whole), "node"), "similar-marked")
-        sizes = marked.select("root", "node").distinct().groupBy("root").agg(F.count("*").alias("n"))
-        main = marked.join(sizes, "root").groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-        outside = marked.join(main, "value").where("root <> main").select(*marked.columns)
-        x, y = outside.alias("x"), marked.alias("y")
-        rest = x.join(y, met & (F.col("x.root") != F.col("y.root")) & may_be_similar(similarity))
-        rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        found = found.union(similar(settle(rest, "similar-rest")))
-    return components(found, "similar-components")
+            fresh = []
+            for i, node in enumerate(batch.column("node").to_pylist()):
+                if node not in seen:
+                    seen.add(node)
+                    fresh.append(i)
+            for k in range(0, len(fresh), 256):
+                some = batch.take(pa.array(fresh[k : k + 256]))
+                lists = [shingle_hashes(t, width, seed) for t in some.column("text").cast(pa.binary()).to_pylist()]
+                sets = [np.unique(h) for h in lists]
+                prefixes = [_prefix(h, usual, similarity).view(np.int64) for h in sets]
+                ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+                yield pa.RecordBatch.from_pydict({
+                    "node": some.column("node"), "fp": _longs([simhash(h) for h in lists]), "size": pa.array([len(h) for h in sets], pa.int64()),
+                    "bits": pa.array([parity_bits(h) for h in sets], pa.binary()), "prefix": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))})
+
+    return texts.select("node", "text").mapInArrow(run, "node long, fp long, size long, bits binary, prefix array<long>")
+
+
+def _meetings(sketches: DataFrame, usual: tuple[np.ndarray, np.ndarray], bucket: int, share: int = 16, each: int = 65_536) -> DataFrame:
+    """(value, node, meta, hub, n): the sets that stand under each shingle that several have in their prefix.
+
+    meta is size and place in one number, hub the set of the smallest node with its meta, n how many sets
+    there are.  All prefixes are shuffled here once.  Shingles that the sample shows under more than
+    ``each`` sets are dealt to several tasks; each part then has a hub of its own, and n is over ``bucket``."""
+    meta = F.shiftleft("size", 32).bitwiseOR(F.col("at").cast("long")).alias("meta")
+    rows = sketches.select("node", "size", F.posexplode("prefix").alias("at", "value")).select("value", "node", meta)
+    keys, often = usual
+    parts = -(-often.astype(np.int64) * share // each)
+    hot, by = parts > 1, ["value"]
+    if hot.any():  # of the bounded list of usual shingles
+        table = sketches.sparkSession.createDataFrame(list(zip(keys[hot].view(np.int64).tolist(), parts[hot].tolist(), strict=True)), "value long, parts long")
+        rows = rows.join(F.broadcast(table), "value", "left").withColumn("part", F.when(F.col("parts").isNotNull(), F.pmod("node", "parts"))).drop("parts")
+        by = ["value", "part"]
+    w = Window.partitionBy(*by)
+    rows = rows.withColumn("hub", F.min(F.struct("node", "meta")).over(w)).withColumn("top", F.max("node").over(w)).withColumn("n", F.count("*").over(w))
+    split = F.col("part").isNotNull() if len(by) > 1 else F.lit(False)
+    rows = rows.withColumn("n", F.when(split, F.greatest("n", F.lit(bucket + 1))).otherwise(F.col("n")))
+    return rows.where((F.col("hub.node") != F.col("top")) | split).select("value", "node", "meta", "hub", "n")
+
+
+def _fits(x: Column, y: Column, similarity: float) -> Column:
+    """Whether two sets' sizes, and the shingles that are left from where they meet, allow the similarity."""
+    size, left = lambda m: F.shiftright(m, 32), lambda m: F.shiftright(m, 32) - m.bitwiseAND(F.lit((1 << 32) - 1))
+    shared = F.least(left(x), left(y)) + 1e-6 >= (size(x) + size(y)) * (similarity / (1 + similarity))
+    empty = (size(x) == 0) & (size(y) == 0)
+    return empty | (shared & (F.least(size(x), size(y)) + 1e-6 >= F.greatest(size(x), size(y)) * similarity))
+
+
+def _near_fingerprints(nodes: DataFrame) -> DataFrame:
+    """Pairs of texts whose fingerprints are equal or near, each by the least text of a fingerprint."""
+    least = settle(nodes.groupBy("fp").agg(F.min("node").alias("least")), "similar-fingerprints")
+    same = nodes.join(least, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    near = links(least.select("fp"))
+    for end in "ab":
+        near = near.join(least.select(F.col("fp").alias(end), F.col("least").alias(end * 2)), end)
+    return same.union(near.select(F.col("aa").alias("a"), F.col("bb").alias("b")))
+
+
+def _rooted_by(rows: DataFrame, found: DataFrame, *names: str) -> DataFrame:
+    """The rows with the root of each node's component under the links found so far."""
+    known = components(found, "similar-components")
+    return settle(rows.select(*names).join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-rooted")
+
+
+def _main_and_others(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of each value with several roots: (value, hub), a member of the largest component, another for each
+    value, and the rows of all other components."""
+    hub = F.min_by(F.struct("node", "meta"), F.xxhash64("node", "value"))
+    by = rows.groupBy("value", "root").agg(F.count("*").alias("n"), hub.alias("hub"))
+    main = by.groupBy("value").agg(F.max(F.struct("n", "root", "hub")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
+    main = settle(main.select("value", F.col("m.root").alias("main"), F.col("m.hub").alias("hub")), "similar-main")
+    outside = settle(rows.join(main.select("value", "main"), "value").where("root <> main").drop("main"), "similar-outside")
+    return main.select("value", "hub"), outside
+
+
+def _with_all(outside: DataFrame, rows: DataFrame, similarity: float, each: int = 4096) -> DataFrame:
+    """Pairs of each outside row with all of other roots under its value, dealt in parts of some ``each`` rows."""
+    parts = rows.join(outside.select("value").distinct(), "value", "left_semi").groupBy("value").agg(F.ceil(F.count("*") / each).cast("int").alias("parts"))
+    parts = settle(parts, "similar-parts")
+    x = outside.join(parts, "value").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("x")
+    y = rows.join(parts, "value").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).alias("y")
+    met = (F.col("x.value") == F.col("y.value")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.root") != F.col("y.root"))
+    return x.join(y, met & _fits(F.col("x.meta"), F.col("y.meta"), similarity)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+class _Check:
+    """Verifies pairs of texts, first by their parity bits, then by their shingles."""
+
+    def __init__(self, texts: DataFrame, nodes: DataFrame, similarity: float, width: int, seed: int):
+        self.texts, self.nodes, self.similarity, self.width, self.seed = texts, nodes.select("node", "size", "bits"), similarity, width, seed
+
+    def links(self, pairs: DataFrame, nearest: int | None = None) -> DataFrame:
+        """The pairs (a, b) that are similar; of each b only the ``nearest`` by parity bits are tried, if that is given."""
+        similarity = self.similarity
+        pairs = pairs if nearest else pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = settle(pairs.where("a <> b").distinct(), "similar-pairs")
+
+        def compare(batch):
+            apart, good = [], []
+            for m, n, x, y in zip(*[batch[c].to_pylist() for c in ("m", "n", "x", "y")], strict=True):
+                fits = min(m, n) + 1e-6 >= similarity * max(m, n)
+                apart.append(parity_distance(x, y) if fits else 0)
+                good.append(fits and apart[-1] <= (m + n) * (1 - similarity) / (1 + similarity) + 1e-6)
+            return {"a": batch["a"], "b": batch["b"], "apart": pa.array(apart, pa.int64()), "good": pa.array(good, pa.bool_())}
+
+        joined = pairs.join(self.nodes.toDF("a", "m", "x"), "a").join(self.nodes.toDF("b", "n", "y"), "b").select("a", "b", "m", "n", "x", "y")
+        likely = map_arrow(joined, "a long, b long, apart long, good boolean", compare).where("good")
+        if nearest:
+            by = Window.partitionBy("b").orderBy("apart", "a")
+            likely = likely.withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= nearest)
+        likely = settle(likely.select("a", "b"), "similar-likely")
+
+        wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+
+        width, seed = self.width, self.seed
+
+        def sets(batch):
+            held = [np.unique(shingle_hashes(t, width, seed)).tobytes() for t in batch["text"].cast(pa.binary()).to_pylist()]
+            return {"node": batch["node"], "shingles": pa.array(held, pa.binary())}
 
+        some = self.texts.join(wanted, "node", "left_semi").select("node", "text")
+        held = settle(map_arrow(some, "node long, shingles binary", sets).groupBy("node").agg(F.first("shingles").alias("shingles")), "similar-shingles")
 
-def _values(half: str, segment: int, bits: int, shift: int) -> Column:
-    """What a fingerprint's segment stands under: its bits, with the segment's number."""
-    part = F.shiftrightunsigned(half, shift).bitwiseAND(F.lit((1 << bits) - 1))
-    return F.array(part.bitwiseOR(F.lit(segment << 40)))
+        def verify(batch):
+            good = []
+            for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(len(x) == len(y) == 0 or both >= similarity * (len(x) + len(y) - both))
+            return {"a": batch["a"], "b": batch["b"], "good": pa.array(good, pa.bool_())}
 
+        joined = likely.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b").select("a", "b", "x", "y")
+        return settle(map_arrow(joined, "a long, b long, good boolean", verify).where("good").select("a", "b"), "similar-links")
 
-def keep_rows(documents: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row of ``documents`` for each (id, text_hash) of ``stay``."""
-    key = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
+
+def _without(documents: DataFrame, go: DataFrame, again: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``documents`` but those of the texts in ``go``, and one of each that ``again`` names."""
     names = documents.columns
-    rows = documents.toDF(*[f"_{i}" for i in range(len(names))])
-    rows = rows.withColumn("k", key(F.col(f"_{names.index(id_col)}"))).withColumn("h", F.xxhash64(f"_{names.index(text_col)}"))
-    stay = stay.select(key(F.col("id")).alias("k"), F.col("text_hash").alias("h"))
-    found = rows.join(stay, ["k", "h"]).withColumn("n", F.row_number().over(Window.partitionBy("k", "h").orderBy("k")))
-    return found.where("n = 1").select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
+    numbered = documents.toDF(*[f"_{i}" for i in range(len(names))])
+    key = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
+    keyed = lambda df: df.select(key(F.col("row.id")).alias("k"), F.col("row.node").alias("h"))
+    rows = numbered.withColumn("k", key(F.col(f"_{names.index(id_col)}"))).withColumn("h", F.xxhash64(f"_{names.index(text_col)}"))
+    rows = rows.join(keyed(go), ["k", "h"], "left_anti")
+    if again.limit(1).count():
+        hashed = [F.col(f.name) for f in numbered.schema.fields if "map<" not in f.dataType.simpleString()]
+        repeats = rows.join(keyed(again), ["k", "h"], "left_semi").withColumn("n", F.row_number().over(Window.partitionBy("k", "h").orderBy(F.xxhash64(*hashed))))
+        rows = rows.join(keyed(again), ["k", "h"], "left_anti").union(repeats.where("n = 1").drop("n"))
+    return rows.select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

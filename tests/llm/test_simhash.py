@@ -94,29 +94,15 @@ def pairs_at(similarity, n, rng, keep=lambda a, b: True, words=150):
     return found
 
 
-def test_pairs_of_the_required_similarity_pass_the_distance(spark):
-    def meets(a, b):
-        h, other = S.shingle_hashes(a.encode()), S.shingle_hashes(b.encode())
-        d = [S.simhash(h) ^ S.simhash(other), S.simhash(S._rehash(h)) ^ S.simhash(S._rehash(other))]
-        parts = [(x >> s & (1 << n) - 1).bit_count() for x in d for s, n in ((0, 21), (21, 21), (42, 22))]
-        return 25 <= sum(parts) <= 36 and min(parts) <= 2
-
-    texts = [t for pair in pairs_at(0.8, 10, random.Random(3), meets) for t in pair]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert sorted(r.doc_id for r in S.deduplicate(docs).collect()) == list(range(0, 20, 2))
-
-
-def test_parities_pass_every_pair_of_the_required_similarity(spark):
-    pairs, columns = [], ["size", *S.PARITIES]
+def test_parity_bits_pass_every_pair_of_the_required_similarity():
+    apart = lambda x, y: S.parity_distance(S.parity_bits(x), S.parity_bits(y))
+    sets = lambda t: np.unique(S.shingle_hashes(t.encode()))
     for words in (10, 150, 1000):
-        for a, b in pairs_at(0.8, 20, random.Random(words), words=words):
-            sets = [np.unique(S.shingle_hashes(t.encode())) for t in (a, b)]
-            pairs.append(tuple((len(h), *S.parities(h).tolist()) for h in sets))
-    kind = ", ".join(f"{c}: long" for c in columns)
-    rows = spark.createDataFrame(pairs, f"x struct<{kind}>, y struct<{kind}>")
-    assert rows.where(S.may_be_similar(0.8)).count() == len(pairs)
-    other = spark.createDataFrame([(x[0], y[1]) for x, y in zip(pairs[20:], pairs[21:], strict=False) if x[0][0] < 500], f"x struct<{kind}>, y struct<{kind}>")
-    assert other.where(S.may_be_similar(0.8)).count() == 0
+        pairs = [(sets(a), sets(b)) for a, b in pairs_at(0.8, 20, random.Random(words), words=words)]
+        assert all(apart(x, y) <= len(np.setxor1d(x, y)) for x, y in pairs)
+        assert all(apart(x, y) > (len(x) + len(y)) / 9 for (x, _), (_, y) in zip(pairs, pairs[1:], strict=False))
+    long, short = sets(" ".join(map(str, range(9000)))), sets(" ".join(map(str, range(100))))
+    assert apart(long, short) <= len(np.setxor1d(long, short)) and apart(short, long) == apart(long, short)
 
 
 @pytest.mark.parametrize("bucket", [0, 64])
