@@ -27,7 +27,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; all documents stay, and n_chars is that of the text as it is now."""
-    masked = secrets.mask(docs, secrets.train(secrets.labelled_findings(spark)))
+    masked = secrets.mask(docs, secrets.scanner_of(docs))
     if "n_chars" not in docs.columns:
         return masked
     return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
