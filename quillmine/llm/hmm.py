@@ -26,7 +26,8 @@ OWN, TAILS = 2000, 1023  # classes of one word each, and classes by a word's las
 END = OWN + TAILS
 CLASSES = END + 1
 BLOCK = 4096  # steps of a sequence whose forward variables are held at a time
-CHUNK = 300_000  # tokens of sequences that advance together
+CHUNK = 300_000  # forward variables of so many tokens are held for sequences that advance together
+AT_ONCE = 2_000_000  # tokens that a task gathers before it goes through them
 
 
 def tokens(raw: bytes | None) -> list[bytes]:
@@ -67,7 +68,8 @@ def _together(sequences: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarr
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
     while order:
         longest = len(sequences[order[0]])
-        some, order = order[: max(1, CHUNK // longest)], order[max(1, CHUNK // longest) :]
+        n = max(1, min(CHUNK // min(longest, BLOCK), 8 * CHUNK // longest))
+        some, order = order[:n], order[n:]
         seen = np.full((longest, len(some)), END, np.intp)
         for j, i in enumerate(some):
             seen[: len(sequences[i]), j] = sequences[i]
@@ -175,34 +177,54 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def _common(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """At most ``most`` words of at most 64 bytes with their counts, the most frequent first.
+    """The most frequent words with their counts, of ``most`` times 65 bytes in all, the most frequent first.
 
     Counts are binned finely, and the bins' sizes tell from which count on all words fit; so however
     many tasks there are, no more than that comes to the driver."""
-    short = counts.where("word is not null and octet_length(word) <= 64").withColumn("bin", F.floor(F.log2(F.col("n").cast("double")) * 32).cast("int"))
-    bins, least = sorted(((r["bin"], r["count"]) for r in short.groupBy("bin").count().collect()), reverse=True), None
-    for b, size in bins:
-        if (most := most - size) < 0:
+    known = counts.where("word is not null and octet_length(word) <= 65536").withColumn("bin", F.floor(F.log2(F.col("n").cast("double")) * 32).cast("int"))
+    left, least = most * 65, None
+    for r in sorted(known.groupBy("bin").agg(F.sum(F.octet_length("word") + 48).alias("bytes")).collect(), reverse=True):
+        if (left := left - r["bytes"]) < 0:
             break
-        least = b
+        least = r["bin"]
     if least is None:
         return []
-    got = short.where(F.col("bin") >= least).select("word", "n").toArrow()
+    got = known.where(F.col("bin") >= least).select("word", "n").toArrow()
     return sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
 
 
-def learn(texts: DataFrame, share: np.ndarray, tokens: int, states: int = 8, gain: float = 1e-3, seed: int = 11) -> Model:
-    """Baum-Welch over all of the packed ``classes``, from states about the classes' shares of all texts.
-
-    Rounds end when one has raised the mean log10 probability of a token by less than ``gain``."""
+def _gathered(batches: Iterator[pa.RecordBatch], column: str = "classes") -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray]]]:
+    """Batches by some ``AT_ONCE`` tokens, with their sequences: the more advance together, the less a step costs."""
+    held, sequences, size = [], [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        sequences += [_unpacked(c) for c in batch.column(column).to_pylist()]
+        size += sum(map(len, sequences[-batch.num_rows :]))
+        if size >= AT_ONCE:
+            yield held, sequences
+            held, sequences, size = [], [], 0
+    if held:
+        yield held, sequences
+
+
+def learn(blocks: list[DataFrame], share: np.ndarray, tokens: int, states: int = 8, gain: float = 1e-3, seed: int = 11) -> Model:
+    """Incremental Baum-Welch (Neal and Hinton, 1998) over the packed ``classes`` of all blocks of the texts, from
+    states about the classes' shares of all texts.
+
+    A round goes over every text whole, block by block; after each block its counts replace those that it
+    gave in the round before, and the parameters follow from the counts of all blocks, so a round improves
+    them as often as there are blocks.  One block is the usual algorithm.  Rounds end when one has raised
+    the mean log10 probability of a token by less than ``gain``."""
     size = states + states * states + CLASSES * states
-    model, before = Model.begin(share, states, seed), -np.inf
+    model, before, held = Model.begin(share, states, seed), -np.inf, np.zeros((len(blocks), size))
 
     def step(model: Model):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(size + 1)
-            for batch in batches:
-                counts, log = _expected([_unpacked(c) for c in batch.column(0).to_pylist()], model)
+            for _, sequences in _gathered(batches):
+                counts, log = _expected(sequences, model)
                 total[:-1] += counts
                 total[-1] += log
             at = np.flatnonzero(total)
@@ -211,17 +233,20 @@ def learn(texts: DataFrame, share: np.ndarray, tokens: int, states: int = 8, gai
         return run
 
     while tokens:
-        counted = np.zeros(size + 1)
-        for r in texts.mapInArrow(step(model), "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect():
-            counted[r["at"]] = r.n
-        model = Model.from_counts(counted[:-1], share, states)
-        if counted[-1] / tokens - before < gain:
+        log = 0.0
+        for b, texts in enumerate(blocks):
+            counted = np.zeros(size + 1)
+            got = texts.select("classes").mapInArrow(step(model), "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+            counted[got.column(0).to_numpy()] = got.column(1).to_numpy()
+            held[b], log = counted[:-1], log + counted[-1]
+            model = Model.from_counts(held.sum(0), share, states)
+        if log / tokens - before < gain:
             break
-        before = counted[-1] / tokens
+        before = log / tokens
     return model
 
 
-def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", states: int = 8, gain: float = 1e-3, known: int = 200_000, seed: int = 11) -> DataFrame:
+def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", states: int = 8, gain: float = 1e-3, known: int = 200_000, seed: int = 11, blocks: int = 8) -> DataFrame:
     """(id, learnt, n_tokens, n_known, train_tokens, base_score, score): one row for each row of the input.
 
     ``usable`` is a condition on the column ``id``: the rows to learn from (``learnt``).  Tokens are a text's words
@@ -229,8 +254,8 @@ def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col
     model's log10 probability of the text, null texts being empty.  Words that weren't learnt share, in
     either, the place that the smoothing leaves them.
 
-    The model is that of ``learn`` below, over every whole text to learn from.  The ``known`` most frequent words of at most 64 bytes
-    are looked up in each task (13 MB at most); all others are joined with the table of counts.  Rows
+    The model is that of ``learn`` above, over every whole text to learn from, in ``blocks`` blocks.  The most
+    frequent words are looked up in each task (``known`` times 65 bytes of them); all others are joined with the table of counts.  Rows
     with equal ids are scored each on its own.  An empty table, or nothing to learn from, is no error.
     """
     spark = documents.sparkSession
@@ -293,12 +318,16 @@ def score(documents: DataFrame, usable: Column, id_col: str = "doc_id", text_col
     made = rows.select("id", "text", "learnt").mapInArrow(classify, f"id {id_type}, learnt boolean, classes binary, n_tokens long, log_near double, log_own double, rooms double, near long, rare array<binary>, times array<int>")
     made = settle(made.withColumn("row", F.monotonically_increasing_id()), "classes", "snappy")
 
-    model = learn(made.where("learnt").select("classes"), share, int(total), states, gain, seed)
+    files = sorted(made.inputFiles())
+    parts = [spark.read.schema(made.schema).parquet(*files[b::blocks]) for b in range(min(blocks, len(files)))]
+    model = learn([p.where("learnt") for p in parts], share, int(total), states, gain, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            logs = log10_forward([_unpacked(c) for c in batch.column("classes").to_pylist()], model)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(logs)], [*batch.schema.names[:-1], "hmm"])
+        for held, sequences in _gathered(batches):
+            logs, at = log10_forward(sequences, model), 0
+            for batch in held:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(logs[at : at + batch.num_rows])], [*batch.schema.names[:-1], "hmm"])
+                at += batch.num_rows
 
     slim = made.select("id", "row", "learnt", "n_tokens", "log_near", "log_own", "rooms", "near", "classes")
     slim = slim.mapInArrow(run, f"id {id_type}, row long, learnt boolean, n_tokens long, log_near double, log_own double, rooms double, near long, hmm double")

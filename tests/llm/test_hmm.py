@@ -106,6 +106,9 @@ def test_rounds_go_over_whole_texts_until_they_gain_little(spark):
     while len(logs) < 2 or logs[-1] - logs[-2] >= 1e-3:
         logs.append(H.log10_forward(texts, model).sum() / tokens)
         model = H.Model.from_counts(H.expected_counts(texts, model), share, 3)
-    got = H.learn(spark.createDataFrame([(H._packed(t),) for t in texts], "classes binary"), share, tokens, 3, 1e-3, 7)
+    frame = lambda some: spark.createDataFrame([(H._packed(t),) for t in some], "classes binary")
+    got = H.learn([frame(texts)], share, tokens, 3, 1e-3, 7)
     assert len(logs) > 3
     assert got.emit == pytest.approx(model.emit) and got.move == pytest.approx(model.move) and got.start == pytest.approx(model.start)
+    by_block = H.learn([frame(texts[:2]), frame(texts[2:])], share, tokens, 3, 1e-3, 7)
+    assert H.log10_forward(texts, by_block).sum() / tokens > logs[-1] - 0.01
