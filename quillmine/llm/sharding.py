@@ -81,7 +81,7 @@ def shard_by_bytes(documents: DataFrame, shards: int = 8, id_col: str = "doc_id"
     large = large.where((F.col("n") * F.col("size") > LARGE * all_bytes / shards) | (F.col("n") > max(1, LARGE * rows / shards)))
     large = [tuple(r) for r in large.collect()]
     placed, room = _place(large, all_bytes, shards)
-    parts = {key: 1 + n // 1_000_000 for key, n, _ in large}
+    parts = {key: 1 + n * ranges // rows for key, n, _ in large}  # of a range's rows each
     grouped = [(key, k, parts[key]) for k, key in enumerate(sorted(parts))]
     table = F.broadcast(spark.createDataFrame(grouped, "key long, nth int, parts int"))
     big = slim.join(table, "key").select("id", "size", "crc", "key", "tie", (-1 - F.col("nth") * F.lit(1 << 32) - F.pmod("tie", "parts")).alias("at"))
