@@ -1 +1,9 @@
 """quillmine: a PySpark-native engine for mining scientific literature."""
+
+from quillmine.operators.dedup import DedupConfig, deduplicate
+from quillmine.operators.explore import Query, explore
+from quillmine.plans.config import load as load_config
+from quillmine.plans.steps import ExtractStep, FetchStep, Step, list_steps, register, run
+from quillmine.spine import Spine
+
+__all__ = ["DedupConfig", "ExtractStep", "FetchStep", "Query", "Spine", "Step", "deduplicate", "explore", "list_steps", "load_config", "register", "run"]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 
+from quillmine import files
 from quillmine.plans import config as C
 
 
@@ -16,7 +16,8 @@ def main(argv: list[str] | None = None) -> int:
     run = commands.add_parser("run", help="run the configured steps")
     run.add_argument("--config")
     run.add_argument("--steps", help="comma-separated")
-    commands.add_parser("inspect", help="metadata of a step").add_argument("step")
+    run.add_argument("--progress", choices=["json", "tty", "log"], default="json")
+    commands.add_parser("inspect", help="metadata of a step, or of all").add_argument("step", nargs="?")
     commands.add_parser("status", help="the spine's rows and columns")
     commands.add_parser("import-legacy", help="batch files of a folder").add_argument("folder")
     args = parser.parse_args(argv)
@@ -27,13 +28,16 @@ def main(argv: list[str] | None = None) -> int:
         overrides["general"]["steps"] = args.steps.split(",")
     config = C.load(getattr(args, "config", None), overrides)
     folder = config["general"]["output_dir"]
+    if args.command == "inspect" and args.step:
+        print(files.read_text(f"{folder}/step_log/{args.step}_meta.json") or f"no metadata of step {args.step}")
+        return 0
+    from quillmine.plans import steps
+
     if args.command == "inspect":
-        path = f"{folder}/step_log/{args.step}_meta.json"
-        print(open(path).read() if os.path.exists(path) else f"no metadata of step {args.step}")
+        print(json.dumps(steps.step_logs(f"{folder}/step_log")))
         return 0
     from pyspark.sql import SparkSession
 
-    from quillmine.plans import steps
     from quillmine.sources.batches import import_folder
     from quillmine.spine import Spine
 
@@ -43,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "import-legacy":
         print(json.dumps(import_folder(spine, args.folder)))
     else:
-        steps.run(spine, config, f"{folder}/step_log", lambda e: print(steps.progress_line(e)))
+        steps.run(spine, config, f"{folder}/step_log", steps.reporter(args.progress))
     return 0
 
 

@@ -7,6 +7,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quillmine.functions.arrow import with_columns
 
@@ -28,6 +29,7 @@ def _escaped(text: str) -> str:
     return re.sub(r'"(?:[^"\\]|\\.)*"', lambda m: m[0].replace("\n", r"\n").replace("\r", r"\r"), text, flags=re.S)
 
 
+# The names of the steps and their order, which records keep.
 STEPS: list[tuple[str, Callable[[str], str]]] = [
     ("strip_markdown_fences", _unfenced),
     ("extract_json_object", _outer),
@@ -76,4 +78,17 @@ def repair(raw: str | None, pattern: bool = True, model: Callable[[str], str] |
 
 
 def repair_frame(df: DataFrame, raw: str = "raw_response", pattern: bool = True, model: Callable[[str], str] | None = None) -> DataFrame:
-    return with_columns(df, [raw], f"{raw} string, content string, fix_applied string, fix_history string, error_label string", lambda r: (r, *repair(r, pattern, model)))
+    """The frame with content, fix_applied, fix_history and error_label.
+
+    Text that Spark finds to be JSON stays as it is and in the JVM; the others are repaired once for each
+    distinct text and joined back."""
+    names = ("content", "fix_applied", "fix_history", "error_label")
+    if not pattern:  # then every text goes to the model or fails
+        return with_columns(df, [raw], f"`{raw}` string, content string, fix_applied string, fix_history string, error_label string", lambda r: (r, *repair(r, pattern, model)))
+    plain = df.drop(*names).withColumn("__good", F.try_parse_json(raw).isNotNull())
+    bad = plain.where(~F.col("__good")).select(F.coalesce(raw, F.lit("")).alias("__raw")).distinct()
+    made = with_columns(bad, ["__raw"], "__raw string, content string, fix_applied string, fix_history string, error_label string", lambda r: (r, *repair(r, pattern, model)))
+    joined = plain.join(made, ~plain["__good"] & (F.coalesce(plain[raw], F.lit("")) == made["__raw"]), "left")
+    content = F.when(F.col("__good"), F.col(raw)).otherwise(F.col("content"))
+    history = F.when(F.col("__good"), "[]").otherwise(F.col("fix_history"))
+    return joined.select(*plain.drop("__good").columns, content.alias("content"), "fix_applied", history.alias("fix_history"), "error_label")

@@ -108,3 +108,34 @@ def shorten(text: Column, length: int = 50) -> Column:
 
 def cache_key(namespace: Column, params: Column) -> Column:
     return F.md5(F.concat_ws(":", namespace, params))
+
+
+def wrap_label(text: Column, width: int = 40, back: int = 12) -> Column:
+    """Broken in two at the last space of the ``back`` places up to ``width``; cut there if it has none."""
+    tail = F.substring(text, width - back + 2, back)  # the places where it may break, the last one last
+    at = F.char_length(F.regexp_extract(tail, "^(.*) ", 1))
+    broken = F.concat(F.substring(text, 1, width - back + 1), F.substring(tail, F.lit(1), at), F.lit("\n"), text.substr(F.lit(width - back + 3) + at, F.char_length(text)))
+    return F.when(F.char_length(text) <= width, text).when(tail.contains(" "), broken).otherwise(F.concat(F.substring(text, 1, width), F.lit("…")))
+
+
+def pretty(text: Column, labels: dict[str, str]) -> Column:
+    """The label of a value, or the value."""
+    table = F.create_map(*[F.lit(x) for item in labels.items() for x in item]) if labels else None
+    return text if table is None else F.coalesce(table[text], text)
+
+
+def title_case(text: Column) -> Column:
+    """Each word's first letter in upper case, the others in lower case, words being runs of letters."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))), "")
+
+
+def affiliation_of(author: Column) -> Column:
+    """The first of an author's ``affiliations``, or, where they are missing or empty, the ``affiliation``."""
+    many = author["affiliations"]
+    return F.coalesce(F.when(F.size(many) > 0, F.coalesce(F.get(many, F.lit(0)), F.lit(""))), author["affiliation"], F.lit(""))
+
+
+def id_list_key(ids: Column) -> Column:
+    """The hash of a list of ids as they stand, joined by commas."""
+    return F.md5(F.concat_ws(",", ids))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quillmine.spine import POS
 
+MOST_KEYS = 100_000  # keys of the first rows that a stride may go through on the driver
+
 
 @dataclass
 class Query:
@@ -87,12 +89,18 @@ def strided(slim: DataFrame, stride: int) -> DataFrame:
 def explore(papers: DataFrame, q: Query) -> tuple[DataFrame, int]:
     """(sample, number of matches): keys are sampled first, wide columns are then read for them alone.
 
-    The first rows are taken in one go, and counted only if there may be more of them."""
-    found = filtered(papers, q)
-    columns = [c for c in (q.columns or papers.columns) if c in papers.columns]
+    Matches are counted by the job that samples.  At most ``limit`` rows come to the driver, which gives
+    them in order; a stride's rows are every so manieth of the first limit * stride."""
+    spark, seen = papers.sparkSession, Observation()
+    found = filtered(papers, q).observe(seen, F.count(F.lit(1)).alias("n"))
+    columns = [c for c in dict.fromkeys(q.columns or papers.columns) if c in papers.columns]
     if q.mode == "first":
-        out = found.orderBy(POS).limit(q.limit)
-        taken = out.count()
-        return out.select(*columns), taken if taken < q.limit else found.count()
-    keys = sample_keys(found, q)
-    return papers.join(F.broadcast(keys.select("pmid").distinct()), "pmid", "left_semi").orderBy(POS).select(*columns), found.count()  # at most ``limit`` keys
+        rows = found.orderBy(POS).limit(q.limit).select(*columns).collect()
+    else:
+        if q.mode == "stride" and q.limit * q.stride <= MOST_KEYS:
+            keys = [r for r in found.select("pmid", POS).orderBy(POS).limit((q.limit - 1) * q.stride + 1).collect()][:: q.stride]
+        else:
+            keys = sample_keys(found, q).collect()
+        wanted = papers.where(F.col("pmid").isin([r["pmid"] for r in keys]) & F.col(POS).isin([r[POS] for r in keys]))
+        rows = wanted.orderBy(POS).select(*columns).collect()
+    return spark.createDataFrame(rows, papers.select(*columns).schema), seen.get["n"]

@@ -85,3 +85,30 @@ def cache_clear(cache: DataFrame, namespace: str | None = None, older_than: floa
 
 def cache_statistics(cache: DataFrame) -> DataFrame:
     return cache.groupBy("namespace").agg(F.count("*").alias("entries"), F.sum(F.char_length("value")).alias("size"))
+
+
+def with_papers(papers: DataFrame, records: DataFrame, on: str = "pmid") -> DataFrame:
+    """Papers with their records: those that have both, one row a record."""
+    return papers.join(records, on)
+
+
+def looked_up(records: DataFrame, papers: DataFrame, columns: list[str], on: str = "pmid", order: str = "_pos") -> DataFrame:
+    """Records with columns of their paper, null where it is missing; of papers with one key the last counts."""
+    last = papers.groupBy(on).agg(F.max_by(F.struct(*columns), order).alias("__paper"))
+    return records.join(last, on, "left").select(*records.columns, *[F.col(f"__paper.{c}").alias(c) for c in columns])
+
+
+def extracted_only(papers: DataFrame, records: DataFrame, on: str = "pmid") -> DataFrame:
+    """Papers that have a record."""
+    return papers.join(records.select(on).distinct(), on, "left_semi")
+
+
+ORIGINAL = ["OriginalResearch", "Original Research"]  # fixed values: the forms of the answer that counts
+
+
+def original_journals(records: DataFrame, journal: str, study: str, scopes: DataFrame, k: int = 10, order: str = "seq") -> DataFrame:
+    """(name, count, scope): the journals with most records of original research, ties as they first occur;
+    ``scopes`` is (journal in lower case, scope)."""
+    named = records.where(F.col(study).isin(ORIGINAL)).select(F.trim(journal).alias("name"), F.col(order).alias("__order")).where("name <> ''")
+    top = named.groupBy("name").agg(F.count("*").alias("count"), F.min("__order").alias("__first")).orderBy(F.desc("count"), "__first").limit(k)
+    return top.join(scopes, F.lower("name") == scopes["journal"], "left").select("name", "count", F.coalesce("scope", F.lit("Other")).alias("scope"))

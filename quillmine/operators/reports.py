@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmine.functions.geography import region
+from quillmine.functions.normalize import institution
 
 
 def journal_title(journal_json: Column) -> Column:
@@ -95,9 +96,17 @@ def top_per_group(counts: DataFrame, group: str, k: int, value: str) -> DataFram
     return counts.withColumn("rank", row).where(F.col("rank") <= k)
 
 
-def rank(counts: DataFrame, value: str) -> DataFrame:
-    """Places by count; ties get places of their own, by name.  The counts are few: one row a value."""
-    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), value)).cast("long"))
+def rank(counts: DataFrame, value: str, first: str | None = None) -> DataFrame:
+    """Places by count; ties get places of their own, in the order of the column ``first``, such as where a
+    value first occurs, or by name.
+
+    Only values of one count are sorted together: what ranks before them follows from how many values there
+    are of each larger count."""
+    sizes = counts.groupBy("n").agg(F.count("*").alias("__many"))
+    before = F.coalesce(F.sum("__many").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a count
+    row = F.row_number().over(Window.partitionBy("n").orderBy(*([first] if first else []), value))
+    placed = counts.withColumn("__row", row).join(sizes.select("n", before.alias("__before")), "n")
+    return placed.withColumn("rank", (F.col("__row") + F.col("__before")).cast("long")).select(*counts.columns, "rank")
 
 
 def role_counts(df: DataFrame, value: str = "entity") -> DataFrame:
@@ -137,6 +146,15 @@ def change_bounds(changes: DataFrame) -> DataFrame:
     return changes.where("apc is not null").agg(p.alias("p")).select(F.col("p")[0].alias("p5"), F.col("p")[1].alias("p95"))
 
 
+def colour_bounds(*changes: DataFrame) -> DataFrame:
+    """The 5th and 95th percentile of all changes as the ends of a scale: within -25 and 45, with 0 inside."""
+    every = changes[0].select("apc")
+    for more in changes[1:]:
+        every = every.union(more.select("apc"))
+    low, high = F.greatest("p5", F.lit(-25.0)), F.least("p95", F.lit(45.0))
+    return change_bounds(every).select(F.when(low >= 0, -2.0).otherwise(low).alias("vmin"), F.when(high <= 0, 2.0).otherwise(high).alias("vmax"))
+
+
 def bridge_names(counts: DataFrame, name: str, bridge: dict[str, str | None], value: str = "n") -> DataFrame:
     """Counts under other names: what maps to nothing is left out, what maps to one name adds up."""
     table = F.create_map(*[F.lit(x) for kv in bridge.items() if kv[1] is not None for x in kv])
@@ -191,6 +209,15 @@ def focus_profile(df: DataFrame, places: Column, pattern: str) -> DataFrame:
     return rows.agg(F.count("*").alias("papers"), F.count_if("s").alias("any"), F.count_if("f").alias("first"), F.count_if("l").alias("last"), F.count_if(F.col("f") & F.col("l")).alias("both"))
 
 
+def names_focus(name: Column, aliases: list[str], place: str, any_of: list[str], none_of: list[str] | None = None) -> Column:
+    """Whether a normalised name is that of the focus institution: an alias, or the place with one of some words
+    and none of others."""
+    low = F.lower(institution(name))
+    holds = lambda words: F.exists(F.array(*map(F.lit, words)), lambda w: low.contains(w))
+    said = low.contains(place) & holds(any_of)
+    return low.isin(aliases) | (said & ~holds(none_of) if none_of else said)
+
+
 def ranked_with_variants(counts: DataFrame, name: str, variants: dict[str, list[str]]) -> DataFrame:
     """Ranks after the variants of a name have been added up under it."""
     table = F.create_map(*[F.lit(x) for main, others in variants.items() for other in others for x in (other, main)])

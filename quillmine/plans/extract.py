@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 import pyarrow as pa
@@ -21,6 +22,7 @@ from quillmine.functions import text as T
 from quillmine.functions.json_repair import repair, valid
 from quillmine.operators.extractions import latest, pending
 from quillmine.plans.fields import Field, json_schema
+from quillmine.sources.chat_api import PaymentRequired
 
 
 class CostCapExceeded(RuntimeError):
@@ -70,10 +72,11 @@ def extract(papers: DataFrame, store: Store, run_id: str, fields: list[Field], c
     """Extract what the run lacks; counts of the run so far.
 
     ``client`` takes the system message, the prompt and the schema and gives ``content`` with any of the
-    record's fields on models, tokens and cost; what it raises becomes a failed record.
+    record's fields on models, tokens and cost; what it raises becomes a failed record, but for
+    ``PaymentRequired``, which ends the run.  Each task has ``concurrency`` requests under way at a time.
     """
     schema, name = json_schema(fields, config["schema_name"]), config["schema_name"]
-    system, pattern = T.system_message(config["user_instruction"]), config["pattern_fix"]
+    system, pattern, concurrency = T.system_message(config["user_instruction"]), config["pattern_fix"], config.get("concurrency", 1)
     spark = papers.sparkSession
     types = spark.createDataFrame([], schemas.EXTRACTIONS).schema
 
@@ -82,6 +85,8 @@ def extract(papers: DataFrame, store: Store, run_id: str, fields: list[Field], c
         record = {"pmid": pmid, "schema_name": name, "run_id": run_id, "raw_response": "", "created_at": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S.%fZ")}
         try:
             answer = client(system, prompt, schema)
+        except PaymentRequired:
+            raise
         except Exception as e:  # noqa: BLE001  a failed request is a record
             return record | {"error_label": f"api_error: {type(e).__name__}"}
         raw = answer.get("content") or ""
@@ -93,7 +98,8 @@ def extract(papers: DataFrame, store: Store, run_id: str, fields: list[Field], c
         from pyspark.sql.pandas.types import to_arrow_type
 
         for batch in batches:
-            made = [ask(p, t) for p, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            with ThreadPoolExecutor(max(1, concurrency)) as pool:
+                made = list(pool.map(ask, batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in made], to_arrow_type(f.dataType)) for f in types], types.names)
 
     spent = lambda: store.all().where((F.col("schema_name") == name) & (F.col("run_id") == run_id)).agg(F.coalesce(F.sum("cost_usd"), F.lit(0.0))).first()[0]

@@ -51,7 +51,9 @@ def halves(start: date, end: date) -> tuple[tuple[date, date], tuple[date, date]
 
 
 def divide(start: date, end: date, total: int, count: Callable[[date, date], int]) -> Iterator[tuple[date, date, int]]:
-    """A range as it is if its results fit, else its halves' ranges, down to single days."""
+    """A range as it is if its results fit, else its halves' ranges, down to single days.
+
+    A day may have more than fit; its results are then fetched by their ids (``id_chunks``)."""
     if total <= LIMIT or start == end:
         if total:
             yield start, end, total
@@ -73,6 +75,12 @@ def plan_queries(start: date, end: date, count: Callable[[date, date], int]) ->
     return [part for a, b, n in pack(whole) for part in divide(a, b, n, count)]
 
 
+def id_chunks(ids: list[str], batch: int, most: int = 200) -> list[list[str]]:
+    """The different ids in their order, in chunks of ``batch``, ``most`` at most."""
+    once, size = list(dict.fromkeys(ids)), max(1, min(batch, most))
+    return [once[k : k + size] for k in range(0, len(once), size)]
+
+
 def resume_from(latest: str | None, first: str = "2000/01/01") -> str:
     """Where to go on: some days before the latest fetch date, given as ISO text; else the beginning."""
     if not latest:

@@ -1,21 +1,32 @@
-"""Steps: functions over the spine, run in the order of the configuration, each leaving its metadata."""
+"""Steps over the spine, run in the order of the configuration, each leaving its metadata."""
 
 from __future__ import annotations
 
 import json
-import os
+import logging
+import sys
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import functions as F
 
+from quillmine import files
+
 from quillmine.functions.article_xml import parse_frame
 from quillmine.functions.text import exclusion_reason, llm_input
 from quillmine.operators.affiliations import KeywordFilter, filter_papers, filter_statistics
 from quillmine.operators.dedup import DedupConfig, deduplicate, statistics
+from quillmine.plans.extract import Store, extract
+from quillmine.plans.fetch import check_range, resume_from
+from quillmine.plans.fields import Field
+from quillmine.sources.batches import articles
+from quillmine.sources.chat_api import ChatClient
+from quillmine.sources.literature_api import LiteratureSource, transport
 from quillmine.spine import Spine
+from quillmine.streaming.ingest import resume_date
 
 
 @dataclass
@@ -30,6 +41,73 @@ class StepMeta:
     extra: dict = field(default_factory=dict)
 
 
+class Step:
+    """A step: ``run`` does it and gives what its metadata should say; what isn't fit raises ValueError."""
+
+    def validate_input(self, spine: Spine, config: dict) -> None:
+        """Whether the step can begin."""
+
+    def run(self, spine: Spine, config: dict) -> dict:
+        raise NotImplementedError
+
+    def validate_output(self, spine: Spine, config: dict) -> None:
+        """Whether the step has left what it should."""
+
+
+class TooManyFailures(RuntimeError):
+    pass
+
+
+class FetchStep(Step):
+    """Fetch what a query finds, from some days before the latest fetch on, and append what the spine lacks.
+
+    Up to ``tolerate`` batches may fail; they are told in the metadata and fetched again by the next run,
+    since it begins with an overlap."""
+
+    def validate_input(self, spine: Spine, config: dict) -> None:
+        if not config.get("query"):
+            raise ValueError("fetch.query is empty")
+        check_range(config["start"], config.get("end") or date.today().strftime("%Y/%m/%d"))
+        transport(config["transport"])
+
+    def run(self, spine: Spine, config: dict) -> dict:
+        spine.merge_staging()
+        begin, end = config["start"], config.get("end") or date.today().strftime("%Y/%m/%d")
+        if (latest := resume_date(spine)) and (later := resume_from(latest)) <= end:
+            begin = max(begin, later)  # a range that ended before is gone through again, for what failed then
+        start, end = check_range(begin, end)
+        options = {"transport": config["transport"], "term": config["query"], "start": start.isoformat(), "end": end.isoformat(), "timestamp": datetime.now(UTC).isoformat()}
+        options |= {k: str(config[k]) for k in ("batch", "rate", "readers", "cache", "ttl") if config.get(k) is not None}
+        spine.spark.dataSource.register(LiteratureSource)
+        held = f"{spine.path}-fetch/{uuid.uuid4().hex}"  # answers are kept whatever becomes of the step
+        spine.spark.read.format("literature").options(**options).load().write.parquet(held)
+        batches = spine.spark.read.parquet(held)
+        n, bad = batches.agg(F.count("*"), F.count_if(F.col("error").isNotNull())).first()
+        if bad > config["tolerate"]:
+            raise TooManyFailures(f"{bad} of {n} batches failed")
+        rank = F.transform(F.split("batch_id", "_"), lambda x: F.lpad(x, 12, "0"))  # batches in their order
+        found = articles(batches.where("data is not null").withColumn("file", F.array_join(rank, "_")))
+        before = spine.count()
+        fresh = found.join(spine.keys(), "pmid", "left_anti") if spine.exists() else found
+        spine.append_staging(fresh)
+        return {"batches": n, "failed_batches": bad, "added": spine.merge_staging() - before, "from": begin}
+
+
+class ExtractStep(Step):
+    """Ask a model about each paper that the run lacks; records go to ``extractions`` beside the spine."""
+
+    def validate_input(self, spine: Spine, config: dict) -> None:
+        if not config["fields"]:
+            raise ValueError("extract.fields is empty")
+        if not config.get("client") and not (config.get("url") and config.get("model")):
+            raise ValueError("extract needs a client, or a url and a model")
+
+    def run(self, spine: Spine, config: dict) -> dict:
+        client = transport(config["client"]) if config.get("client") else ChatClient(config["url"], config["model"], config["key_variable"])
+        fields = [f if isinstance(f, Field) else Field(**f) for f in config["fields"]]
+        return extract(spine.table(), Store(spine.spark, f"{config['output_dir']}/extractions"), config["run_id"], fields, client, config)
+
+
 def unparsed(papers):
     """Rows without a title; one that was parsed to an empty title is parsed again."""
     return papers if "title" not in papers.columns else papers.where("title is null or title = ''")
@@ -74,13 +152,30 @@ def filter_step(spine: Spine, config: dict) -> dict:
     return found
 
 
-REGISTRY: dict[str, Callable[[Spine, dict], dict]] = {"parse": parse_step, "deduplicate": dedup_step, "filter": filter_step}
+REGISTRY: dict[str, Step | Callable[[Spine, dict], dict]] = {"fetch": FetchStep(), "parse": parse_step, "deduplicate": dedup_step, "filter": filter_step, "extract": ExtractStep()}
 
 
-def register(name: str, step: Callable[[Spine, dict], dict]) -> None:
+def register(name: str, step: Step | Callable[[Spine, dict], dict]) -> None:
     REGISTRY[name] = step
 
 
+def list_steps() -> list[str]:
+    return list(REGISTRY)
+
+
+def execute(name: str, spine: Spine, config: dict) -> dict:
+    """One step: checks before, the work, checks after."""
+    if name not in REGISTRY:
+        raise KeyError(f"no step {name!r} is registered")
+    step = REGISTRY[name]
+    if not isinstance(step, Step):
+        return step(spine, config)
+    step.validate_input(spine, config)
+    told = step.run(spine, config)
+    step.validate_output(spine, config)
+    return told
+
+
 def run(spine: Spine, config: dict, log: str | None = None, tell: Callable[[dict], None] | None = None) -> list[StepMeta]:
     """Run the configured steps.  A failing step ends the run, or is passed over with on_error: skip; either
     way its metadata is written to ``log`` and told as a progress event."""
@@ -89,10 +184,8 @@ def run(spine: Spine, config: dict, log: str | None = None, tell: Callable[[dict
         meta, begun = StepMeta(name, datetime.now(UTC).isoformat()), time.monotonic()
         out.append(meta)
         try:
-            if name not in REGISTRY:
-                raise KeyError(f"no step {name!r} is registered")
             meta.rows_before = spine.count()
-            meta.extra = REGISTRY[name](spine, config.get(name, {}))
+            meta.extra = execute(name, spine, {"output_dir": config["general"]["output_dir"], **config.get(name, {})})
             meta.rows_after = spine.count()
         except Exception as e:
             meta.status, meta.error = "failed", str(e)
@@ -101,13 +194,29 @@ def run(spine: Spine, config: dict, log: str | None = None, tell: Callable[[dict
         finally:
             meta.seconds = round(time.monotonic() - begun, 3)
             if log:
-                os.makedirs(log, exist_ok=True)
-                with open(f"{log}/{name}_meta.json", "w") as f:
-                    json.dump(asdict(meta), f, default=str)
+                files.write_text(f"{log}/{name}_meta.json", json.dumps(asdict(meta), default=str))
             if tell:
                 tell({"step": name, "status": meta.status, "seconds": meta.seconds})
     return out
 
 
+def step_logs(log: str) -> dict[str, dict]:
+    """The metadata of every step that has left some, by step."""
+    return {n.removesuffix("_meta.json"): json.loads(files.read_text(f"{log}/{n}")) for n in files.names(log) if n.endswith("_meta.json")}
+
+
 def progress_line(event: dict) -> str:
     return "__PROGRESS__ " + json.dumps(event)
+
+
+def reporter(mode: str = "json", out=None) -> Callable[[dict], None]:
+    """What tells events: as lines of JSON, as a line that is written over (tty), or as log records."""
+    out = out or sys.stdout
+    short = lambda e: " ".join(f"{k}={v}" for k, v in e.items())
+    if mode == "json":
+        return lambda e: print(progress_line(e), file=out, flush=True)
+    if mode == "tty":
+        return lambda e: print("\r\x1b[K" + short(e), end="", file=out, flush=True)
+    if mode == "log":
+        return lambda e: logging.getLogger("quillmine").info(short(e))
+    raise ValueError(f"unknown mode {mode!r}")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
+from quillmine.files import read_text, write_text
+
 
 def batched(items: Iterable, size: int) -> Iterator[list]:
     if size < 1:
@@ -20,16 +21,11 @@ class Processed:
     """Ids that are done; saved whole, by replacing the file."""
 
     def __init__(self, path: str):
-        self.path, self.ids = path, set()
-        if os.path.exists(path):
-            with open(path) as f:
-                self.ids = set(json.load(f))
+        self.path, self.ids = path, set(json.loads(read_text(path) or "[]"))
 
     def left(self, ids: Iterable[str]) -> list[str]:
         return [i for i in ids if i not in self.ids]
 
     def done(self, ids: Iterable[str]) -> None:
         self.ids |= set(ids)
-        with open(f"{self.path}.new", "w") as f:
-            json.dump(sorted(self.ids), f)
-        os.replace(f"{self.path}.new", self.path)
+        write_text(self.path, json.dumps(sorted(self.ids)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmine.functions.article_xml import split_articles
-from quillmine.spine import Spine, first_per_key, with_positions
+from quillmine.spine import Spine, first_per_key
 
 BATCH = "query string, batch_id string, retstart long, retmax long, total_count long, timestamp string, data string, _corrupt_record string"
 
@@ -31,7 +31,7 @@ def import_folder(spine: Spine, folder: str) -> dict:
     total = split_articles(batches).count()
     fresh = articles(batches).join(spine.keys(), "pmid", "left_anti")
     before = spine.count()
-    spine.append(with_positions(fresh).drop("_pos"))
+    spine.append(fresh)
     added = spine.count() - before
     batches.unpersist()
     return {"files": files, "articles": added, "duplicates": total - added}

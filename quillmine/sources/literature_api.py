@@ -1,13 +1,21 @@
 """A literature API as a Spark data source: each window of a query's results is a partition.
 
-The transport is a function that the caller names, so the source can be run without a network.  A
-transport takes ("search", term, start_date, end_date) and gives a count, or ("fetch", term, start_date,
-end_date, start, size) and gives a batch's XML.
+The transport is a function that the caller names, so the source can be run without a network
+(``quillmine.sources.eutils:call`` is one over HTTP).  A transport takes
+
+* ("search", term, start_date, end_date) and gives a count, or a session: {count, web_env, query_key},
+* ("ids", term, start_date, end_date, start, size) and gives a list of ids,
+* ("fetch", term, start_date, end_date, start, size) and gives a batch's XML,
+* ("fetch_ids", ids) and gives their XML.
+
+A day with more results than may be paged through is fetched by its ids.  Answers can be kept in a cache.
+A window that fails for good gives a row with an error in place of data, for the caller to count.
 """
 
 from __future__ import annotations
 
 import importlib
+import json
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -15,7 +23,8 @@ from datetime import date
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from quillmine.plans.fetch import plan_queries
+from quillmine.plans.fetch import LIMIT, id_chunks, plan_queries
+from quillmine.sources.cache import ResponseCache
 
 # The formats that the API gives for each mode.
 FORMATS = {"xml": {"abstract", "medline", "full", ""}, "text": {"abstract", "medline", "uilist", ""}, "json": {"uilist", ""}}
@@ -53,13 +62,13 @@ class RateLimit:
         self.left -= 1
 
 
-def with_retries(call: Callable, *args, tries: int = 5, sleep=time.sleep):
+def with_retries(call: Callable, *args, tries: int = 5, sleep=time.sleep, retry: set[int] = RETRY):
     """Try again after passing errors, waiting longer each time; other errors are raised at once."""
     for n in range(tries):
         try:
             return call(*args)
         except TransportError as e:
-            if e.status not in RETRY or n == tries - 1:
+            if e.status not in retry or n == tries - 1:
                 raise
         except (ConnectionError, TimeoutError):
             if n == tries - 1:
@@ -67,9 +76,22 @@ def with_retries(call: Callable, *args, tries: int = 5, sleep=time.sleep):
         sleep(min(60.0, 2.0**n + random.random()))
 
 
+_limiters: dict[float, RateLimit] = {}
+
+
+def limiter(rate: float) -> RateLimit:
+    """The limiter of this process, which all windows that it reads share."""
+    return _limiters.setdefault(rate, RateLimit(rate))
+
+
+def list_ids(call: Callable, term: str, start: date, end: date, total: int, page: int = LIMIT) -> list[str]:
+    """The ids of a query's results, page by page."""
+    return [i for at in range(0, total, page) for i in with_retries(call, "ids", term, start, end, at, min(page, total - at))]
+
+
 class Window(InputPartition):
-    def __init__(self, term: str, start: date, end: date, at: int, size: int, batch: str):
-        self.term, self.start, self.end, self.at, self.size, self.batch = term, start, end, at, size, batch
+    def __init__(self, term: str, start: date, end: date, at: int, size: int, batch: str, ids: list[str] | None = None):
+        self.term, self.start, self.end, self.at, self.size, self.batch, self.ids = term, start, end, at, size, batch, ids
 
 
 class Reader(DataSourceReader):
@@ -78,21 +100,48 @@ class Reader(DataSourceReader):
         self.size = int(options.get("batch", 200))
         check_format(options.get("mode", "xml"), options.get("type", ""))
 
+    def _call(self) -> Callable:
+        """The transport with retries, behind the cache if there is one."""
+        call = transport(self.options["transport"])
+        if not self.options.get("cache"):
+            return lambda *args: with_retries(call, *args)
+        kept = ResponseCache(self.options["cache"], float(self.options["ttl"]) if self.options.get("ttl") else None)
+
+        def cached(kind: str, *args):
+            key = json.dumps([self.options["transport"], *args], default=str)
+            if (held := kept.get(kind, key)) is not None:
+                return json.loads(held)
+            answer = with_retries(call, kind, *args)
+            kept.put(kind, key, json.dumps(answer))
+            return answer
+
+        return cached
+
     def partitions(self) -> list[InputPartition]:
-        call, term = transport(self.options["transport"]), self.options["term"]
-        count = lambda a, b: with_retries(call, "search", term, a, b)
+        call, term = self._call(), self.options["term"]
+
+        def count(a: date, b: date) -> int:
+            found = call("search", term, a, b)
+            return int(found["count"] if isinstance(found, dict) else found)
+
         start, end = (date.fromisoformat(self.options[k]) for k in ("start", "end"))
         out = []
         for n, (a, b, total) in enumerate(plan_queries(start, end, count)):
-            out += [Window(term, a, b, at, self.size, f"{n}_{k}") for k, at in enumerate(range(0, total, self.size))]
+            if total > LIMIT:  # a single day
+                chunks = id_chunks(list_ids(call, term, a, b, total), self.size)
+                out += [Window(term, a, b, k, len(ids), f"{n}_{k}", ids) for k, ids in enumerate(chunks)]
+            else:
+                out += [Window(term, a, b, at, self.size, f"{n}_{k}") for k, at in enumerate(range(0, total, self.size))]
         return out
 
     def read(self, window: Window) -> Iterator[tuple]:
-        call = transport(self.options["transport"])
-        limit = RateLimit(float(self.options.get("rate", 3)) / max(1, int(self.options.get("readers", 1))))
-        limit.wait()
-        data = with_retries(call, "fetch", window.term, window.start, window.end, window.at, window.size)
-        yield f"{window.term} {window.start}:{window.end}", window.batch, window.at, window.size, self.options.get("timestamp", ""), data
+        limiter(float(self.options.get("rate", 3)) / max(1, int(self.options.get("readers", 1)))).wait()
+        data, error = None, None
+        try:
+            data = self._call()(*(("fetch_ids", window.ids) if window.ids else ("fetch", window.term, window.start, window.end, window.at, window.size)))
+        except (TransportError, ConnectionError, TimeoutError) as e:
+            error = f"{type(e).__name__}: {e}"
+        yield f"{window.term} {window.start}:{window.end}", window.batch, window.at, window.size, self.options.get("timestamp", ""), data, error
 
 
 class LiteratureSource(DataSource):
@@ -103,7 +152,7 @@ class LiteratureSource(DataSource):
         return "literature"
 
     def schema(self) -> str:
-        return "query string, batch_id string, retstart long, retmax long, timestamp string, data string"
+        return "query string, batch_id string, retstart long, retmax long, timestamp string, data string, error string"
 
     def reader(self, schema) -> Reader:
         return Reader(self.options)

@@ -1,13 +1,16 @@
 """The spine: one table of papers in versioned Parquet folders, with row order kept in ``_pos``.
 
-A commit writes a new folder and then replaces the pointer ``_current``, so readers never see half a
-write and no path is overwritten while it is read.  Appends commit the old folders and a new one.
+A commit writes a new folder and then a state file of the next number, which no other writer can have
+made; the readable state of the largest number counts.  So readers never see half a write, a crash
+leaves the state before it, and of two writers at once one fails.  Appends commit the old folders and a
+new one.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,14 +20,26 @@ WRITER = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3", "p
 POS = "_pos"
 
 
-def with_positions(df: DataFrame, after: int = 0) -> DataFrame:
-    """The frame with ``_pos``: a row's place in the frame, from ``after`` on, without one task seeing all rows."""
+KEPT = 10  # state files that stay
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer has committed since the state was read."""
+
+
+def with_positions(df: DataFrame, after: int = 0, hold: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The frame with ``_pos``: a row's place in the frame, from ``after`` on, without one task seeing all rows.
+
+    Places follow from the sizes of partitions.  ``hold`` writes the frame and reads it again, so that it
+    is computed once; without it, the frame must give the same partitions twice."""
     marked = df.withColumn("__id", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__id", 33))
+    marked = hold(marked) if hold else marked
     sizes = marked.groupBy("__part").agg(F.count("*").alias("__n"))
     base = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))  # one row a partition
     starts = sizes.select("__part", F.coalesce(base, F.lit(0)).alias("__base"))
-    placed = marked.join(F.broadcast(starts), "__part")
-    return placed.withColumn(POS, F.col("__base") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(after)).drop("__id", "__part", "__base")
+    placed = marked.join(F.broadcast(starts), "__part", "left")
+    known = F.coalesce("__base", F.raise_error(F.lit("a partition has changed while its rows were numbered")).cast("long"))
+    return placed.withColumn(POS, known + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(after)).drop("__id", "__part", "__base")
 
 
 def first_per_key(df: DataFrame, *keys: str, order: str = POS) -> DataFrame:
@@ -63,26 +78,55 @@ class Spine:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _states(self) -> list[int]:
+        """The numbers of the state files, the largest first."""
+        folder = self._path(self.path)
+        names = [f.getPath().getName() for f in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+        return sorted((int(n.removeprefix("_state-")) for n in names if n.removeprefix("_state-").isdigit()), reverse=True)
+
+    def _read_state(self) -> tuple[dict, int]:
+        """The state that counts and the largest number; a file that a crash cut short doesn't count."""
+        numbers = self._states()
+        for n in numbers:
+            stream = self._fs.open(self._path(f"{self.path}/_state-{n}"))
+            try:
+                return json.loads(bytes(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()), numbers[0]
+            except ValueError:
+                continue
+            finally:
+                stream.close()
+        return {"main": [], "staging": []}, numbers[0] if numbers else 0
+
     def _read_pointer(self) -> dict:
-        where = self._path(f"{self.path}/_current")
-        if not self._fs.exists(where):
-            return {"main": [], "staging": []}
-        stream = self._fs.open(where)
+        return self._read_state()[0]
+
+    def _commit(self, since: int | None = None, **change) -> None:
+        """Write the next state; with ``since``, fail if there is one of a larger number."""
+        state, number = self._read_state()
+        if since is not None and number != since:
+            raise ConcurrentCommit(f"state {number} was committed after state {since} was read")
+        where = self._path(f"{self.path}/_state-{number + 1}")
         try:
-            return json.loads(bytes(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode())
-        finally:
-            stream.close()
-
-    def _commit(self, **change) -> None:
-        state = self._read_pointer() | change
-        fresh = self._path(f"{self.path}/_current.{uuid.uuid4().hex}")
-        stream = self._fs.create(fresh, True)
-        stream.write(bytearray(json.dumps(state).encode()))
+            stream = self._fs.create(where, False)
+        except Exception as e:
+            raise ConcurrentCommit(f"state {number + 1} exists already") from e
+        stream.write(bytearray(json.dumps(state | change).encode()))
         stream.close()
-        where = self._path(f"{self.path}/_current")
-        if self._fs.exists(where):
-            self._fs.delete(where, False)
-        self._fs.rename(fresh, where)
+        for old in self._states()[KEPT:]:
+            self._fs.delete(self._path(f"{self.path}/_state-{old}"), False)
+
+    def _placed(self, df: DataFrame, after: int = 0) -> str:
+        """The folder of the rows with their positions."""
+        held = f"{self.path}/rows-{uuid.uuid4().hex}"
+
+        def hold(marked: DataFrame) -> DataFrame:
+            marked.write.options(**WRITER).parquet(held)
+            return self.spark.read.schema(marked.schema).parquet(held)
+
+        try:
+            return self._save(with_positions(df, after, hold))
+        finally:
+            self._fs.delete(self._path(held), True)
 
     def _save(self, df: DataFrame) -> str:
         folder = f"{self.path}/v-{uuid.uuid4().hex}"
@@ -141,28 +185,49 @@ class Spine:
         return {"exists": True, "rows": df.count(), "columns": len(df.columns), "schema": dict(df.dtypes), "size_mb": round(size / 1e6, 2)}
 
     def year_range(self) -> tuple[int | None, int | None]:
-        return tuple(self.table().agg(F.min("year"), F.max("year")).first())
+        """The least and the largest year, from the footers' statistics alone where Spark can use them."""
+        pushed = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text"}
+        before = {k: self.spark.conf.get(k, None) for k in pushed}
+        for k, v in pushed.items():
+            self.spark.conf.set(k, v)
+        try:
+            found = [self.spark.read.parquet(folder) for folder in self._read_pointer()["main"]]  # each with the schema of its own files
+            ends = [tuple(df.agg(F.min("year"), F.max("year")).first()) for df in found if "year" in df.columns]
+            known = [x for pair in ends for x in pair if x is not None]
+            return (min(known), max(known)) if known else (None, None)
+        finally:
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
 
     def write(self, df: DataFrame) -> None:
-        if POS not in df.columns:
-            df = with_positions(df)
-        self._commit(main=[self._save(df)])
+        since = self._read_state()[1]
+        self._commit(since, main=[self._save(df) if POS in df.columns else self._placed(df)])
+
+    def _next(self, folders: list[str]) -> int:
+        """The position after the last of the folders' rows."""
+        last = self._load(folders).agg(F.max(POS)).first()[0] if folders else None
+        return 0 if last is None else last + 1
 
     def append(self, df: DataFrame) -> None:
-        state = self._read_pointer()
-        last = self._load(state["main"]).agg(F.max(POS)).first()[0] if state["main"] else None
-        self._commit(main=[*state["main"], self._save(with_positions(df.drop(POS), 0 if last is None else last + 1))])
+        state, since = self._read_state()
+        self._commit(since, main=[*state["main"], self._placed(df.drop(POS), self._next(state["main"]))])
 
     def append_staging(self, df: DataFrame) -> None:
-        self._commit(staging=[*self._read_pointer()["staging"], self._save(with_positions(df.drop(POS)))])
+        state, since = self._read_state()
+        self._commit(since, staging=[*state["staging"], self._placed(df.drop(POS))])
 
     def merge_staging(self) -> int:
-        """Staged rows go to the end of the main ones, in the order of their batches; the whole count."""
-        state = self._read_pointer()
-        for folder in state["staging"]:
-            self.append(self.spark.read.parquet(folder).orderBy(POS))
-            state = self._read_pointer()
-            self._commit(staging=state["staging"][1:])
+        """Staged rows go to the end of the main ones, in the order of their batches; the whole count.
+
+        One commit takes all staged folders over, so a merge that breaks off has done nothing."""
+        state, since = self._read_state()
+        if state["staging"]:
+            after, added = self._next(state["main"]), []
+            for folder in state["staging"]:
+                staged = self.spark.read.parquet(folder)
+                added.append(self._save(staged.withColumn(POS, F.col(POS) + F.lit(after))))  # staged rows are numbered from 0
+                after += staged.count()
+            self._commit(since, main=[*state["main"], *added], staging=[])
         return self.count()
 
     def add_columns(self, new: DataFrame, on: str = "pmid") -> None:
@@ -180,11 +245,11 @@ class Spine:
 
     def migrate(self) -> int:
         """Rewrite all rows in one folder with the writer's options; the old folders stay if the count differs."""
-        df = self.table()
+        since, df = self._read_state()[1], self.table()
         folder, count = self._save(df), df.count()
         if self.spark.read.parquet(folder).count() != count:
             raise RuntimeError("the rewritten spine has another number of rows")
-        self._commit(main=[folder])
+        self._commit(since, main=[folder])
         return count
 
 

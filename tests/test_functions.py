@@ -87,6 +87,11 @@ AFFILIATIONS = {
     "Some words about a Hospital without commas": (None, "Some words about a Hospital without commas", None),
     "": (None, None, None),
     "Berlin, Germany": (None, None, None),
+    "Hospital of the University, Leiden": (None, "Hospital of the University", None),
+    "Institut Pasteur, Paris": ("Institut Pasteur", None, None),
+    "The Broad Institute, Somewhere U.S.A., and Karolinska University Hospital": (None, "Karolinska University Hospital", "Broad Institute"),
+    "Division of Imaging at University College London, EC1A 1BB, UK": ("Imaging at University College London", None, None),
+    "Great Ormond Street, Hospital for Children, London": (None, "Hospital for Children", None),
     "2 University of Oslo, a@b.no": ("University of Oslo", None, None),
 }
 
@@ -97,9 +102,9 @@ def test_affiliations(spark):
     df = spark.createDataFrame([(i, a) for i, a in enumerate([*AFFILIATIONS, None])], "i int, a string")
     got = {r.a: (r.university, r.hospital, r.institution) for r in A.with_entities(df, "a").collect()}
     assert got == AFFILIATIONS | {None: (None, None, None)}
-    assert A.extract_institution("Dept of X, Heart Institute of Y, 12 Long Street, Zagreb, Croatia") == "Heart Institute of Y"
-    assert A.extract_institution("") == A.extract_institution(None) == "Unknown" and A.extract_institution("Only this") == "Only this"
-    assert A.extract_institution("Section of Surgery, Great House of Healing and of other things, France") == "Great House of Healing and of other things"
+    named = {"Dept of X, Heart Institute of Y, 12 Long Street, Zagreb, Croatia": "Heart Institute of Y", "": "Unknown", None: "Unknown", "Only this": "Only this", "a, b, ": "Unknown", "Paris, France": "Paris", "France, Spain": "France", "Some Place, Bern, Thun; Big Hospital": "Some Place"}
+    named |= {"Section of Surgery, Great House of Healing and of other things, France": "Great House of Healing and of other things", "Division of X, Team of Y, Nowhere 7": "Nowhere 7", "Division of X, Team of Y 1": "Division of X", "x" * 90 + ", Basel 4056": "x" * 80}
+    assert values(spark, A.institution_name, *[(k,) for k in named]) == list(named.values())
     assert A.with_institution(df, "a").count() == len(AFFILIATIONS) + 1
 
 
@@ -168,6 +173,36 @@ def test_reports(spark):
     assert reports.change_bounds(spark.createDataFrame([(float(i),) for i in range(101)] + [(None,)], "apc double")).first() == (5.0, 95.0)
 
 
+def test_joins_of_papers_and_records(spark):
+    papers = spark.createDataFrame([("1", "old", 0), ("1", "new", 1), ("2", "two", 2)], "pmid string, title string, _pos long")
+    records = spark.createDataFrame([("1", "Original Research", " J ", 0), ("1", "Other", "J", 1), ("9", "OriginalResearch", "K", 2), ("3", "OriginalResearch", "J", 3)], "pmid string, study string, journal string, seq long")
+    assert E.with_papers(papers, records).count() == 4 and [r._pos for r in E.extracted_only(papers, records).orderBy("_pos").collect()] == [0, 1]
+    assert {(r.pmid, r.title) for r in E.looked_up(records, papers, ["title"]).collect()} == {("1", "new"), ("9", None), ("3", None)}
+    scopes = spark.createDataFrame([("j", "Cardiac")], "journal string, scope string")
+    assert sorted((r["name"], r["count"], r.scope) for r in E.original_journals(records, "journal", "study", scopes).collect()) == [("J", 2, "Cardiac"), ("K", 1, "Other")]
+
+
+def test_ranks_bounds_and_focus(spark):
+    counts = spark.createDataFrame([("a", 2, 9), ("b", 5, 1), ("c", 2, 3), ("d", 1, 0)], "v string, n long, first long")
+    assert {r.v: r["rank"] for r in reports.rank(counts, "v", "first").collect()} == {"b": 1, "c": 2, "a": 3, "d": 4}
+    assert {r.v: r["rank"] for r in reports.rank(counts, "v").collect()} == {"b": 1, "a": 2, "c": 3, "d": 4}
+    change = lambda *x: spark.createDataFrame([(float(i),) for i in x], "apc double")
+    assert reports.colour_bounds(change(*range(-100, 1)), change(*range(1, 101))).first() == (-25.0, 45.0)
+    assert reports.colour_bounds(change(3, 3)).first() == (-2.0, 3.0) and reports.colour_bounds(change(-3, -3)).first() == (-3.0, 2.0)
+    focus = lambda n: reports.names_focus(n, ["inselspital bern"], "bern", ["hospital", "klinik"], ["children"])
+    assert values(spark, focus, ("Inselspital Bern",), ("Bern University Hospital",), ("Children Hospital Bern",), ("Bern",)) == [True, True, False, False]
+
+
+def test_labels(spark):
+    long = "University Hospital of a city with a long name"
+    assert values(spark, T.wrap_label, ("short",), (long,), ("x" * 60,), ("a" * 40 + " b",), ("a" * 39 + " b",)) == ["short", "University Hospital of a city with a\nlong name", "x" * 40 + "…", "a" * 40 + "\nb", "a" * 39 + "\nb"]
+    assert values(spark, T.title_case, ("cardiac MRI of o'neil",), (None,)) == ["Cardiac Mri Of O'Neil", None]
+    assert values(spark, lambda c: T.pretty(c, {"a": "A!"}), ("a",), ("b",)) == ["A!", "b"]
+    people = spark.createDataFrame([((["x", "y"], "z"),), (([], "z"),), ((None, None),)], "a struct<affiliations:array<string>,affiliation:string>")
+    assert [r.v for r in people.select(T.affiliation_of(F.col("a")).alias("v")).collect()] == ["x", "z", ""]
+    assert spark.createDataFrame([(["1", "2"],)], "i array<string>").select(T.id_list_key(F.col("i"))).first()[0] == __import__("hashlib").md5(b"1,2").hexdigest()
+
+
 def test_exports(spark):
     papers = spark.createDataFrame([("1", 2001, "J", "en", 0), ("2", 2001, "J", "en", 1), ("3", None, "K", "fr", 2)], "pmid string, year long, journal string, language string, _pos long")
     records = spark.createDataFrame([("1", '{"k": "x"}', None, None, 1.0)], "pmid string, extracted_json string, error_label string, fix_applied string, cost_usd double")

@@ -2,14 +2,19 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillmine import cli
-from quillmine.plans import config, fetch
+from quillmine.plans import config, fetch, steps
 from quillmine.plans.extract import CostCapExceeded, ErrorRateExceeded, Store, extract, gate
 from quillmine.plans.fields import Field, check, json_schema, problems, spark_type
 from quillmine.plans.tracker import Processed, batched
+from quillmine.sources import eutils
 from quillmine.sources import literature_api as api
+from quillmine.sources.cache import ResponseCache
+from quillmine.sources.chat_api import ChatClient, Unavailable
 from quillmine.sources.registry import read_registry, write_registry
+from quillmine.spine import Spine
 
 
 def test_months_packing_and_division():
@@ -177,3 +182,183 @@ def test_registry(spark, tmp_path):
     rows = spark.createDataFrame([("Heart", 5, 2, "Cardiac"), (" ", 1, 0, "x"), ('The "Lung"', 1, 1, "")], "journal_name string, count_total int, count_european int, scope string")
     write_registry(rows, f"{tmp_path}/r")
     assert [tuple(r) for r in read_registry(spark, f"{tmp_path}/r").collect()] == [("heart", "Cardiac")]
+
+
+def busy(kind, *args):
+    """A transport of 25,000 articles on the second of January and none else; ids are numbers."""
+    day = date(2024, 1, 2)
+    if kind == "fetch_ids":
+        return "".join(f"<PubmedArticle><MedlineCitation><PMID>{i}</PMID></MedlineCitation></PubmedArticle>" for i in args[0])
+    term, start, end, *page = args
+    total = 25_000 if start <= day <= end else 0
+    if kind == "search":
+        return {"count": total, "web_env": "w", "query_key": "1"}
+    if kind == "ids":
+        assert page[1] <= 9_999
+        return [str(10_000_000 + i) for i in range(page[0], min(page[0] + page[1], total))]
+    if total > 9_999:
+        raise api.TransportError(400, "too many")
+    return ""
+
+
+def module_of(name, function):
+    import sys
+    import types
+
+    module = types.ModuleType(name)
+    module.call = function
+    sys.modules[name] = module
+    return f"{name}:call"
+
+
+def test_a_day_of_too_many_results_is_fetched_whole_by_ids():
+    options = {"transport": module_of("quillmine_busy", busy), "term": "x", "start": "2024-01-01", "end": "2024-01-31", "batch": "500", "rate": "100000"}
+    reader = api.Reader(options)
+    windows = reader.partitions()
+    assert all(w.ids and len(w.ids) <= 200 for w in windows) and len({w.batch for w in windows}) == len(windows)
+    rows = [next(reader.read(w)) for w in windows]
+    assert sum(r[5].count("<PMID>") for r in rows) == 25_000 and all(r[6] is None for r in rows)
+    assert fetch.id_chunks(["a", "b", "a", "c"], 2) == [["a", "b"], ["c"]]
+
+
+def test_windows_of_a_process_share_one_limiter():
+    assert api.limiter(7.5) is api.limiter(7.5)
+    slept = []
+    limit = api.RateLimit(2, clock=lambda: sum(slept), sleep=slept.append)
+    for _ in range(6):
+        limit.wait()
+    assert sum(slept) == pytest.approx(2.0)
+
+
+def test_cache_expires_when_read(tmp_path):
+    now = [100.0]
+    cache = ResponseCache(f"{tmp_path}/c", 10, lambda: now[0])
+    assert cache.get("n", "p") is None and not cache.has("n", "p")
+    cache.put("n", "p", "v")
+    cache.put("m", "p", "w")
+    now[0] = 110.0
+    assert cache.get("n", "p") == "v" and cache.has("m", "p")
+    now[0] = 110.5
+    assert cache.get("n", "p") is None and not list(tmp_path.glob("c/n/*"))
+    cache.put("n", "q", "x")
+    assert cache.clear(older_than=5) == 1 and cache.get("n", "q") == "x" and cache.clear("n") == 1 and cache.clear() == 0
+
+
+def test_answers_are_cached_and_failing_windows_are_told(tmp_path):
+    calls = []
+
+    def counted(kind, *args):
+        calls.append(kind)
+        if kind == "fetch" and args[3] == 50:
+            raise api.TransportError(400, "bad")
+        return offline(kind, *args)
+
+    options = {"transport": module_of("quillmine_counted", counted), "term": "x", "start": "2024-01-05", "end": "2024-01-10", "batch": "50", "rate": "100000", "cache": f"{tmp_path}/c"}
+    for _ in range(2):
+        rows = [next(api.Reader(options).read(w)) for w in api.Reader(options).partitions()]
+        assert len(rows) == 2 and rows[0][5].count("<PMID>") == 50 and rows[1][5] is None and rows[1][6].startswith("TransportError")
+    assert calls == ["search", "fetch", "fetch", "fetch"]  # the failure alone is asked again
+
+
+def test_requests_to_the_public_service(monkeypatch):
+    asked = []
+
+    def get(service, **params):
+        asked.append((service, params))
+        return json.dumps({"esearchresult": {"count": "3", "webenv": "W", "querykey": "1", "idlist": ["1", "2"]}}) if service == "esearch" else "<x/>"
+
+    monkeypatch.setattr(eutils, "_get", get)
+    a, b = date(2024, 1, 1), date(2024, 1, 31)
+    assert eutils.call("search", "t", a, b) == {"count": 3, "web_env": "W", "query_key": "1"} and eutils.call("ids", "t", a, b, 0, 2) == ["1", "2"]
+    assert eutils.call("fetch", "t", a, b, 200, 100) == "<x/>" and asked[-1][1] | {"WebEnv": "W", "retstart": 200, "retmax": 100} == asked[-1][1]
+    assert eutils.call("fetch_ids", ["1", "2"]) == "<x/>" and asked[-1] == ("efetch", {"id": "1,2", "retmode": "xml"})
+    assert asked[0][1]["mindate"] == "2024/01/01" and asked[0][1]["usehistory"] == "y"
+
+
+def test_chat_client_retries_and_types_its_errors(spark, tmp_path, papers):
+    slept, answers = [], [api.TransportError(429), api.TransportError(502), {"choices": [{"message": {"content": "{}"}}], "model": "m2", "usage": {"prompt_tokens": 5, "completion_tokens": 2, "cost": 0.1}}]
+
+    def send(url, body, headers):
+        answer = answers.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+
+    got = ChatClient("u", "m", send=send, sleep=slept.append)("s", "p", {})
+    assert got == {"content": "{}", "model_used": "m2", "input_tokens": 5, "output_tokens": 2, "cost_usd": 0.1} and len(slept) == 2
+    answers[:] = [Unavailable(503)]
+    with pytest.raises(Unavailable):
+        ChatClient("u", "m", send=send, sleep=slept.append)("s", "p", {})
+
+    def broke(system, prompt, schema):
+        from quillmine.sources.chat_api import PaymentRequired
+
+        raise PaymentRequired(402)
+
+    with pytest.raises(Exception, match="402"):
+        extract(papers, Store(spark, f"{tmp_path}/y"), "r", FIELDS, broke, settings())
+
+
+def test_requests_of_a_task_run_at_the_same_time(spark, tmp_path, papers):
+    def slow(system, prompt, schema):
+        import time
+
+        time.sleep(1)
+        return {"content": "{}"}
+
+    import time
+
+    wide = spark.range(24, numPartitions=1).select(F.col("id").cast("string").alias("pmid"), F.lit("t").alias("title"), F.lit("a").alias("abstract"))
+    begun = time.monotonic()
+    assert extract(wide, Store(spark, f"{tmp_path}/z"), "r", FIELDS, slow, settings(wave=24, concurrency=12))["total"] == 24
+    assert time.monotonic() - begun < 20
+
+
+def test_default_steps_run_on_a_stub(spark, tmp_path, capsys):
+    """fetch, parse, deduplicate and extract by configuration alone."""
+    (tmp_path / "stub_service.py").write_text(
+        "from datetime import date\n"
+        "def call(kind, term, start, end, at=0, size=0):\n"
+        "    total = 2 * ((end - start).days + 1)\n"
+        "    if kind == 'search':\n        return total\n"
+        "    if at == 4:\n        from quillmine.sources.literature_api import TransportError\n        raise TransportError(400)\n"
+        "    one = '<PubmedArticle><MedlineCitation><PMID>{0}</PMID><Article><ArticleTitle>Title number {0}</ArticleTitle></Article></MedlineCitation></PubmedArticle>'\n"
+        "    return ''.join(one.format(start.toordinal() * 100 + i) for i in range(at, min(at + size, total)))\n"
+        "def answer(system, prompt, schema):\n    return {'content': '{\"a\": \"x\"}', 'cost_usd': 0.5}\n"
+    )
+    import sys
+
+    sys.path.insert(0, str(tmp_path))
+    spark.sparkContext.addPyFile(f"{tmp_path}/stub_service.py")
+    over = {"general": {"output_dir": f"{tmp_path}/out"}, "fetch": {"transport": "stub_service:call", "query": "x", "start": "2024/01/05", "end": "2024/01/06", "batch": 4, "rate": 1000}}
+    spine = Spine(spark, f"{tmp_path}/out/papers")
+    metas = steps.run(spine, config.load(overrides=over), f"{tmp_path}/out/step_log")
+    assert [m.step for m in metas] == ["fetch", "parse", "deduplicate"] and all(m.status == "ok" for m in metas)
+    assert metas[0].extra["failed_batches"] > 0 and spine.count() == metas[0].extra["added"] > 0 and spine.table().where("title like 'Title number%'").count() == spine.count()
+    again = steps.run(spine, config.load(overrides=config.merge(over, {"general": {"steps": ["fetch"]}})))
+    assert again[0].extra["added"] == 0
+    few = config.merge(over, {"general": {"steps": ["fetch"]}, "fetch": {"tolerate": 0}})
+    with pytest.raises(steps.TooManyFailures):
+        steps.run(spine, config.load(overrides=few))
+    asked = config.merge(over, {"general": {"steps": ["extract"]}, "extract": {"client": "stub_service:answer", "fields": [{"name": "a", "type": "string"}], "run_id": "r"}})
+    meta = steps.run(spine, config.load(overrides=asked), f"{tmp_path}/out/step_log")[0]
+    assert meta.extra["total"] == spine.count() and meta.extra["cost_usd"] == pytest.approx(0.5 * spine.count())
+    with pytest.raises(ValueError, match="query"):
+        steps.run(spine, config.load(overrides={"general": {"steps": ["fetch"]}}))
+    assert set(steps.step_logs(f"{tmp_path}/out/step_log")) == {"fetch", "parse", "deduplicate", "extract"} and "extract" in steps.list_steps()
+    assert cli.main(["--output", f"{tmp_path}/out", "inspect"]) == 0 and "deduplicate" in json.loads(capsys.readouterr().out)
+
+
+def test_progress_modes(caplog):
+    import io
+    import logging
+
+    out = io.StringIO()
+    steps.reporter("json", out)({"step": "a"})
+    steps.reporter("tty", out)({"step": "b"})
+    assert out.getvalue() == '__PROGRESS__ {"step": "a"}\n\r\x1b[Kstep=b'
+    with caplog.at_level(logging.INFO, "quillmine"):
+        steps.reporter("log")({"step": "c"})
+    assert "step=c" in caplog.text
+    with pytest.raises(ValueError):
+        steps.reporter("none")

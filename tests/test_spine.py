@@ -8,7 +8,7 @@ from quillmine.functions import article_xml
 from quillmine.plans import steps
 from quillmine.plans.config import load
 from quillmine.sources.batches import import_folder
-from quillmine.spine import Spine, with_positions
+from quillmine.spine import ConcurrentCommit, Spine, with_positions
 from quillmine.streaming.ingest import ingest, resume_date
 
 RAW = "pmid string, raw_xml string, fetch_date string, fetch_query string, fetch_batch string"
@@ -121,3 +121,32 @@ def test_steps_run_and_leave_metadata(spark, spine, tmp_path):
 
 def test_malformed_articles_are_empty():
     assert article_xml.parse_article("<PubmedArticle><PMID>1</PMID>") == {} and article_xml.parse_article(None) == {} and article_xml.parse_article("<PubmedArticle></PubmedArticle>") == {}
+
+
+def test_a_merge_that_breaks_off_does_nothing_and_writers_at_once_fail(spark, spine, monkeypatch):
+    rows = lambda *ids: spark.createDataFrame([(i, "x", "2024", "q", "b") for i in ids], RAW)
+    spine.append_staging(rows("1"))
+    spine.append_staging(rows("2"))
+    monkeypatch.setattr(Spine, "_commit", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        spine.merge_staging()
+    monkeypatch.undo()
+    assert spine.keys(staged=False).count() == 0 and spine.merge_staging() == 2
+    other, before = Spine(spark, spine.path), spine._read_state()[1]
+    other.append(rows("3"))
+    with pytest.raises(ConcurrentCommit):
+        spine._commit(before, main=[])
+    assert [r._pos for r in spine.table().orderBy("_pos").collect()] == [0, 1, 2]
+
+
+def test_a_state_that_was_cut_short_does_not_count(spark, spine, tmp_path):
+    spine.write(spark.createDataFrame([("1", 2001), ("2", 2003)], "pmid string, year long"))
+    number = spine._read_state()[1]
+    (tmp_path / "papers" / f"_state-{number + 1}").write_text('{"main": [')
+    assert spine.count() == 2 and spine.year_range() == (2001, 2003)
+    spine.append(spark.createDataFrame([("3", 2009)], "pmid string, year long"))
+    assert spine.count() == 3 and spine.year_range() == (2001, 2009)
+    for _ in range(12):
+        spine.write(spine.table())
+    assert len(list(tmp_path.glob("papers/_state-*"))) <= 11 and spine.count() == 3
+    assert not list(tmp_path.glob("papers/rows-*"))
