@@ -51,13 +51,18 @@ class Usage(NamedTuple):
 
 
 class Scanner(NamedTuple):
-    """A forest with what its features need."""
+    """A forest with what its features need.  A tree is (feature, threshold, left, right) or a leaf's share of secrets."""
 
     forest: list
     usage: Usage
     neighbours: dict[str, float]
 
 
+def _numbers(values: list, kind: str) -> Column:
+    """An array literal; written as one string, since a literal for each would make plans of thousands of nodes."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def usage(documents: DataFrame, text_col: str = "text", most: int = 2000) -> Usage:
     """Counted over all words of all whole texts; the ``most`` frequent words and 26 * 26 counts reach the driver."""
     words = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), "[^a-z]+")
@@ -100,13 +105,16 @@ def _features(value: Column, kind: Column, before: Column, after: Column, known:
     uncovered = F.char_length(F.regexp_replace(low, "(" + "|".join(sorted(DICTIONARY, key=len, reverse=True)) + ")", ""))
     number = lambda condition: F.when(condition, 1.0).otherwise(0.0)
     codes = F.transform(F.filter(F.split(low, ""), lambda c: c != ""), lambda c: F.instr(F.lit(LETTERS), c))
-    odds = F.array(*map(F.lit, known.transitions))
+    odds = _numbers(known.transitions, "double")
     follow = lambda x: F.zip_with(F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(0))), F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0))), lambda a, b: F.get(odds, a * 27 + b))
     transitions = F.aggregate(follow(codes), F.lit(0.0), lambda a, x: a + x) / size
     parts = F.regexp_extract_all(value, F.lit("[A-Z]?[a-z]+|[A-Z]+"), F.lit(0))
-    usual = F.aggregate(F.filter(parts, lambda w: F.lower(w).isin(known.words or [""])), F.lit(0), lambda a, w: a + F.char_length(w)) / size
-    listed = F.create_map(*[F.lit(x) for item in (near_odds or {"": 0.0}).items() for x in item])
-    around = F.aggregate(_words_near(before, after), F.lit(0.0), lambda a, w: a + F.coalesce(listed[w], F.lit(0.0)))
+    # The words that begin with each letter, spaces around each.
+    by_letter = F.split(F.lit(",".join(" " + " ".join(w for w in known.words if w[0] == x) + " " for x in LETTERS)), ",")
+    is_usual = lambda w: F.coalesce(F.get(by_letter, F.instr(F.lit(LETTERS), F.left(w, F.lit(1))) - 1).contains(F.concat(F.lit(" "), w, F.lit(" "))), F.lit(False))
+    usual = F.aggregate(F.filter(parts, lambda w: is_usual(F.lower(w))), F.lit(0), lambda a, w: a + F.char_length(w)) / size
+    listed = F.str_to_map(F.lit(",".join(f"{w}:{n!r}" for w, n in (near_odds or {"-": 0.0}).items())), F.lit(","), F.lit(":"))
+    around = F.aggregate(_words_near(before, after), F.lit(0.0), lambda a, w: a + F.coalesce(F.try_element_at(listed, w).cast("double"), F.lit(0.0)))
     return [
         F.log2(size.cast("double")), share("[0-9]"), share("[A-Z]"), share("[a-z]"), share("[0-9a-fA-F]"),
         share("(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]|(?<=[a-z])[A-Z]"), share("[bcdfghjklmnpqrstvwxyz][aeiou]"),
@@ -131,7 +139,7 @@ def labelled_findings(spark: SparkSession, each: int = 120, words: list[str] | N
     b64 = F.regexp_replace(F.base64(F.unhex(h("b"))), "[=\\s]", "")
     upper = F.translate(F.substring(F.upper(F.regexp_replace(F.base64(F.unhex(h("c"))), "[^A-Za-z0-9]", "7")), 1, 16), "", "")
     digits = F.substring(F.regexp_replace(h("d"), "[a-f]", "4"), 1, 16)
-    word = lambda a: F.element_at(F.array(*map(F.lit, ordinary)), (F.conv(hexa(a, 6), 16, 10).cast("int") % len(ordinary) + 1))
+    word = lambda a: F.element_at(F.split(F.lit(" ".join(ordinary)), " "), (F.conv(hexa(a, 6), 16, 10).cast("int") % len(ordinary) + 1))
     plain = F.element_at(F.array(*map(F.lit, ["and then ", "see also ", "the following, ", "tion of the ", "en el ", "dans les ", ""])), F.col("nth") % 7 + 1)
     tail = F.element_at(F.array(*map(F.lit, [" and more", ".", ", which", "\n", " der", '" '])), F.col("nth") % 6 + 1)
     letters = lambda a, n: F.substring(F.regexp_replace(F.base64(F.unhex(F.concat(h(a), h(a + "2")))), "[^A-Za-z]", ""), 1, n)
@@ -159,7 +167,7 @@ def labelled_findings(spark: SparkSession, each: int = 120, words: list[str] | N
     return rows.select(*[choose(k).alias(n) for k, n in enumerate(("before", "value", "kind", "after", "label"))])
 
 
-def train(findings: DataFrame, known: Usage, trees: int = 30, depth: int = 7, seed: int = 5) -> Scanner:
+def train(findings: DataFrame, known: Usage, trees: int = 30, depth: int = 6, seed: int = 5) -> Scanner:
     """A random forest of findings ``(before, value, kind, after, label)``: trees of (feature, threshold, left, right) or a leaf's share of secrets.
 
     Nulls among the texts count as empty; findings without a label aren't used.  Of one label only, the
@@ -185,11 +193,31 @@ def train(findings: DataFrame, known: Usage, trees: int = 30, depth: int = 7, se
     return Scanner([walk(t._java_obj.rootNode()) for t in model.trees], known, near)
 
 
-def _vote(tree, x: Column) -> Column:
-    if isinstance(tree, float):
-        return F.lit(tree)
-    feature, threshold, left, right = tree
-    return F.when(x[FEATURES[feature]] <= threshold, _vote(left, x)).otherwise(_vote(right, x))
+def _votes(forest: list, x: Column) -> Column:
+    """The mean of the trees' leaves for the array of features ``x``.
+
+    The nodes of all trees stand in arrays, and a tree is gone down by a fold over its depth; a leaf leads
+    to itself."""
+    feature, threshold, left, right, roots, deep = [], [], [], [], [], 1
+
+    def add(node, depth: int) -> int:
+        nonlocal deep
+        at, deep = len(feature), max(deep, depth)
+        feature.append(0)
+        threshold.append(float(node) if not isinstance(node, tuple) else node[1])
+        left.append(at)
+        right.append(at)
+        if isinstance(node, tuple):
+            feature[at] = node[0]
+            left[at], right[at] = add(node[2], depth + 1), add(node[3], depth + 1)
+        return at
+
+    for tree in forest:
+        roots.append(add(tree, 0))
+    f, t, lo, hi = _numbers(feature, "int"), _numbers(threshold, "double"), _numbers(left, "int"), _numbers(right, "int")
+    down = lambda node: F.when(F.get(x, F.get(f, node)) <= F.get(t, node), F.get(lo, node)).otherwise(F.get(hi, node))
+    leaf = lambda root: F.get(t, F.aggregate(F.sequence(F.lit(1), F.lit(deep)), root, lambda node, _: down(node)))
+    return F.aggregate(_numbers(roots, "int"), F.lit(0.0), lambda a, root: a + leaf(root)) / float(len(roots))
 
 
 def scan(documents: DataFrame, scanner: Scanner, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -246,9 +274,9 @@ def _scanned(rows: DataFrame, text_col: str, scanner: Scanner, threshold: float)
         return F.struct(gap.alias("gap"), led.alias("led"), held.alias("value"), kind(match).alias("kind"), before.alias("before"), F.left(after, F.lit(CONTEXT)).alias("after"))
 
     rows = rows.withColumn("__found", F.transform(gaps, one))
-    featured = F.transform(F.col("__found"), lambda x: F.struct(*[v.cast("double").alias(n) for n, v in zip(FEATURES, _features(x["value"], x["kind"], x["before"], x["after"], scanner.usage, scanner.neighbours), strict=True)]))
+    featured = F.transform(F.col("__found"), lambda x: F.array(*[v.cast("double") for v in _features(x["value"], x["kind"], x["before"], x["after"], scanner.usage, scanner.neighbours)]))
     rows = rows.withColumn("__x", featured)
-    rows = rows.withColumn("__score", F.transform("__x", lambda x: reduce(lambda a, b: a + b, [_vote(t, x) for t in scanner.forest]) / float(len(scanner.forest))))
+    rows = rows.withColumn("__score", F.transform("__x", lambda x: _votes(scanner.forest, x)))
     pieces = F.arrays_zip(F.col("__found").alias("f"), F.col("__score").alias("s"))
     # Where candidates begin: sums of the lengths before them, by blocks, since a growing array would be
     # copied for each.  Each column is named twice where it is used, for the reason above.

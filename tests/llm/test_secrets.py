@@ -75,8 +75,16 @@ def test_forest_generalises_to_findings_left_out(spark, known):
     trained = S.train(rows.where("part > 0"), known)
     forest = trained.forest
     values = S._features(F.col("value"), F.col("kind"), F.col("before"), F.col("after"), known, trained.neighbours)
-    left = rows.where("part = 0").select("label", F.struct(*[v.cast("double").alias(n) for n, v in zip(S.FEATURES, values, strict=True)]).alias("x"))
-    votes = sum((S._vote(t, F.col("x")) for t in forest[1:]), S._vote(forest[0], F.col("x"))) / float(len(forest))
+    left = rows.where("part = 0").select("label", F.array(*[v.cast("double") for v in values]).alias("x"))
+
+    def walk(tree, x):
+        while isinstance(tree, tuple):
+            tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    votes = S._votes(forest, F.col("x"))
+    for r in left.select("x", votes.alias("v")).limit(200).collect():
+        assert r.v == pytest.approx(sum(walk(t, r.x) for t in forest) / len(forest))
     right, n = left.select(F.avg(((votes >= 0.5).cast("int") == F.col("label")).cast("int")), F.count("*")).first()
     assert n > 300 and right > 0.97
 
