@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from quillmine.operators import explore as X
 from quillmine.operators import extractions as E
 from quillmine.operators import reports as R
 from quillmine.plans import fetch
-from quillmine.queries.adapters import EXTRACTIONS, PAPERS, RESIDENTS, STUDIES, authored, extractions, papers, residents, studies, table
+from quillmine.queries.adapters import ALIKE, DEDUPED, EXTRACTIONS, PAPERS, RESIDENTS, STUDIES, VARIANTS, authored, extractions, papers, residents, studies, table, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,27 +56,45 @@ of_priority_sql = of_priority(a="Radiology", b="Radiology", c="Cardiology", d="U
 
 
 def article_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """The papers as XML, a batch for each journal."""
+    """The papers as XML, twenty of a journal in a batch, with markup, labelled abstracts and all the fields."""
     escaped = lambda c: F.replace(F.replace(F.replace(T.clean_xml(F.coalesce(c, F.lit(""))), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    p = papers(spark, sf)
+    k, lit = F.col("pmid").cast("long"), F.lit
     xml = F.concat(
-        F.lit("<PubmedArticle><MedlineCitation><PMID>"), "pmid", F.lit("</PMID><Article><Journal><JournalIssue><PubDate><Year>"), F.col("year").cast("string"), F.lit("</Year></PubDate></JournalIssue><Title>"), "journal",
-        F.lit("</Title></Journal><ArticleTitle>"), escaped(F.col("title")), F.lit("</ArticleTitle><Abstract><AbstractText>"), escaped(F.col("abstract")), F.lit("</AbstractText></Abstract><Language>"), "language",
-        F.lit("</Language></Article></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType=\"doi\">"), F.coalesce("doi", F.lit("")), F.lit("</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"))
-    return p.select(F.concat("journal", F.lit("-"), "pmid").alias("batch_id"), F.concat(F.lit("<PubmedArticleSet>"), xml, F.lit("</PubmedArticleSet>")).alias("data"))
-
-
-@query(f"""WITH {PAPERS} SELECT pmid, {STRIP.format(f"replace(replace(regexp_replace(title, '{CONTROL}', '', 'g'), chr(13) || chr(10), chr(10)), chr(13), chr(10))")} AS title,
- {STRIP.format(f"replace(replace(regexp_replace(abstract, '{CONTROL}', '', 'g'), chr(13) || chr(10), chr(10)), chr(13), chr(10))")} AS abstract, year, language, coalesce(doi, '') AS doi, journal FROM p""")
+        lit("<PubmedArticle><MedlineCitation><PMID Version=\"1\">"), "pmid", lit("</PMID><Article><Journal><ISSN IssnType=\"Print\">1234-5678</ISSN><JournalIssue CitedMedium=\"Print\"><Volume>"), (k % 9).cast("string"), lit("</Volume><PubDate><Year>"), F.col("year").cast("string"),
+        lit("</Year><Month>"), F.element_at(F.array(lit("Feb"), lit("11"), lit("13")), (k % 3 + 1).cast("int")), lit("</Month></PubDate></JournalIssue><Title>"), "journal", lit("</Title></Journal><ArticleTitle><i>"), escaped(F.col("title")), lit("</i> t<sup>2</sup></ArticleTitle>"),
+        lit("<Abstract><AbstractText Label=\"AIM\">"), escaped(F.col("abstract")), lit("</AbstractText><AbstractText>The <b>end</b>.</AbstractText></Abstract><AuthorList><Author><LastName>Li</LastName><Initials>A</Initials><AffiliationInfo><Affiliation>House "), (k % 4).cast("string"),
+        lit(". Electronic address: a@b.org.</Affiliation></AffiliationInfo></Author><Author><ForeName>Nobody</ForeName></Author></AuthorList><Language>"), "language", lit("</Language><GrantList><Grant><GrantID>G"), (k % 5).cast("string"), lit("</GrantID><Agency>NIH</Agency></Grant><Grant/></GrantList>"),
+        lit("<PublicationTypeList><PublicationType UI=\"D1\">"), F.when(F.col("is_retracted"), "Retracted Publication").otherwise("Journal Article"), lit("</PublicationType></PublicationTypeList></Article>"),
+        F.when(k % 6 == 0, lit("<CommentsCorrectionsList><CommentsCorrections RefType=\"RetractionOf\"><PMID> 77 </PMID></CommentsCorrections></CommentsCorrectionsList>")).otherwise(""), lit("<MeshHeadingList><MeshHeading><DescriptorName UI=\"M1\" MajorTopicYN=\"Y\">Heart</DescriptorName>"),
+        F.when(k % 2 == 0, lit("<QualifierName UI=\"Q1\" MajorTopicYN=\"N\">imaging</QualifierName>")).otherwise(""), lit("</MeshHeading></MeshHeadingList><KeywordList Owner=\"NOTNLM\"><Keyword MajorTopicYN=\"N\">key "), (k % 8).cast("string"), lit("</Keyword></KeywordList></MedlineCitation><PubmedData>"),
+        lit("<PublicationStatus>ppublish</PublicationStatus><ArticleIdList><ArticleId IdType=\"doi\">10.1/OLD</ArticleId><ArticleId IdType=\"doi\">https://doi.org/"), F.coalesce("doi", lit("10.1/NONE")), lit(".</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"))
+    rows = papers(spark, sf).select("journal", F.floor(k / 20).alias("nth"), F.struct("_pos", xml.alias("xml")).alias("one"))
+    held = rows.groupBy("journal", "nth").agg(F.array_sort(F.collect_list("one")).alias("all"))  # at most 20
+    body = F.array_join(F.transform("all", lambda x: x["xml"]), "\n")
+    return held.select(F.concat("journal", F.lit("-"), F.col("nth").cast("string")).alias("batch_id"), F.concat(F.lit("<?xml version=\"1.0\"?><PubmedArticleSet>"), body, F.lit("</PubmedArticleSet>")).alias("data"))
+
+
+CLEAN = "replace(replace(regexp_replace({}, '" + CONTROL + "', '', 'g'), chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+
+
+@query(f"""WITH {PAPERS}, k AS (SELECT *, CAST(pmid AS BIGINT) AS n FROM p) SELECT pmid, {STRIP.format(CLEAN.format("title") + " || ' t2'")} AS title, concat('AIM: ', {STRIP.format(CLEAN.format("abstract"))}, ' The end.') AS abstract, year,
+ CAST(CASE n % 3 WHEN 0 THEN 2 WHEN 1 THEN 11 END AS BIGINT) AS month, language, coalesce(doi, '10.1/none') AS doi, journal, CAST(n % 9 AS VARCHAR) AS volume, 'Li' AS author, concat('House ', CAST(n % 4 AS VARCHAR)) AS affiliation, 1 AS n_authors, 'true' AS corresponding,
+ concat('G', CAST(n % 5 AS VARCHAR)) AS grant_id, CASE WHEN is_retracted THEN 'Retracted Publication' ELSE 'Journal Article' END AS pub_type, is_retracted, CASE WHEN n % 6 = 0 THEN '77' ELSE '' END AS retraction_of_pmid,
+ 'Heart' AS mesh, CASE WHEN n % 2 = 0 THEN 'imaging' END AS qualifier, concat('key ', CAST(n % 8 AS VARCHAR)) AS keyword, 'ppublish' AS publication_status, '10.1/OLD' AS first_id FROM k""")
 def xml_split_parse(spark, sf):
     parsed = article_xml.parse_frame(article_xml.split_articles(article_batches(spark, sf)))
-    return parsed.select("pmid", "title", "abstract", "year", "language", "doi", R.journal_title(F.col("journal")).alias("journal"))
+    field = lambda column, path: F.get_json_object(column, path)
+    return parsed.select(
+        "pmid", "title", "abstract", "year", "month", "language", "doi", R.journal_title(F.col("journal")).alias("journal"), F.when(field("journal", "$.volume").isNull(), "0").otherwise(field("journal", "$.volume")).alias("volume"),
+        field("authors", "$[0].last_name").alias("author"), field("authors", "$[0].affiliation").alias("affiliation"), F.json_array_length("authors").alias("n_authors"), field("authors", "$[0].is_corresponding").alias("corresponding"),
+        field("grants", "$[0].id").alias("grant_id"), field("pub_type", "$[0].type").alias("pub_type"), "is_retracted", "retraction_of_pmid", field("mesh_terms", "$[0].descriptor").alias("mesh"),
+        field("mesh_terms", "$[0].qualifiers[0].name").alias("qualifier"), field("keywords", "$[0].keyword").alias("keyword"), "publication_status", field("article_ids", "$[0].id").alias("first_id"))
 
 
-@query(f"WITH {PAPERS}, t AS (SELECT year, row_number() OVER (PARTITION BY lower(regexp_replace(title, '^\\s+|\\s+$', '', 'g')) ORDER BY pos) AS r FROM p WHERE regexp_replace(title, '^\\s+|\\s+$', '', 'g') <> '') SELECT year, count(*) AS n FROM t WHERE r = 1 GROUP BY year")
+@query(f"WITH {PAPERS}, c AS (SELECT year, pos, lower({STRIP.format(CLEAN.format('title'))}) AS t FROM p), t AS (SELECT year, row_number() OVER (PARTITION BY t ORDER BY pos) AS r FROM c) SELECT year, count(*) AS n FROM t WHERE r = 1 GROUP BY year")
 def parsed_papers_by_year(spark, sf):
     parsed = article_xml.parse_frame(article_xml.split_articles(article_batches(spark, sf))).withColumn("_pos", F.col("pmid").cast("long"))
-    kept = S.first_per_key(parsed.withColumn("__t", T.normalize_title(F.col("title"))).where("__t <> ''"), "__t")
+    kept = S.first_per_key(parsed.withColumn("__t", T.normalize_title(F.regexp_replace("title", " ?t2$", ""))), "__t")
     return R.per_year(kept)
 
 
@@ -168,24 +187,24 @@ def dedup_title_exact(spark, sf):
     return D.title_copies(papers(spark, sf))
 
 
-@query()
+@query(f"WITH {VARIANTS}, w AS (SELECT *, lower(title) AS t FROM v1 WHERE k % 5 <> 0), {ALIKE.format('w')} SELECT a, b, round(ratio, 6) AS ratio FROM pairs")
 def dedup_fuzzy_pairs(spark, sf):
-    return D.fuzzy_pairs(papers(spark, sf), year="language").select("a", "b", "ratio")
+    return D.fuzzy_pairs(variants(spark, sf).where("_pos div 4 % 5 <> 0")).select("a", "b", F.round("ratio", 6).alias("ratio"))
 
 
-@query()
+@query(f"WITH {VARIANTS}, w AS (SELECT *, lower(title) AS t FROM v1 WHERE k % 5 <> 0), {ALIKE.format('w')} SELECT pmid FROM followers")
 def dedup_fuzzy_removed(spark, sf):
-    return D.greedy_followers(D.fuzzy_pairs(papers(spark, sf), year="language"))
+    return D.greedy_followers(D.fuzzy_pairs(variants(spark, sf).where("_pos div 4 % 5 <> 0")))
 
 
-@query()
+@query(f"WITH {DEDUPED} SELECT pmid, year, doi FROM stay")
 def dedup_full(spark, sf):
-    return D.deduplicate(papers(spark, sf))[0].select("pmid", "year", "doi")
+    return D.deduplicate(variants(spark, sf))[0].select("pmid", "year", "doi")
 
 
-@query()
+@query(f"WITH {DEDUPED} SELECT (SELECT count(*) - count(DISTINCT pmid) FROM v1) AS pmid_duplicates, count(*) FILTER (WHERE why = 'd') AS doi_duplicates, count(*) FILTER (WHERE why = 'f') AS fuzzy_duplicates, count(*) FILTER (WHERE why = 'r') AS retracted, count(*) FILTER (WHERE why = 'n') AS retraction_notices, (SELECT count(*) FROM v1) - (SELECT count(*) FROM stay) AS rows_removed FROM flags")
 def dedup_statistics(spark, sf):
-    rows = papers(spark, sf)
+    rows = variants(spark, sf)
     return D.statistics(rows, *D.deduplicate(rows))
 
 
@@ -228,9 +247,11 @@ def language_breakdown(spark, sf):
     return R.most_common(papers(spark, sf), "language")
 
 
-@query(f"WITH {PAPERS} SELECT journal, count(*) AS n FROM p WHERE journal IS NOT NULL GROUP BY journal ORDER BY n DESC, min(pos) LIMIT 10")
+@query(f"WITH {PAPERS}, j AS (SELECT pos, CASE pos % 4 WHEN 0 THEN journal WHEN 1 THEN upper(journal) WHEN 2 THEN left(journal, 3) END AS journal FROM p) SELECT journal, count(*) AS n FROM j WHERE journal IS NOT NULL GROUP BY journal ORDER BY n DESC, min(pos) LIMIT 10")
 def top_sources(spark, sf):
-    return R.most_common(papers(spark, sf), "journal", 10)
+    """Journals as JSON that names them by one of three fields, the first blank in some, or by none."""
+    named = F.to_json(F.struct(F.when(F.col("_pos") % 4 == 0, F.col("journal")).otherwise("").alias("title"), F.when(F.col("_pos") % 4 == 1, F.upper("journal")).alias("journal_title"), F.when(F.col("_pos") % 4 == 2, F.left("journal", F.lit(3))).alias("iso_abbrev")))
+    return R.most_common(papers(spark, sf).withColumn("journal", R.journal_title(named)), "journal", 10)
 
 
 @query("SELECT agency, count(*) AS n FROM (SELECT DISTINCT l_orderkey, concat('supplier ', CAST(l_suppkey AS VARCHAR)) AS agency FROM lineitem) GROUP BY agency ORDER BY n DESC, agency LIMIT 10")
@@ -256,9 +277,9 @@ def flag_share(spark, sf):
     return R.flag_share(papers(spark, sf), "is_retracted", "language")
 
 
-@query()
+@query(f"WITH {PAPERS}, s AS (SELECT * FROM (VALUES ('src1', 'General', 0), ('src2', 'Special', 1), ('src', 'Any', 2), ('web', 'Net', 3)) AS t(entry, scope, ord)), d AS (SELECT DISTINCT journal, lower(trim(journal)) AS low FROM p), m AS (SELECT d.journal, s.scope, row_number() OVER (PARTITION BY d.journal ORDER BY d.low <> s.entry, s.ord) AS r FROM d JOIN s ON contains(d.low, s.entry) OR contains(s.entry, d.low)) SELECT d.journal, coalesce(m.scope, 'Other') AS scope FROM d LEFT JOIN m ON d.journal IS NOT DISTINCT FROM m.journal AND m.r = 1")
 def journal_classes(spark, sf):
-    scopes = spark.createDataFrame([("src1", "General", 0), ("src2", "Special", 1), ("src", "Any", 2)], "entry string, scope string, ord int")
+    scopes = spark.createDataFrame([("src1", "General", 0), ("src2", "Special", 1), ("src", "Any", 2), ("web", "Net", 3)], "entry string, scope string, ord int")
     return R.classify_by_part(papers(spark, sf).select("journal"), "journal", scopes)
 
 
@@ -361,9 +382,11 @@ def topk_per_country(spark, sf):
     return R.top_per_group(studies(spark, sf).groupBy("country", "specialty").agg(F.count("*").alias("n")), "country", 2, "specialty")
 
 
-@query(f"WITH {STUDIES}, c AS (SELECT country, count(*) AS n FROM s GROUP BY country) SELECT country, n, row_number() OVER (ORDER BY n DESC, country) AS rank FROM c")
+@query(f"WITH {STUDIES}, c AS (SELECT country, n // 40 AS n, f FROM (SELECT country, count(*) AS n, min(CAST(pmid AS BIGINT)) AS f FROM s GROUP BY country)) SELECT country, n, row_number() OVER (ORDER BY n DESC, f) AS rank FROM c")
 def entity_rank(spark, sf):
-    return R.rank(studies(spark, sf).groupBy("country").agg(F.count("*").alias("n")), "country")
+    """Counts are made coarse, so that there are ties."""
+    counts = studies(spark, sf).groupBy("country").agg(F.count("*").alias("n"), F.min(F.col("pmid").cast("long")).alias("first"))
+    return R.rank(counts.withColumn("n", F.floor(F.col("n") / 40)), "country", "first").select("country", "n", "rank")
 
 
 @query("WITH o AS (SELECT role AS entity, conv_id, bool_or(turn = lo) AS f, bool_or(turn = hi) AS l FROM (SELECT *, min(turn) OVER (PARTITION BY conv_id) AS lo, max(turn) OVER (PARTITION BY conv_id) AS hi FROM conversations) GROUP BY ALL) SELECT entity, count(*) AS any, count(*) FILTER (WHERE f) AS first, count(*) FILTER (WHERE l) AS last FROM o GROUP BY entity")
@@ -382,17 +405,21 @@ def region_by_year(spark, sf):
     return R.region_by_year(studies(spark, sf), F.col("country"))
 
 
-BRIDGE = {"united kingdom": "british isles", "ireland": "british isles", "china": None}
+BRIDGE = {"england": "british isles", "scotland": "british isles", "ireland": "british isles", "china": None}
 
 
-@query(f"WITH {STUDIES}, c AS (SELECT country, count(*) AS n FROM s GROUP BY country) SELECT CASE WHEN country IN ('united kingdom', 'ireland') THEN 'british isles' ELSE country END AS country, CAST(sum(n) AS BIGINT) AS n FROM c WHERE country <> 'china' GROUP BY 1")
+@query(f"WITH {STUDIES}, c AS (SELECT country, count(*) AS n FROM s GROUP BY country) SELECT CASE WHEN country IN ('england', 'scotland', 'ireland') THEN 'british isles' ELSE country END AS country, CAST(sum(n) AS BIGINT) AS n FROM c WHERE country <> 'china' GROUP BY 1")
 def name_bridge(spark, sf):
     return R.bridge_names(studies(spark, sf).groupBy("country").agg(F.count("*").alias("n")), "country", BRIDGE)
 
 
-@query(f"WITH {RESIDENTS}, a AS (SELECT c_custkey, lower(concat('Department ', CAST(c_custkey AS VARCHAR), ', ', c_name, ', ', n_name)) AS x FROM g) SELECT c_custkey, CASE WHEN len(list_filter({listed(geography.US_PLACES + geography.US_CODES)}, lambda u: contains(x, u))) > 0 THEN 'united states' ELSE coalesce(list_filter({listed(geography.LONGEST_FIRST)}, lambda u: contains(x, u))[1], CASE WHEN ends_with(x, 'usa') OR contains(x, ' usa') THEN 'united states' END, 'unknown') END AS country FROM a")
+PLACE = ["Boston", "Bern", "Springfield MA", "House of a woman", "Plant in the USA"]
+
+
+@query(f"WITH {RESIDENTS}, a AS (SELECT c_custkey, lower(concat('Department ', CAST(c_custkey AS VARCHAR), ', ', {listed(PLACE)}[CAST(c_custkey % 5 AS INTEGER) + 1], CASE WHEN c_custkey % 3 = 0 THEN '' ELSE ', ' || country END)) AS x FROM g) SELECT c_custkey, CASE WHEN len(list_filter({listed(geography.US_CITY_STATE)}, lambda u: contains(x, u))) > 0 THEN 'united states' ELSE coalesce(list_filter({listed(geography.LONGEST_FIRST)}, lambda u: contains(x, u))[1], CASE WHEN ends_with(x, 'usa') OR contains(x, ' usa') THEN 'united states' END, 'unknown') END AS country FROM a")
 def country_detect(spark, sf):
-    text = F.concat(F.lit("Department "), F.col("c_custkey").cast("string"), F.lit(", "), "c_name", F.lit(", "), "n_name", F.lit("."))
+    place = F.element_at(F.array(*map(F.lit, PLACE)), (F.col("c_custkey") % 5 + 1).cast("int"))
+    text = F.concat(F.lit("Department "), F.col("c_custkey").cast("string"), F.lit(", "), place, F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.concat(F.lit(", "), "country")), F.lit("."))
     return residents(spark, sf).select("c_custkey", geography.detect_country(text).alias("country"))
 
 
@@ -401,10 +428,13 @@ def inst_normalize(spark, sf):
     return table(spark, sf, "part").select("p_partkey", N.institution(F.concat("p_name", F.lit(" Medical University, IRCCS"))).alias("name"), N.institution(F.concat(F.lit("General Centre - "), "p_type", F.lit(" , "))).alias("other"))
 
 
-@query("WITH w AS (SELECT p_partkey, regexp_split_to_array(lower(p_name || ' of ' || p_brand || ' ag-' || p_type), '[\\s,.\\-]+') AS a, regexp_split_to_array(lower(p_name || ' of ' || p_brand), '[\\s,.\\-]+') AS b FROM part) SELECT p_partkey, false AS with_company, len(list_filter(b, lambda x: length(x) > 2 AND x NOT IN ('the', 'and', 'for'))) >= 3 AS meaningful FROM w")
+@query("SELECT p_partkey, p_partkey % 6 = 4 OR (p_partkey % 6 = 5 AND p_partkey % 4 = 1) AS meaningful FROM part")
 def inst_meaningful(spark, sf):
-    named = F.concat("p_name", F.lit(" of "), "p_brand")
-    return table(spark, sf, "part").select("p_partkey", N.meaningful_institution(F.concat(named, F.lit(" ag-"), "p_type")).alias("with_company"), N.meaningful_institution(named).alias("meaningful"))
+    """A general name, a ward, a company, one of two words that count, one of four, and one that depends."""
+    k, brand = F.col("p_partkey"), F.col("p_brand")
+    name = F.when(k % 6 == 0, " Medical Center ").when(k % 6 == 1, F.concat(F.lit("Klinik für "), "p_type")).when(k % 6 == 2, F.concat("p_name", F.lit(" and "), brand, F.lit(" works GmbH"))).when(k % 6 == 3, F.concat(F.lit("University of the "), brand))
+    name = name.when(k % 6 == 4, F.concat(F.lit("University Hospital of "), brand, F.lit(" City"))).otherwise(F.concat(F.lit("House of-"), brand, F.when(k % 4 == 1, ".Healing").otherwise(", at an XY")))
+    return table(spark, sf, "part").select("p_partkey", N.meaningful_institution(name).alias("meaningful"))
 
 
 # Trends
@@ -483,15 +513,15 @@ def journal_bar(spark, sf):
     return R.journal_bar(p, "journal", ~F.col("is_retracted"), scopes, 12)
 
 
-@query(f"WITH {STUDIES}, c AS (SELECT country, count(*) AS n FROM s GROUP BY country), m AS (SELECT CASE WHEN country IN ('nation_1', 'nation_2') THEN 'nation_0' ELSE country END AS country, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 1) SELECT country, n, row_number() OVER (ORDER BY n DESC, country) AS rank FROM m")
+@query(f"WITH {STUDIES}, c AS (SELECT country, count(*) AS n FROM s GROUP BY country), m AS (SELECT CASE WHEN country IN ('england', 'scotland') THEN 'united kingdom' ELSE country END AS country, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 1) SELECT country, n, row_number() OVER (ORDER BY n DESC, country) AS rank FROM m")
 def rank_with_variants(spark, sf):
-    return R.ranked_with_variants(studies(spark, sf).groupBy("country").agg(F.count("*").alias("n")), "country", {"nation_0": ["nation_1", "nation_2"]})
+    return R.ranked_with_variants(studies(spark, sf).groupBy("country").agg(F.count("*").alias("n")), "country", {"united kingdom": ["england", "scotland"]})
 
 
-@query(f"WITH {STUDIES}, c AS (SELECT country, min(year) AS first_year, count(*) AS n FROM s WHERE country <> 'nation_3' GROUP BY country) SELECT CASE WHEN country IN ('nation_1', 'nation_2') THEN 'nation_0' ELSE country END AS country, arg_max(n, country) AS n FROM c GROUP BY 1")
+@query(f"WITH {STUDIES}, c AS (SELECT country, min(year) AS first_year, count(*) AS n FROM s WHERE country <> 'china' GROUP BY country) SELECT CASE WHEN country IN ('england', 'scotland') THEN 'united kingdom' ELSE country END AS country, arg_max(n, country) AS n FROM c GROUP BY 1")
 def bridge_last(spark, sf):
     counts = studies(spark, sf).groupBy("country").agg(F.count("*").alias("n")).withColumn("order", F.col("country"))
-    return R.bridge_last(counts, "country", {"nation_1": "nation_0", "nation_2": "nation_0", "nation_3": None}, "n", "order")
+    return R.bridge_last(counts, "country", {"england": "united kingdom", "scotland": "united kingdom", "china": None}, "n", "order")
 
 
 @query(f"SELECT {of_priority_sql} AS specialty, count(*) AS n FROM orders GROUP BY 1")
@@ -500,9 +530,11 @@ def specialty_rollup(spark, sf):
     return R.rolled_up(counts, "specialty", N.specialty)
 
 
-@query(f"WITH {PAPERS} SELECT journal, count(*) AS total, count(*) FILTER (WHERE language <> 'en') AS european, count(*) FILTER (WHERE NOT is_retracted) AS original, journal AS label FROM p WHERE year >= 2015 AND journal <> '' GROUP BY journal ORDER BY 2 DESC, 1 LIMIT 10")
+@query(f"WITH {PAPERS}, j AS (SELECT *, CASE WHEN pos % 2 = 0 THEN concat('The international journal of ', journal, ' and all that belongs to it') ELSE journal END AS name FROM p) SELECT name AS journal, count(*) AS total, count(*) FILTER (WHERE language <> 'en') AS european, count(*) FILTER (WHERE NOT is_retracted) AS original, CASE WHEN length(name) > 50 THEN left(name, 50) || '…' ELSE name END AS label FROM j WHERE year >= 2015 AND journal <> '' GROUP BY name ORDER BY 2 DESC, 1 LIMIT 10")
 def recent_journals(spark, sf):
-    return R.merged_shares(papers(spark, sf), "journal", F.col("language") != "en", ~F.col("is_retracted"), 2015)
+    long = F.concat(F.lit("The international journal of "), "journal", F.lit(" and all that belongs to it"))
+    p = papers(spark, sf).withColumn("journal", F.when((F.col("_pos") % 2 == 0) & (F.col("journal") != ""), long).otherwise(F.col("journal")))
+    return R.merged_shares(p, "journal", F.col("language") != "en", ~F.col("is_retracted"), 2015)
 
 
 @query(f"WITH {STUDIES}, r AS (SELECT specialty AS f, study_type AS c, region AS l FROM s), u AS (SELECT 'first' AS role, f AS specialty FROM r UNION ALL SELECT 'corr', c FROM r UNION ALL SELECT 'last', l FROM r) SELECT specialty, count(*) FILTER (WHERE role = 'first') AS first, count(*) FILTER (WHERE role = 'corr') AS corr, count(*) FILTER (WHERE role = 'last') AS last FROM u GROUP BY specialty")
@@ -622,7 +654,11 @@ def monthly(spark, sf):
 
 @query(f"WITH {MONTHS} SELECT first, last, CAST(n AS BIGINT) AS n FROM k")
 def month_plan(spark, sf):
-    return monthly(spark, sf)
+    """The library's months with the counts of each; a month without orders counts as none."""
+    ends = table(spark, sf, "orders").agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("b")).first()
+    spans = spark.createDataFrame(fetch.months(ends.a, ends.b), "first date, last date")
+    counts = table(spark, sf, "orders").groupBy(F.trunc("o_orderdate", "MM").alias("first")).agg(F.count("*").alias("n"))
+    return spans.join(counts, "first", "left").select("first", "last", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query(f"""WITH RECURSIVE {MONTHS}, o AS (SELECT *, row_number() OVER (ORDER BY first) AS i FROM k),
@@ -634,30 +670,90 @@ def month_bins(spark, sf):
     return spark.createDataFrame(bins, "bin int, first date, last date, n long")
 
 
-# What SQL can't express
+# Strings whose results are known from how they were made
+
+STEP_NAMES = [name for name, _ in json_repair.STEPS]
+BROKEN = {  # how a record is broken, as parts around its number, what it becomes, and the step that mends it
+    0: ('{"a": ', "}", '{"a": ', "}", 0),
+    1: ('```json\n{"a": ', "}\n```", '{"a": ', "}", 1),
+    2: ('Here it is: {"a": ', "} as asked", '{"a": ', "}", 2),
+    3: ("\ufeff[", "\u200b]", "[", "]", 3),
+    4: ("{“a”: ", "}", '{"a": ', "}", 4),
+    5: ('{"a": [', ", 2,], }", '{"a": [', ", 2]}", 5),
+    6: ('{"a": "x\ny', '"}', '{"a": "x\\ny', '"}', 6),
+    7: ("{'a': ", "}", '{"a": ', "}", 7),
+    8: ("no ", " at all", "no ", " at all", None),
+}
+
+
+def _broken_sql() -> str:
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    case = lambda f: "CASE event_id % 9 " + " ".join(f"WHEN {k} THEN {f(*b)}" for k, b in BROKEN.items()) + " END"
+    told = lambda n, good: json.dumps([{"step": x, "success": good and i == n - 1} for i, x in enumerate(STEP_NAMES[:n])])
+    whole = lambda a, b: f"concat({quote(a)}, CAST(event_id AS VARCHAR), {quote(b)})"
+    history = case(lambda a, b, c, d, n: quote(told(len(STEP_NAMES), False) if n is None else told(n, True)))
+    fixed = case(lambda a, b, c, d, n: "'pattern'" if n else "NULL")
+    return f"SELECT event_id, {case(lambda a, b, c, d, n: whole(c, d))} AS content, {fixed} AS fix_applied, {history} AS fix_history, CASE WHEN event_id % 9 = 8 THEN 'pattern_fix_failed' END AS error_label FROM events"
 
 
-@query()
+@query(_broken_sql())
 def json_repair_chain(spark, sf):
-    """Event payloads, broken in several ways, repaired."""
-    bad = F.concat(F.lit("```json\n{“"), F.col("event_type"), F.lit("”: "), "props", F.lit(",}\n```"))
-    rows = table(spark, sf, "events").select("event_id", bad.alias("raw_response"))
+    """Records that are whole, broken in each of seven ways, or beyond repair."""
+    k, number = F.col("event_id") % 9, F.col("event_id").cast("string")
+    raw = F.coalesce(*[F.when(k == n, F.concat(F.lit(b[0]), number, F.lit(b[1]))) for n, b in BROKEN.items()])
+    rows = table(spark, sf, "events").select("event_id", raw.alias("raw_response"))
     return json_repair.repair_frame(rows).select("event_id", "content", "fix_applied", "fix_history", "error_label")
 
 
-@query()
+def shaped(shapes: list[str], k: str, *parts: str) -> tuple:
+    """One of several texts by a key: for Spark a column, for SQL an expression; {0} and so on are columns."""
+    pieces = lambda text: re.split(r"\{(\d)\}", text)
+    column = lambda text: F.concat(*[F.col(parts[int(x)]).cast("string") if i % 2 else F.lit(x) for i, x in enumerate(pieces(text))])
+    quoted = lambda text: "concat(" + ", ".join(f"CAST({parts[int(x)]} AS VARCHAR)" if i % 2 else "'" + x.replace("'", "''") + "'" for i, x in enumerate(pieces(text))) + ")"
+    said = lambda text: "NULL" if text is None else quoted(text)
+    return lambda: F.coalesce(*[F.when(F.col(k) % len(shapes) == n, column(t)) for n, t in enumerate(shapes)]), f"CASE {k} % {len(shapes)} " + " ".join(f"WHEN {n} THEN {said(t)}" for n, t in enumerate(shapes)) + " END"
+
+
+AFFILIATIONS = [
+    ("Department of Radiology, {0} General Hospital, University of {1}, Bern.", "University of {1}", "{0} General Hospital", None),
+    ("National Heart, Lung, and Blood Institute, Bethesda, MD", None, None, "National Heart, Lung, and Blood Institute"),
+    ("Department of Surgery Aarhus University Hospital, Aarhus, Denmark", None, "Surgery Aarhus University Hospital", None),
+    ("2 University of {0}, a{2}@b.no", "University of {0}", None, None),
+    ("Some words about a Hospital without commas {2}", None, "Some words about a Hospital without commas {2}", None),
+    ("{0}, Berlin, 10115", None, None, None),
+    ("University of Bern, Switzerland; Hospital {2}, Paris", "University of Bern", None, None),
+    ("Universit√§t Sankt {1}, Institut für Radiologie, and Herzzentrum {0}", "Universität Sankt {1}", None, "Herzzentrum {0}"),
+    ("Charité, Institut Pasteur, Imperial College Hospital", "Institut Pasteur", "Charité", None),
+    ("Great Ormond Street, Hospital for Children No {2}, London", None, "Hospital for Children No {2}", None),
+]
+AFFILIATION_PARTS = ("country", "r_name", "c_custkey")
+
+
+@query(f"WITH {RESIDENTS} SELECT c_custkey, {', '.join(shaped([a[i] for a in AFFILIATIONS], 'c_custkey', *AFFILIATION_PARTS)[1] + ' AS ' + n for i, n in ((1, 'university'), (2, 'hospital'), (3, 'institution')))} FROM g")
 def affiliation_parse(spark, sf):
-    where = F.concat(F.lit("Department of "), "c_mktsegment", F.lit(", "), "n_name", F.lit(" General Hospital, University of "), "r_name", F.lit(", "), "n_name", F.lit("."))
+    where = shaped([a[0] for a in AFFILIATIONS], "c_custkey", *AFFILIATION_PARTS)[0]()
     return affiliation.with_entities(residents(spark, sf).select("c_custkey", where.alias("affiliation")), "affiliation").select("c_custkey", "university", "hospital", "institution")
 
 
-@query()
+INSTITUTIONS = [
+    ("Section of {1}, {1} Heart Institute, 12 Main Street, Some City, {0}, France", "{1} Heart Institute"),
+    ("Only one part {2}", "Only one part {2}"),
+    ("Section of Surgery, Great House of Healing and of many other things, Spain; Hospital X", "Great House of Healing and of many other things"),
+    ("Division of X, Team of Y {2}", "Division of X"),
+    ("a, b, ", "Unknown"),
+    ("France, Spain", "France"),
+    ("Unit of Hearts, Bellevue 7 {1}, Lyon", "Bellevue 7 {1}"),
+    ("Boston House, Clinic of {1}., 1200 Vienna", "Clinic of {1}"),
+]
+
+
+@query(f"WITH {RESIDENTS} SELECT c_custkey, {shaped([i[1] for i in INSTITUTIONS], 'c_custkey', *AFFILIATION_PARTS)[1]} AS institution_name FROM g")
 def institution_extract(spark, sf):
-    where = F.concat(F.lit("Section of "), "c_mktsegment", F.lit(", "), "r_name", F.lit(" Heart Institute, 12 Main Street, Some City, "), "n_name")
+    where = shaped([i[0] for i in INSTITUTIONS], "c_custkey", *AFFILIATION_PARTS)[0]()
     return affiliation.with_institution(residents(spark, sf).select("c_custkey", where.alias("affiliation")), "affiliation").select("c_custkey", "institution_name")
 
 
-@query()
+@query(SQL["prompt"].replace("SELECT pmid, concat(", "SELECT pmid, len(regexp_extract_all(concat(").replace(") AS prompt FROM p", r"), '[^\s\v\x1c-\x1f\x{85}\x{a0}]+')) AS words, 'pattern' AS fix_applied, CAST(NULL AS VARCHAR) AS error_label FROM p").replace("CASE WHEN doi IS NOT NULL THEN concat('doi: ', doi, chr(10)) ELSE '' END, ", ""))
 def extract_stub(spark, sf):
     """All papers through the extraction chain with a client that answers from the prompt."""
 
@@ -670,3 +766,59 @@ def extract_stub(spark, sf):
 
     asked = papers(spark, sf).select("pmid", T.user_message(F.col("title"), F.col("abstract"), F.lit("")).alias("prompt"))
     return with_columns(asked, ["prompt"], "words long, fix_applied string, error_label string", answer).select("pmid", "words", "fix_applied", "error_label")
+
+
+# Papers and their records
+
+
+@query(f"WITH {PAPERS}, {EXTRACTIONS} SELECT p.pmid, p.year, e.schema_name, e.run_id, e.seq FROM p JOIN e USING (pmid)")
+def papers_with_records(spark, sf):
+    return E.with_papers(papers(spark, sf), extractions(spark, sf)).select("pmid", "year", "schema_name", "run_id", "seq")
+
+
+@query(f"WITH {PAPERS}, {EXTRACTIONS}, d AS (SELECT CAST(CAST(pmid AS BIGINT) // 2 AS VARCHAR) AS pmid, arg_max(title, pos) AS title, arg_max(journal, pos) AS journal, arg_max(year, pos) AS year FROM p GROUP BY 1) SELECT e.seq, e.pmid, d.title, d.year, d.journal FROM e LEFT JOIN d USING (pmid)")
+def record_lookup(spark, sf):
+    """Papers whose keys occur twice, of which the last counts."""
+    doubled = papers(spark, sf).withColumn("pmid", F.floor(F.col("pmid").cast("long") / 2).cast("string"))
+    return E.looked_up(extractions(spark, sf), doubled, ["title", "year", "journal"]).select("seq", "pmid", "title", "year", "journal")
+
+
+@query(f"WITH {PAPERS}, {EXTRACTIONS} SELECT pmid, year FROM p WHERE pmid IN (SELECT pmid FROM e WHERE schema_name = 'click')")
+def extracted_papers(spark, sf):
+    return E.extracted_only(papers(spark, sf), extractions(spark, sf).where("schema_name = 'click'")).select("pmid", "year")
+
+
+@query(f"WITH {PAPERS}, {EXTRACTIONS}, x AS (SELECT e.seq, trim(p.journal) AS name FROM e JOIN p USING (pmid) WHERE e.schema_name IN ('click', 'view')), c AS (SELECT name, count(*) AS count, min(seq) AS f FROM x WHERE name <> '' GROUP BY name ORDER BY 2 DESC, 3 LIMIT 10) SELECT name, count, CASE WHEN ends_with(name, '1') THEN 'General' ELSE 'Other' END AS scope FROM c")
+def original_journals(spark, sf):
+    study = F.when(F.col("schema_name") == "click", "OriginalResearch").when(F.col("schema_name") == "view", "Original Research").otherwise("Review")
+    records = E.with_papers(papers(spark, sf), extractions(spark, sf)).withColumn("study", study)
+    scopes = papers(spark, sf).where("journal like '%1'").select(F.lower("journal").alias("journal"), F.lit("General").alias("scope")).distinct()
+    return E.original_journals(records, "journal", "study", scopes)
+
+
+@query(f"WITH {APC}, b AS (SELECT quantile_cont(apc, 0.05) AS p5, quantile_cont(apc, 0.95) AS p95 FROM (SELECT apc FROM x UNION ALL SELECT apc * 3 FROM x)) SELECT round(CASE WHEN greatest(p5, -25) >= 0 THEN -2 ELSE greatest(p5, -25) END, 6) AS vmin, round(CASE WHEN least(p95, 45) <= 0 THEN 2 ELSE least(p95, 45) END, 6) AS vmax FROM b")
+def colour_bounds(spark, sf):
+    found = changes(spark, sf)
+    return R.colour_bounds(found, found.withColumn("apc", F.col("apc") * 3)).select(F.round("vmin", 6).alias("vmin"), F.round("vmax", 6).alias("vmax"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false ELSE false END AS focus FROM part")
+def focus_names(spark, sf):
+    k = F.col("p_partkey") % 4
+    name = F.when(k == 0, "Inselspital Bern").when(k == 1, F.concat(F.lit("Bern Hospital of "), "p_name")).when(k == 2, F.concat(F.lit("Children Klinik Bern "), "p_brand")).otherwise(F.concat("p_name", F.lit(" House")))
+    return table(spark, sf, "part").select("p_partkey", R.names_focus(name, ["inselspital bern"], "bern", ["hospital", "klinik"], ["children"]).alias("focus"))
+
+
+@query("SELECT p_partkey, concat('The clinic of ', p_brand, ' for all who are', chr(10), 'not well') AS wrapped, repeat('x', 40) || '…' AS cut, CASE WHEN p_partkey % 2 = 0 THEN 'Brand' ELSE p_brand END AS pretty, 'Of Cardiac Mri''S' AS cased FROM part WHERE length(p_brand) = 8")
+def labels(spark, sf):
+    parts = table(spark, sf, "part").where("length(p_brand) = 8")
+    named = F.when(F.col("p_partkey") % 2 == 0, "b").otherwise(F.col("p_brand"))
+    return parts.select("p_partkey", T.wrap_label(F.concat(F.lit("The clinic of "), "p_brand", F.lit(" for all who are not well"))).alias("wrapped"), T.wrap_label(F.repeat(F.lit("x"), 60)).alias("cut"), T.pretty(named, {"b": "Brand"}).alias("pretty"), T.title_case(F.lit("of cardiac MRI's")).alias("cased"))
+
+
+@query("SELECT conv_id, CASE conv_id % 3 WHEN 0 THEN f WHEN 1 THEN 'own' ELSE '' END AS affiliation, md5(ids) AS key FROM (SELECT conv_id, arg_min(role, turn) AS f, string_agg(role, ',' ORDER BY turn) AS ids FROM conversations GROUP BY conv_id)")
+def author_affiliation(spark, sf):
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]).alias("ids"))
+    k = F.col("conv_id") % 3
+    author = F.struct(F.when(k == 0, F.col("ids")).when(k == 1, F.array().cast("array<string>")).alias("affiliations"), F.when(k == 1, "own").alias("affiliation"))
+    return turns.select("conv_id", T.affiliation_of(author).alias("affiliation"), T.id_list_key(F.col("ids")).alias("key"))
