@@ -164,7 +164,7 @@ def labelled_findings(spark: SparkSession, each: int = 120, words: list[str] | N
     ]
     rows = spark.range(len(make) * each, numPartitions=4).select((F.col("id") % len(make)).cast("int").alias("sort"), F.floor(F.col("id") / len(make)).cast("int").alias("nth"))
     choose = lambda k: F.coalesce(*[F.when(sort == i, m[k] if isinstance(m[k], Column) else F.lit(m[k])) for i, m in enumerate(make)])
-    return rows.select(*[choose(k).alias(n) for k, n in enumerate(("before", "value", "kind", "after", "label"))])
+    return settle(rows.select(*[choose(k).alias(n) for k, n in enumerate(("before", "value", "kind", "after", "label"))]), "findings")
 
 
 def train(findings: DataFrame, known: Usage, trees: int = 30, depth: int = 6, seed: int = 5) -> Scanner:
@@ -176,7 +176,7 @@ def train(findings: DataFrame, known: Usage, trees: int = 30, depth: int = 6, se
     near, given = neighbours(findings), F.struct(*[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names])
     # Within a function of arrays, as in a scan, since they are too many for one generated method.
     values = F.transform(F.array(given), lambda x: F.struct(*[v.cast("double").alias(n) for n, v in zip(FEATURES, _features(*[x[n] for n in names], known, near), strict=True)]))
-    table = findings.where("label is not null").select(F.col("label").cast("double").alias("label"), F.inline(values))
+    table = settle(findings.where("label is not null").select(F.col("label").cast("double").alias("label"), F.inline(values)), "finding-features")
     kinds = table.agg(F.count("*"), F.min("label"), F.max("label")).first()
     if not kinds[0] or kinds[1] == kinds[2]:  # nothing to tell apart
         return Scanner([kinds[1] or 0.0], known, near)
