@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by cosine: a vantage-point tree in each shard.
 
-Vectors are dealt to shards by a hash of their id.  On the unit sphere the Euclidean distance is a
-metric and falls as the cosine grows, so the triangle inequality bounds what a subtree can hold.  A
-subtree is passed over where its bound exceeds ``factor`` times the distance of the worst neighbour
-found so far: 1 restores exact search, less passes over more.
+A small tree over a sample deals vectors to regions, and a hash of their id to the shards of a region.
+On the unit sphere the Euclidean distance is a metric and falls as the cosine grows, so the triangle
+inequality bounds what a subtree can hold.  A subtree is passed over where its bound exceeds ``factor``
+times the distance of the worst neighbour found so far: 1 restores exact search, less passes over
+more.  A query goes to its own region first and then to those alone that its bound admits.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quillmine.llm.common import pick, settle, tune
 
+SAMPLE, LEVELS = 4096, 7  # vectors that the tree of regions is made of, and its depth at most
 SLACK = 1e-7  # for rounding: bounds are distances, of which the square is accurate to 1e-15 or so
 
 
@@ -118,27 +120,113 @@ class Tree:
         return ids, np.where(best < 0, np.nan, exact)
 
 
+class Regions:
+    """The upper tree: vantage points and cuts by node, and of each region the exact bounds of its rows'
+    distances to the points above it."""
+
+    def __init__(self, unit: np.ndarray, levels: int, seed: int = 1):
+        self.levels, self.count = levels, 1 << levels
+        self.points, self.cuts = np.zeros((self.count - 1, unit.shape[1])), np.full(self.count - 1, np.inf)
+        members, rng = {0: np.arange(len(unit))}, np.random.default_rng(seed)
+        for node in range(self.count - 1):
+            at = members.pop(node, np.empty(0, np.int64))
+            if not len(at):
+                continue
+            few = at[rng.integers(0, len(at), 5)]
+            point = few[int(np.argmax([Tree._far(unit[at], unit[v]).var() for v in few]))]
+            d = Tree._far(unit[at], unit[point])
+            self.points[node], self.cuts[node] = unit[point], np.median(d)
+            members[2 * node + 1], members[2 * node + 2] = at[d <= self.cuts[node]], at[d > self.cuts[node]]
+        nodes = np.arange(self.count) + self.count - 1
+        self.above = np.empty((self.count, levels), np.int64)  # the nodes over each region, the nearest last
+        for level in range(levels - 1, -1, -1):
+            nodes = (nodes - 1) // 2
+            self.above[:, level] = nodes
+        self.rows, self.low, self.high = np.zeros(self.count, np.int64), np.full((self.count, levels), np.inf), np.full((self.count, levels), -np.inf)
+
+    def of(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(region, distance to the point of each level) of rows."""
+        node, far = np.zeros(len(unit), np.int64), np.empty((len(unit), self.levels))
+        for level in range(self.levels):
+            far[:, level] = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.einsum("ij,ij->i", unit, self.points[node])))
+            node = 2 * node + 1 + (far[:, level] > self.cuts[node])
+        return node - (self.count - 1), far
+
+    def admitted(self, unit: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Which regions may hold a row within ``reach`` of each query."""
+        far = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (unit @ self.points.T)))[:, self.above]
+        gap = np.maximum(self.low - far, far - self.high).max(2) if self.levels else np.zeros((len(unit), 1))
+        return (gap <= reach[:, None] + SLACK) & (self.rows > 0)
+
+
+def _regions(rows: DataFrame, dim: int, count: int, shard_rows: int) -> Regions:
+    """A tree over at most ``SAMPLE`` rows, those of the smallest hashes, with as many regions as shards fill, at most 2 ** ``LEVELS``."""
+    levels = min(LEVELS, max(0, -(-count // shard_rows) - 1).bit_length())
+    if not levels:
+        return Regions(np.empty((0, dim)), 0)
+    share = int(min(1.0, 2 * SAMPLE / count) * (1 << 30)) + 1
+    order = F.xxhash64("id", F.lit("regions"))
+    got = rows.where(F.pmod(order, F.lit(1 << 30)) < share).orderBy(order, "id").limit(SAMPLE).select("v").toArrow()
+    return Regions(_unit(got.column(0).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)), levels)
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, factor: float = 0.3, shard_rows: int = 8192, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, all others if fewer.
 
     ``queries`` is a condition on the column ``id``.  Rows of the query's own id are no candidates.
     Null ids, and vectors that are null, zero, hold a null or a non-finite component, or whose length
-    isn't the table's most frequent one (ties: the longest), take no part.  A repeated id counts once,
-    with the vector that sorts first.  score is the cosine in double precision.  Each task holds one
-    shard of about ``shard_rows`` rows and a block of queries; the queries stream past it.
+    isn't the table's most frequent one (ties: the longest), take no part; nor do those whose squares
+    overflow or vanish, for which no cosine can be told.  A repeated id counts once,
+    with the vector that sorts first.  score is the cosine in double precision.  An empty table gives an
+    empty result.  Each task holds one shard of about ``shard_rows`` rows and a block of queries; the
+    queries stream past it.
     """
     tune(vectors.sparkSession)
     rows = pick(vectors, id=id_col, v=vector_col).select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"))
-    sound = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    sound = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & (square > 1e-280) & (square < 1e280)
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(sound)
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     dim, count = (sizes[0]["n"], sizes[0]["count"]) if sizes else (1, 0)
     rows = rows.where(F.size("v") == dim).groupBy("id").agg(F.min("v").alias("v"))
     rows = settle(rows, "vectors")
-    shards = max(1, -(-count // shard_rows))
-    held = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "v")
-    asked = rows.where(queries).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "id", "v")
-    both = held.union(asked).repartition(4 * shards, "shard").sortWithinPartitions("shard", "kind", "id")
+    regions = _regions(rows, dim, count, shard_rows)
+
+    def matrix(batch: pa.RecordBatch) -> np.ndarray:
+        return batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(regions.of(_unit(matrix(batch)))[0].astype(np.int32))], ["id", "v", "region"])
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high, n = regions.low.copy(), regions.high.copy(), regions.rows.copy()
+        for batch in batches:
+            if batch.num_rows:
+                home, far = regions.of(_unit(matrix(batch)))
+                np.minimum.at(low, home, far)
+                np.maximum.at(high, home, far)
+                np.add.at(n, home, 1)
+        for r in np.flatnonzero(n):
+            levels = max(regions.levels, 1)
+            yield pa.RecordBatch.from_pydict({"region": pa.array([int(r)] * levels, pa.int32()), "level": pa.array(list(range(levels)), pa.int32()), "low": pa.array((low[r].tolist() or [0.0]), pa.float64()), "high": pa.array((high[r].tolist() or [0.0]), pa.float64()), "n": pa.array([int(n[r])] * levels, pa.int64())})
+
+    placed = settle(rows.mapInArrow(place, "id long, v array<double>, region int"), "vectors-placed")
+    bounds = placed.select("v").mapInArrow(ends, "region int, level int, low double, high double, n long").groupBy("region", "level").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+    for r in bounds.collect():  # a row for each region and level
+        regions.rows[r["region"]] = r["n"]
+        if regions.levels:
+            regions.low[r["region"], r["level"]], regions.high[r["region"], r["level"]] = r["low"], r["high"]
+    parts = -(-regions.rows // shard_rows)
+    first = np.cumsum(parts) - parts
+    shards = int(parts.sum()) or 1
+    table = [(int(r), int(first[r]), int(parts[r])) for r in np.flatnonzero(parts)]
+    table = F.broadcast(placed.sparkSession.createDataFrame(table, "region int, first int, parts int"))  # at most 2 ** LEVELS rows
+    dealt = placed.join(table, "region")
+    held = dealt.select((F.col("first") + F.pmod(F.xxhash64("id"), "parts")).cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "v")
+    asked = dealt.where(queries)
+    at_home = asked.select(F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)).alias("shard"), F.lit(1).alias("kind"), "id", "v")
 
     def answer(tree: Tree, ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
         distinct, same = np.unique(q, axis=0, return_inverse=True)
@@ -153,7 +241,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, factor: float = 0.3
         now, tree, ids, vecs = None, None, [], []
         for batch in batches:
             shard, kind = batch.column("shard").to_numpy(), batch.column("kind").to_numpy()
-            own, v = batch.column("id").to_numpy(), batch.column("v").flatten().to_numpy().reshape(-1, dim)
+            own, v = batch.column("id").to_numpy(), matrix(batch)
             edges = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1])]))
             for a, b in zip(edges, [*edges[1:], len(shard)], strict=True):
                 if now != (shard[a], kind[a]):
@@ -173,9 +261,36 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, factor: float = 0.3
         if ids and now[1] == 1 and tree is not None:
             yield answer(tree, np.concatenate(ids), np.concatenate(vecs))
 
-    found = both.mapInArrow(run, "query_id long, vec_id long, score double")
+    def search(some: DataFrame) -> DataFrame:
+        both = held.union(some).repartition(4 * shards, "shard").sortWithinPartitions("shard", "kind", "id")
+        return both.mapInArrow(run, "query_id long, vec_id long, score double")
+
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = lambda df: df.withColumn("rank", rank).where(F.col("rank") <= k)
+    found = best(search(at_home)).select("query_id", "rank", "vec_id", "score")
+    if not regions.levels:
+        return found
+    found = settle(found, "vectors-found")
+
+    def admit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                far = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * some.column("worst").to_numpy(zero_copy_only=False)))
+                fit = regions.admitted(_unit(matrix(some)), np.where(some.column("n").to_numpy() < k, np.inf, factor * far))
+                fit[np.arange(some.num_rows), some.column("region").to_numpy()] = False
+                who, where = np.nonzero(fit)
+                n = parts[where]
+                if n.sum():
+                    who, begin = np.repeat(who, n), np.repeat(first[where], n)
+                    shard = begin + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
+                    rows = some.take(pa.array(who))
+                    yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), pa.array(np.ones(len(who), np.int32)), rows.column("id"), rows.column("v")], ["shard", "kind", "id", "v"])
+
+    worst = found.groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("worst"), F.count("*").cast("int").alias("n"))
+    bounded = asked.join(worst, "id", "left").select("id", "v", "region", F.coalesce("worst", F.lit(-1.0)).alias("worst"), F.coalesce("n", F.lit(0)).alias("n"))
+    more = search(bounded.mapInArrow(admit, "shard int, kind int, id long, v array<double>"))
+    return best(found.drop("rank").union(more)).select("query_id", "rank", "vec_id", "score")
 
 
 def op4_vantage_point_ann(spark, sf_dir: str) -> DataFrame:

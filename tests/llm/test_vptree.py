@@ -50,3 +50,34 @@ def test_unsound_vectors_ties_and_shards(spark):
     assert V.nearest(df.limit(0), F.lit(True)).count() == 0
     two = spark.createDataFrame([(0, [1.0, 2.0]), (50, [2.0, 1.0])], "vec_id long, embedding array<float>")
     assert V.nearest(two, F.lit(True)).count() == 2
+
+
+@pytest.mark.parametrize("size", [40, 300])
+def test_regions_restore_exact_search_and_leave_most_shards_out(spark, size):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 8))
+    vecs = centres[rng.integers(0, 12, 1500)] + rng.normal(0, 0.05, (1500, 8))
+    vecs[100:160] = vecs[0]
+    ids = np.arange(1500)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vecs, strict=True)], "vec_id long, embedding array<double>")
+    want = brute(ids, vecs, ids % 50 == 0, 5)
+    got = {}
+    for r in V.nearest(df, F.col("id") % 50 == 0, factor=1.0, shard_rows=size).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {int(q): [int(x) for x, _ in found] for q, found in want.items()}
+    top = V.Regions(V._unit(vecs), 4)
+    home, far = top.of(V._unit(vecs))
+    for r in range(16):
+        if (home == r).any():
+            top.rows[r], top.low[r], top.high[r] = (home == r).sum(), far[home == r].min(0), far[home == r].max(0)
+    reach = np.array([np.sqrt(max(0.0, 2 - 2 * want[q][-1][1])) for q in ids[ids % 50 == 0]])
+    fit = top.admitted(V._unit(vecs[ids % 50 == 0]), reach)
+    for row, q in zip(fit, ids[ids % 50 == 0], strict=True):
+        assert row[home[q]] and all(row[home[x]] for x, _ in want[q])
+    assert fit.mean() < 0.6
+
+
+def test_vectors_whose_squares_overflow_take_no_part(spark):
+    rows = [(0, [1e200, 1.0]), (50, [1.0, 2.0]), (51, [1e-200, 0.0]), (52, [2.0, 1.0])]
+    got = V.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 50 == 0).collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(50, 52)]
