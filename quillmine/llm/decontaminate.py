@@ -3,8 +3,8 @@
 An item is cut into windows.  A window occurs in a document where all its shingles do, in place, so any
 one of its shingles is a sufficient prefix for the join.  Shingles are ordered by how many occurrences
 their rarest word has among all documents, which bounds their own; each window is joined by its first
-shingle in that order, at that word; then come the bounds of length and position, the shingle's hash
-and the window itself, word by word.
+shingle in that order, at that word; then come the bounds of length and position, the hashes of the
+shingle and of the window, and, for what is left, the window itself, word by word.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from quillmine.llm.common import LOWER, UPPER, lower_ascii, pick, settle
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORDS = 1_000_000  # word hashes broadcast at a time, 8 bytes each
-WINDOWS = 50_000  # windows broadcast at a time
+WINDOWS = 50_000  # windows broadcast at a time, 48 bytes each however long their words
 
 
 def words(text: Column) -> Column:
@@ -37,7 +37,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     Windows are the runs of ``window`` words of an item, or all its words if there are fewer but some.
     n_hit counts the document's words inside any occurrence of a window, n_items the items of which a
     window occurs, and items is the sorted array of their ids as strings.  Null texts have no words;
-    a null item id counts among hits, not among items.  Rows with equal id and text are judged alike.
+    a null item id counts among hits, not among items.  Rows with equal id and text are judged alike; an
+    empty table of either kind hits nothing.  Texts of any length are searched whole, in time linear in it.
     Whole texts are read, once to count the benchmark's words and once to find its windows, and are
     never shuffled; larger benchmarks are gone through in several passes of bounded size.
     """
@@ -62,19 +63,20 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     # word that no document has can't occur.
     first = inside.join(counted, "key", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "off")).alias("f"), F.first("window").alias("window"))
     size, run = F.size("window"), F.least(F.size("window"), F.lit(shingle))
-    first = first.where("f.n > 0").select("wid", "window", "f.key", "f.off", F.least(F.col("f.off"), size - run).alias("lead"), run.alias("run"))
-    prefix = settle(first.withColumn("h", F.xxhash64(F.slice("window", F.col("lead") + 1, F.col("run")))).withColumn("nth", F.monotonically_increasing_id() % 1_000_003), "window-prefixes")
+    first = first.where("f.n > 0").select("wid", "window", size.alias("size"), "f.key", "f.off", F.least(F.col("f.off"), size - run).alias("lead"), run.alias("run"))
+    prefix = settle(first.withColumn("h", F.xxhash64(F.slice("window", F.col("lead") + 1, F.col("run")))).withColumn("whole", F.xxhash64("window")).drop("window").withColumn("nth", F.monotonically_increasing_id() % 1_000_003), "window-prefixes")
     at = split.select("id", "th", "w", F.posexplode("w").alias("at", "word")).withColumn("key", F.xxhash64("word"))
     begins = F.col("at") - F.col("off")  # from 0
-    bounds = (begins >= 0) & (begins + size <= F.size("w"))
+    bounds = (begins >= 0) & (begins + F.col("size") <= F.size("w"))
     place = F.greatest(begins, F.lit(0))
-    agrees = (F.xxhash64(F.slice("w", place + F.col("lead") + 1, F.col("run"))) == F.col("h")) & (F.slice("w", place + 1, size) == F.col("window"))
+    agrees = (F.xxhash64(F.slice("w", place + F.col("lead") + 1, F.col("run"))) == F.col("h")) & (F.xxhash64(F.slice("w", place + 1, F.col("size"))) == F.col("whole"))
     passes = max(1, -(-prefix.count() // WINDOWS))
     held = []
     for k in range(passes):
         some = prefix.where(F.pmod("nth", F.lit(passes)) == k).withColumnRenamed("key", "of")
-        held.append(at.join(F.broadcast(some), (F.col("key") == F.col("of")) & bounds & agrees).select("id", "th", "wid", begins.alias("begins"), (begins + size).alias("ends")))
-    held = settle(reduce(DataFrame.union, held).distinct(), "window-hits")
+        held.append(at.join(F.broadcast(some), (F.col("key") == F.col("of")) & bounds & agrees).select("id", "th", "wid", begins.alias("begins"), (begins + F.col("size")).alias("ends"), F.slice("w", place + 1, F.col("size")).alias("found")))
+    held = reduce(DataFrame.union, held).join(windows, "wid").where("found = window").select("id", "th", "wid", "begins", "ends")
+    held = settle(held.distinct(), "window-hits")
 
     by = Window.partitionBy("id", "th").orderBy("begins", "ends")
     before = F.coalesce(F.max("ends").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

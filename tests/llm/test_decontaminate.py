@@ -42,3 +42,14 @@ def test_cases_equal_brute_force(spark, monkeypatch):
     assert got == sorted((str(i), *brute(t, items)) for i, t in docs)
     assert all(r.n_hit == 0 and r.items == [] for r in D.contamination(d, b.limit(0)).collect())
     assert D.contamination(d.limit(0), b).count() == 0
+
+
+def test_very_long_texts_and_words_are_searched_whole(spark):
+    item = " ".join(f"w{i}" for i in range(10))
+    huge = "z" * 300_000
+    docs = spark.createDataFrame([(1, "x y " * 200_000 + item + " x" * 1000), (2, f"a {huge} b"), (3, "x y " * 1000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, f"A {huge} B")], "item_id long, text string")
+    got = {r.id: (r.n_words, r.n_hit, r.n_items) for r in D.contamination(docs, bench).collect()}
+    assert got == {1: (401_010, 10, 1), 2: (3, 3, 1), 3: (2000, 0, 0)}
+    empty = {r.id: (r.n_hit, r.n_items) for r in D.contamination(docs, bench.limit(0)).collect()}
+    assert empty == {1: (0, 0), 2: (0, 0), 3: (0, 0)} and D.contamination(docs.limit(0), bench).count() == 0
