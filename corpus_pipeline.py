@@ -6,27 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmine.llm import decontaminate, quality, secrets, sentencepiece, simhash
-from quillmine.llm.common import passing, scratch
+from quillmine.llm.common import goes_with_driver, passing, scratch
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose probability of good quality is under 0.3."""
+    """Documents go whose probability of good quality is under 0.3.
+
+    Null and empty texts have the probability that no word tells; repeated rows are judged alike."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs, quality.train(docs, labels))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id stays."""
+    """Of each group of near-duplicates the document of the smallest id stays.
+
+    Null and empty texts are one group; null ids come last, and one of repeated rows stays."""
     return simhash.deduplicate(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that hold ten consecutive words of a benchmark item, or a whole shorter one."""
+    """Documents go that hold ten consecutive words of a benchmark item, or a whole shorter one.
+
+    Null and empty texts hold none; repeated rows stay or go together."""
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts; all documents stay, and n_chars is that of the text as it is now."""
+    """Secrets are masked in the texts; all documents stay, and n_chars is that of the text as it is now.
+
+    Null and empty texts stay as they are; repeated rows are masked alike."""
     masked = secrets.mask(docs, secrets.scanner_of(docs))
     if "n_chars" not in docs.columns:
         return masked
@@ -34,7 +42,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether they decode to its text."""
+    """Token ids of each document, and whether they decode to its text; null texts have none, as empty ones."""
     return sentencepiece.encode(docs).withColumnRenamed("id", "doc_id")
 
 
@@ -59,5 +67,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch(spark, "stage-" + name.replace(" ", "-"))
         with passing(spark):
             stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        goes_with_driver(spark, path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

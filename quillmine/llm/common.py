@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -37,45 +38,68 @@ def tune(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where it is unset, as in tests, a temporary folder is made and set.
+    Only where it is unset and Spark runs in this process alone, as in tests, a temporary folder is made
+    and set; on a cluster it would be each machine's own.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
         where = "file://" + tempfile.mkdtemp(prefix="quillmine-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-_made: list[str] = []
+class _Made(threading.local):
+    """The paths that this thread has made."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_made = _Made()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    _made.append(f"{shared_dir(spark)}/quillmine/{name}-{uuid.uuid4().hex}")
-    return _made[-1]
+    _made.paths.append(f"{shared_dir(spark)}/quillmine/{name}-{uuid.uuid4().hex}")
+    return _made.paths[-1]
+
+
+def _on_disk(spark: SparkSession, where: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def goes_with_driver(spark: SparkSession, where: str) -> None:
+    """Have what was written to a scratch path deleted when the driver ends; frames may read it until then."""
+    files, path = _on_disk(spark, where)
+    files.deleteOnExit(path)
 
 
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[None]:
-    """Intermediate tables made inside are deleted at the end; for callers that write their result
-    inside, since frames that are still to be computed may read them."""
-    before = len(_made)
+    """Intermediate tables that this thread makes inside are deleted at the end; for callers that write their
+    result inside, since frames that are still to be computed may read them."""
+    before = len(_made.paths)
     try:
         yield
     finally:
-        for where in _made[before:]:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        del _made[before:]
+        for where in _made.paths[before:]:
+            files, path = _on_disk(spark, where)
+            files.delete(path, True)
+        del _made.paths[before:]
 
 
 def settle(df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:
     """Write a frame to the shared folder and read it again: it is computed once, its lineage is cut,
     and a lost executor costs no more than the tasks that it ran.  Ids and hashes hardly compress;
-    frames with texts should name a codec."""
+    frames with texts should name a codec.  The table goes when the driver ends."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", compression).parquet(path)
+    goes_with_driver(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -76,7 +76,8 @@ def profiles(documents: DataFrame, usable: Column | None = None, lang_col: str =
 
     All whole texts with a language count, but for those that ``usable``, a condition on the column
     ``id``, leaves out.  Counts are summed in each task before they are shuffled; the driver gets
-    ``length`` numbers a language and nothing else.
+    ``length`` numbers a language and nothing else, so ``lang`` should hold languages and no free text.
+    Repeated rows count as often as they stand; an empty table gives no profile.
     """
     tune(documents.sparkSession)
     rows = pick(documents, id=id_col, lang=lang_col, text=text_col).where("lang is not null")
@@ -114,7 +115,8 @@ def predict(documents: DataFrame, known: dict[str, np.ndarray], id_col: str = "d
     The distance adds up how far each of the document's ``length`` most frequent n-grams is from its
     place in the language's profile, ``length`` for one that it lacks; ties go to the language that
     sorts first.  score is 1 less the distance as a share of the largest possible.  A null text, one
-    without a letter and any text where nothing was learned are ``und`` with score 0.
+    without a letter and any text where nothing was learned are ``und`` with score 0.  Whole texts count,
+    block by block however long; repeated rows are each predicted.
     """
     tune(documents.sparkSession)
     names = sorted(known)

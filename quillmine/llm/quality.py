@@ -175,7 +175,8 @@ def _judge(model: tuple[np.ndarray, float, float]) -> Callable[[str | None], flo
 def score(documents: DataFrame, model: tuple[np.ndarray, float, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score): the probability of label 1 for every whole text, one row for each row of the input.
 
-    Null and empty texts set no indicator and get the score of the offset alone.
+    Null and empty texts set no indicator and get the score of the offset alone; repeated rows get equal
+    scores.  Texts count whole; memory for one is some forty times its size while its indicators are found.
     """
     tune(documents.sparkSession)
     one = _judge(model)

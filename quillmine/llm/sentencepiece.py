@@ -361,7 +361,10 @@ def encode(documents: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
     """(id, n_tokens, token_ids, round_trip): one row for each row of the input.
 
     round_trip says that decoding gives the whole text again; it does but for a literal U+2581, which
-    the format holds to be a space.  Null texts are encoded like empty ones, as no tokens.  The model
+    the format holds to be a space.  Null texts are encoded like empty ones, as no tokens; repeated rows
+    are each encoded, and an empty table gives an empty result.  Where two encodings have one score, the
+    longer last piece wins (unigram) or the merge further left (BPE).  Texts are encoded whole; a word of
+    many letters is gone through letter by letter, some 20 microseconds each.  The model
     is read on the driver; workers get its pieces, whose number is the model's.
     """
     tune(documents.sparkSession)

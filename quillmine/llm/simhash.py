@@ -126,7 +126,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     component is the smallest id that can be reached over links of at most ``radius`` differing bits.
     Equal texts share a fingerprint and are one node however many they are; rows without words
     share fingerprint zero and are linked like any other.  Null ids are kept, and are a component's
-    name only where it has no other.  An empty table gives an empty result.
+    name only where it has no other.  An empty table gives an empty result.  Texts of any length are
+    hashed whole, 8192 shingles at a time.
     """
     tune(documents.sparkSession)
     rows = settle(_fingerprints(pick(documents, id=id_col, text=text_col), width, seed), "simhash-rows")

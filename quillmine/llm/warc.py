@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import map_arrow, pick, scratch, settle, tune
+from quillmine.llm.common import goes_with_driver, map_arrow, pick, scratch, settle, tune
 
 # Fixed values of the formats.
 SKIPPABLE, FRAME, DICTIONARY = 0x184D2A5D, 0xFD2FB528, 0xEC30A437
@@ -133,14 +133,15 @@ def write_archives(pages: DataFrame, out: str | None = None, id_col: str = "page
 
     Payload: the html in UTF-8, empty where null.  Of the records with equal payloads of at least
     ``least`` bytes, those of the largest id are responses and the others revisit that id; a null id
-    is always a response, and rows of one id with different payloads are records of their own.  Texts are compressed before the one shuffle that brings each record the id
+    is always a response, and rows of one id with different payloads are records of their own, as are
+    repeated rows.  An empty table writes no archive; payloads of any length are one frame each.  Texts are compressed before the one shuffle that brings each record the id
     it refers to; only digests are shuffled by digest.  Each attempt of a task writes files of its
     own, and only the manifest, of attempts that succeeded, says which count; so tasks can be lost.
-    ``out`` is a folder that all executors reach (default: in the shared folder).
+    ``out`` is a folder that all executors reach (default: one in the shared folder that goes when the driver ends).
     """
     spark = pages.sparkSession
     tune(spark)
-    out = out or scratch(spark, "warc")
+    own, out = out is None, out or scratch(spark, "warc")
     rows = pick(pages, page=id_col, url=url_col, html=html_col)
     page_type = rows.schema["page"].dataType.simpleString()
     dictionary = train_dictionary(rows)
@@ -188,7 +189,10 @@ def write_archives(pages: DataFrame, out: str | None = None, id_col: str = "page
         if stream is not None:
             yield done()
 
-    return settle(records.mapInArrow(write, "archive string, records long, bytes long"), "warc-manifest")
+    manifest = settle(records.mapInArrow(write, "archive string, records long, bytes long"), "warc-manifest")
+    if own:
+        goes_with_driver(spark, out)
+    return manifest
 
 
 def read_archives(manifest: DataFrame, page_type: str = "long", payload: bool = True, batch_bytes: int = 8 << 20) -> DataFrame:

@@ -1,4 +1,5 @@
 from collections import Counter
+from zlib import crc32
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,3 +50,25 @@ def test_defined_cases(spark):
     assert got == sorted([("1", "en"), ("1", "en"), ("2", "fr"), ("3", "und"), ("4", "und"), ("5", "en"), ("None", "fr")])
     assert {r.lang for r in L.predict(df, L.profiles(df.limit(0))).collect()} == {"und"}
     assert L.predict(df.limit(0), {}).count() == 0
+
+
+def test_predictions_equal_brute_force(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    counts = {}
+    for r in rows:
+        if crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang is not None:
+            counts.setdefault(r.lang, Counter()).update(brute(r.text))
+    rank = lambda c: {g: k for k, g in enumerate(sorted(c, key=lambda g: (-c[g], value(g)))[:400])}
+    known = {lang: rank(c) for lang, c in sorted(counts.items())}
+    got = {r.doc_id: r for r in L.op1_language_rank_order(spark, "/root/testdata/sf0.001").collect()}
+    for r in rows:
+        own = rank(brute(r.text))
+        far = {lang: sum(min(abs(k - places[g]), 400) if g in places else 400 for g, k in own.items()) for lang, places in known.items()}
+        best = min(far, key=lambda lang: (far[lang], lang))
+        assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == (best, pytest.approx(1 - far[best] / (400 * len(own))))
+
+
+def test_very_long_texts_are_counted_whole(spark):
+    rows = [(1, "the cat and the dog " * 60_000, "en"), (2, "le chat et le chien " * 60_000 + "x", "fr"), (3, "le chat " * 9 + "the cat and the dog " * 60_000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.id: r.lang for r in L.predict(df, L.profiles(df)).collect()} == {1: "en", 2: "fr", 3: "en"}

@@ -112,7 +112,7 @@ def test_intermediate_tables_go(spark):
 
     with common.passing(spark):
         held = common.settle(spark.range(3), "some")
-        path = common._made[-1]
+        path = common._made.paths[-1]
         assert held.count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)

@@ -1,5 +1,8 @@
+import math
+
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quillmine.llm import quality as Q
@@ -69,3 +72,42 @@ def test_the_bound_on_rows_holds_and_repeats(some):
     docs, labels = some
     a, b = Q.train(docs, labels, max_rows=10), Q.train(docs.repartition(3), labels.repartition(2), max_rows=10)
     assert (a[0] == b[0]).all() and a[1:] == b[1:]
+
+
+def plain_features(text):
+    """The ids of the indicators, one by one."""
+    raw = (text or "").encode().lower()
+    words = raw.split()
+    if not words:
+        return set()
+    fold = lambda x, salt: ((x + salt) * 0x9E3779B97F4A7C15 % (1 << 64)) >> 64 - Q.BITS
+    out = {fold(int.from_bytes(raw[i : i + n], "big"), n << 40) for n in (1, 2, 3) for i in range(len(raw) - n + 1)}
+    h = [xxhash.xxh32_intdigest(w) for w in words]
+    out |= {fold(x, 4 << 40) for x in h}
+    return out | {fold(Q.SAME if a == b else (b ^ a << 24) % (1 << 64), 5 << 40) for a, b in zip(h, h[1:], strict=False)}
+
+
+def test_scores_equal_brute_force(spark, some):
+    """Ratios from counts of labelled rows, and scores from sums over plain sets of indicators."""
+    docs, labels = some
+    (r, w), slope, offset = model = Q.train(docs, labels)
+    rows = docs.collect()
+    label = {}
+    for i, y in ((x.doc_id, x.quality) for x in labels.collect()):
+        if i is not None and y is not None:
+            label.setdefault(i, []).append(y)
+    sets = [(plain_features(x.text), sum(label[x.doc_id]) * 2 >= len(label[x.doc_id])) for x in rows if x.doc_id in label]
+    count = {y: np.full(1 << Q.BITS, 1.0) for y in (True, False)}
+    for ids, y in sets:
+        for i in ids:
+            count[y][i] += 1
+    ratio = np.log(count[True] / count[True].sum()) - np.log(count[False] / count[False].sum())
+    assert r == pytest.approx(ratio, abs=1e-5)
+    got = sorted((str(x.id), round(x.score, 5)) for x in Q.score(docs, model).collect())
+    want = []
+    for x in rows:
+        ids = sorted(plain_features(x.text))
+        norm = math.sqrt(sum(float(r[i]) ** 2 for i in ids)) or 1.0
+        margin = sum(float(w[i]) * float(r[i]) for i in ids) / norm
+        want.append((str(x.doc_id), round(1 / (1 + math.exp(-(slope * margin + offset))), 5)))
+    assert got == sorted(want)

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from quillmine.llm.sharding import op9_sampled_splitters, shard_by_bytes
+from quillmine.llm.sharding import _at_or_below, op9_sampled_splitters, shard_by_bytes
 
 
 def check(got, texts, shards, slack):
@@ -41,3 +41,25 @@ def test_hot_text_nulls_and_repeats(spark, ranges):
 def test_empty_and_single(spark):
     assert shard_by_bytes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert [tuple(r) for r in shard_by_bytes(spark.createDataFrame([(1, "a" * 2_000_000)], "doc_id long, text string")).select("id", "size", "slot").collect()] == [(1, 2_000_001, 0)]
+
+
+def test_groups_of_equal_texts_stay_whole_while_they_fit(spark):
+    """Groups of many sizes, the largest nearly a shard; only that of over a shard is divided, over as few as it takes."""
+    sizes = [60, 150, 300, 900, 960, 5, 2, 1900]
+    rows = [(k * 10_000 + i, f"the text of group {k} " * 5) for k, n in enumerate(sizes) for i in range(n)]
+    rows += [(900_000 + i, f"another {i:05d} text, all by itself, as long as the others are, or nearly so, it is to be hoped" * 1) for i in range(8000 - sum(sizes))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = shard_by_bytes(df, ranges=64).collect()
+    check(got, rows, 8, 0.03)
+    at = defaultdict(set)
+    for r in got:
+        at[r.id // 10_000].add(r.shard)
+    assert [len(at[k]) for k in range(7)] == [1] * 7 and 2 <= len(at[7]) <= 3
+
+
+def test_splitters_are_looked_up_by_blocks(spark):
+    keys = sorted({(x * 7919) % 10_007 - 5000 for x in range(500)})
+    for some in ([], keys[:1], keys[:16], keys[:17], keys):
+        rows = spark.createDataFrame([(x,) for x in (-6000, *keys[::7], 0, 6000)], "key long")
+        for r in rows.withColumn("n", _at_or_below(some, F.col("key"))).collect():
+            assert r.n == sum(x <= r.key for x in some)
