@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,6 +120,18 @@ def map_arrow(df: DataFrame, schema: str, f: Callable[[dict[str, pa.Array]], dic
     return df.mapInArrow(run, schema)
 
 
+def by_size(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in slices of at most ``most`` bytes of a text column, or of one row."""
+    lengths, begin, held = pc.binary_length(batch.column(column)).fill_null(0).to_pylist(), 0, 0
+    for i, n in enumerate(lengths):
+        if i > begin and held + n > most:
+            yield batch.slice(begin, i - begin)
+            begin, held = i, 0
+        held += n
+    if batch.num_rows:
+        yield batch.slice(begin)
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillmine.llm.common import map_arrow, pick, tune
+from quillmine.llm.common import by_size, map_arrow, pick, tune
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -29,7 +29,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values
 BASE, MIX = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
 FILTER, CACHE = 20, 21  # bits of the tables that spare most probes
 LONG = 32  # longer words are cut wherever no piece can span two characters
-MOST_WORDS = 300_000  # encoded words that a worker remembers
+MOST_WORDS = 200_000  # encoded words that a worker remembers
+AT_ONCE = 1 << 20  # bytes of texts that are encoded at a time, unless one has more
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, object]]:
@@ -370,16 +371,18 @@ def encode(documents: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
     tune(documents.sparkSession)
     pieces = Pieces(model)
 
-    def run(batch):
-        texts = [(t or b"").decode("utf-8", "replace") for t in batch["text"].cast(pa.binary()).to_pylist()]
-        ids = pieces.encode(texts)
-        back = [a == b for a, b in zip(pieces.decode(ids), texts, strict=True)]
-        offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
-        return {"id": batch["id"], "n_tokens": pa.array(np.diff(offsets).astype(np.int64)), "token_ids": listed, "round_trip": pa.array(back, pa.bool_())}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in by_size(batch, "text", AT_ONCE):
+                texts = [(t or b"").decode("utf-8", "replace") for t in some.column("text").cast(pa.binary()).to_pylist()]
+                ids = pieces.encode(texts)
+                back = [a == b for a, b in zip(pieces.decode(ids), texts, strict=True)]
+                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_pydict({"id": some.column("id"), "n_tokens": pa.array(np.diff(offsets).astype(np.int64)), "token_ids": listed, "round_trip": pa.array(back, pa.bool_())})
 
     rows = pick(documents, id=id_col, text=text_col)
-    return map_arrow(rows, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, token_ids array<int>, round_trip boolean", run)
+    return rows.select("id", "text").mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, token_ids array<int>, round_trip boolean")
 
 
 def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "id", tokens_col: str = "token_ids") -> DataFrame:
