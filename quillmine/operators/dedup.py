@@ -7,9 +7,10 @@ see each other's flags, but that fuzzy matching leaves out what the layers befor
 from __future__ import annotations
 
 from dataclasses import dataclass
+from string import ascii_lowercase
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmine.functions.indel import with_ratio
@@ -41,19 +42,29 @@ def title_copies(papers: DataFrame) -> DataFrame:
     return later_copies(papers.withColumn("__title", normalize_title(F.col("title"))), "__title")
 
 
+def _letters(text: Column) -> Column:
+    """How often each of a to z stands in a text, and how many other characters there are."""
+    size = F.char_length(text)
+    each = [size - F.char_length(F.replace(text, F.lit(c), F.lit(""))) for c in ascii_lowercase]
+    return F.array(*each, F.char_length(F.regexp_replace(text, "[a-z]", "")))
+
+
 def fuzzy_pairs(papers: DataFrame, threshold: float = 90.0, year: str = "year") -> DataFrame:
     """(block, a, b, ratio): pairs of titles that are alike, a before b, within one year and block of first words.
 
     The band of lengths is part of the definition: it is narrower than what the ratio alone would need.
-    Blocks are joined on their key, which Spark can split where one is large; only texts of pairs that
-    pass the band are scored.
+    Blocks are joined on their key, which Spark can split where one is large.  A common subsequence has no
+    more of a letter than either title, so pairs whose letters in common are too few are left out in the join,
+    and only texts of the others are scored.
     """
     titled = papers.withColumn("__t", normalize_title(F.col("title"))).where("__t <> ''")
-    side = titled.select(F.col(year).alias("y"), title_block_key(F.col("__t")).alias("k"), F.col(POS).alias("p"), "pmid", F.col("__t").alias("t"), F.char_length("__t").alias("n"))
+    side = titled.select(F.col(year).alias("y"), title_block_key(F.col("__t")).alias("k"), F.col(POS).alias("p"), "pmid", F.col("__t").alias("t"), F.char_length("__t").alias("n"), _letters(F.col("__t")).alias("c"))
     a, b = side.alias("a"), side.alias("b")
     near = F.col("a.y").eqNullSafe(F.col("b.y")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.p") < F.col("b.p"))
     band = F.least("a.n", "b.n") * 100.0 >= F.greatest("a.n", "b.n") * threshold
-    pairs = a.join(b, near & band).select(F.struct("a.y", "a.k").alias("block"), F.col("a.p").alias("pa"), F.col("b.p").alias("pb"), F.col("a.pmid").alias("a"), F.col("b.pmid").alias("b"), F.col("a.t").alias("ta"), F.col("b.t").alias("tb"))
+    common = F.aggregate(F.zip_with("a.c", "b.c", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+    enough = common * 200.0 >= (F.col("a.n") + F.col("b.n")) * threshold
+    pairs = a.join(b, near & band & enough).select(F.struct("a.y", "a.k").alias("block"), F.col("a.p").alias("pa"), F.col("b.p").alias("pb"), F.col("a.pmid").alias("a"), F.col("b.pmid").alias("b"), F.col("a.t").alias("ta"), F.col("b.t").alias("tb"))
     return with_ratio(pairs, "ta", "tb").where(F.col("ratio") >= threshold).select("block", "pa", "pb", "a", "b", "ratio")
 
 
