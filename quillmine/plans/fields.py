@@ -101,3 +101,27 @@ def problems(record: object, fields: list[Field], parent: str | None = None, at:
             fits = isinstance(value, list) and all(map(good, value)) if f.type.startswith("list[") else good(value)
             out += [] if fits else [f"{here} is no {f.type}"]
     return out
+
+
+def model_class(fields: list[Field], name: str = "Record"):
+    """The fields as a pydantic model, nested ones as models of their own; what is not foreseen is refused."""
+    from typing import Literal
+
+    from pydantic import ConfigDict, create_model  # optional: only this function needs it
+
+    check(fields)
+    kinds = {"string": str, "integer": int, "float": float, "boolean": bool}
+
+    def of(f: Field):
+        if f.type in NESTED:
+            inner = build(f.name, f"{name}_{f.name}")
+            return inner if f.type == "object" else list[inner]
+        if f.type == "enum":
+            return Literal[tuple(f.values)]
+        return list[kinds[f.type[5:-1]]] if f.type.startswith("list[") else kinds[f.type]
+
+    def build(parent: str | None, title: str):
+        own = {f.name: (of(f), ...) if f.required else (of(f) | None, None) for f in fields if f.parent == parent}
+        return create_model(title, __config__=ConfigDict(extra="forbid"), **own)
+
+    return build(None, name)

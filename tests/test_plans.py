@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillmine import cli
 from quillmine.plans import config, fetch, steps
 from quillmine.plans.extract import CostCapExceeded, ErrorRateExceeded, Store, extract, gate
-from quillmine.plans.fields import Field, check, json_schema, problems, spark_type
+from quillmine.plans.fields import Field, check, json_schema, model_class, problems, spark_type
 from quillmine.plans.tracker import Processed, batched
 from quillmine.sources import eutils
 from quillmine.sources import literature_api as api
@@ -104,6 +104,17 @@ def test_records_are_held_against_their_fields():
     assert problems([], fields) == ["record is no object"]
 
 
+def test_fields_as_a_model():
+    pydantic = pytest.importorskip("pydantic")
+    fields = [Field("a", "string"), Field("n", "integer", required=False), Field("l", "list[integer]"), Field("o", "object"), Field("e", "enum", values=["p", "q"], parent="o"), Field("r", "list[object]", required=False), Field("b", "boolean", parent="r")]
+    model = model_class(fields)
+    got = model.model_validate({"a": "x", "l": [1, 2], "o": {"e": "p"}, "r": [{"b": True}]})
+    assert got.model_dump() == {"a": "x", "n": None, "l": [1, 2], "o": {"e": "p"}, "r": [{"b": True}]}
+    for bad in ({"a": "x", "l": [], "o": {"e": "z"}}, {"a": "x", "l": []}, {"a": "x", "l": [], "o": {"e": "p"}, "more": 1}):
+        with pytest.raises(pydantic.ValidationError):
+            model.model_validate(bad)
+
+
 def test_tracker(tmp_path):
     done = Processed(f"{tmp_path}/ids.json")
     done.done(["a", "b"])
