@@ -92,8 +92,9 @@ def explore(papers: DataFrame, q: Query) -> tuple[DataFrame, int]:
     Matches are counted by the job that samples.  At most ``limit`` rows come to the driver, which gives
     them in order; a stride's rows are every so manieth of the first limit * stride."""
     spark, seen = papers.sparkSession, Observation()
-    found = filtered(papers, q).observe(seen, F.count(F.lit(1)).alias("n"))
     columns = [c for c in dict.fromkeys(q.columns or papers.columns) if c in papers.columns]
+    needed = columns if q.mode == "first" else ["pmid"]  # selected before they are observed, or all would be read
+    found = filtered(papers, q).select(*dict.fromkeys([*needed, POS])).observe(seen, F.count(F.lit(1)).alias("n"))
     if q.mode == "first":
         rows = found.orderBy(POS).limit(q.limit).select(*columns).collect()
     else:
