@@ -134,23 +134,37 @@ def labelled_findings(spark: SparkSession, each: int = 120, words: list[str] | N
     rule from hashes, so that they are the same on every machine.  Those that consist of words take them
     from ``DICTIONARY`` and from ``words``, such as those of ``usage``."""
     ordinary = DICTIONARY + [w for w in words or [] if w.isalpha()]
-    sort, h = F.col("sort"), lambda salt: F.sha2(F.concat_ws("-", "sort", "nth", F.lit(salt)), 256)
+    n = len(_sorts(F.lit(0), F.lit(0), ordinary))
+    rows = spark.range(n * each, numPartitions=4).select((F.col("id") % n).cast("int").alias("sort"), F.floor(F.col("id") / n).cast("int").alias("nth"))
+
+    def one(r: Column) -> Column:
+        made = _sorts(r["sort"], r["nth"], ordinary)
+        choose = lambda k: F.coalesce(*[F.when(r["sort"] == i, m[k] if isinstance(m[k], Column) else F.lit(m[k])) for i, m in enumerate(made)])
+        return F.struct(*[choose(k).alias(name) for k, name in enumerate(("before", "value", "kind", "after", "label"))])
+
+    # Within a function of arrays, as in a scan, since the choice is too large for one generated method.
+    return settle(rows.select(F.inline(F.transform(F.array(F.struct("sort", "nth")), one))), "findings")
+
+
+def _sorts(sort: Column, nth: Column, ordinary: list[str]) -> list[tuple]:
+    """The (before, value, kind, after, label) of each sort."""
+    h = lambda salt: F.sha2(F.concat_ws("-", sort.cast("string"), nth.cast("string"), F.lit(salt)), 256)
     hexa = lambda a, n: F.substring(h(a), 1, n)
     b64 = F.regexp_replace(F.base64(F.unhex(h("b"))), "[=\\s]", "")
     upper = F.translate(F.substring(F.upper(F.regexp_replace(F.base64(F.unhex(h("c"))), "[^A-Za-z0-9]", "7")), 1, 16), "", "")
     digits = F.substring(F.regexp_replace(h("d"), "[a-f]", "4"), 1, 16)
     word = lambda a: F.element_at(F.split(F.lit(" ".join(ordinary)), " "), (F.conv(hexa(a, 6), 16, 10).cast("int") % len(ordinary) + 1))
-    plain = F.element_at(F.array(*map(F.lit, ["and then ", "see also ", "the following, ", "tion of the ", "en el ", "dans les ", ""])), F.col("nth") % 7 + 1)
-    tail = F.element_at(F.array(*map(F.lit, [" and more", ".", ", which", "\n", " der", '" '])), F.col("nth") % 6 + 1)
+    plain = F.element_at(F.array(*map(F.lit, ["and then ", "see also ", "the following, ", "tion of the ", "en el ", "dans les ", ""])), nth % 7 + 1)
+    tail = F.element_at(F.array(*map(F.lit, [" and more", ".", ", which", "\n", " der", '" '])), nth % 6 + 1)
     letters = lambda a, n: F.substring(F.regexp_replace(F.base64(F.unhex(F.concat(h(a), h(a + "2")))), "[^A-Za-z]", ""), 1, n)
-    name = F.element_at(F.array(*map(F.lit, ["password=", 'token = "', "api_key: ", "secret = '", "Authorization: "])), F.col("nth") % 5 + 1)
+    name = F.element_at(F.array(*map(F.lit, ["password=", 'token = "', "api_key: ", "secret = '", "Authorization: "])), nth % 5 + 1)
     free = lambda value, label: (plain, value, F.lit("free"), tail, label)
     given = lambda value, label: (F.concat(plain, name), value, F.lit("assigned"), tail, label)
     after = lambda text, value, label: (F.concat(plain, F.lit(text)), value, F.lit("free"), tail, label)
     make = [
         free(F.concat(F.lit("AKIA"), upper), 1), free(F.concat(F.lit("ghp_"), F.substring(F.concat(hexa("a", 30), b64), 1, 36)), 1), free(F.concat(F.lit("sk_live_"), F.translate(F.substring(b64, 1, 24), "+/", "ab")), 1),
         given(hexa("a", 18), 1), given(hexa("a", 40), 1), given(F.substring(b64, 1, 32), 1), given(F.concat(F.substring(b64, 1, 7), F.lit("!"), F.substring(b64, 9, 5)), 1), given(F.concat(F.lit("AKIA"), upper), 1), given(F.substring(b64, 1, 12), 1),
-        (plain, F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), b64), F.lit("pem"), tail, 1), (plain, F.concat(F.lit("-----BEGIN OPENSSH PRIVATE KEY-----\n"), F.repeat(F.concat(word("e"), F.lit(" "), word("f"), F.lit("\n"), word("g"), F.lit(", 1\n")), F.pow(F.lit(3), F.col("nth") % 8).cast("int")), F.lit("-----END OPENSSH PRIVATE KEY-----")), F.lit("pem"), tail, 1), free(F.concat(F.lit("xoxb-"), digits, F.lit("-"), F.substring(b64, 1, 20)), 1),
+        (plain, F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), b64), F.lit("pem"), tail, 1), (plain, F.concat(F.lit("-----BEGIN OPENSSH PRIVATE KEY-----\n"), F.repeat(F.concat(word("e"), F.lit(" "), word("f"), F.lit("\n"), word("g"), F.lit(", 1\n")), F.pow(F.lit(3), nth % 8).cast("int")), F.lit("-----END OPENSSH PRIVATE KEY-----")), F.lit("pem"), tail, 1), free(F.concat(F.lit("xoxb-"), digits, F.lit("-"), F.substring(b64, 1, 20)), 1),
         free(letters("a", 32), 1), free(F.lower(letters("a", 40)), 1), given(letters("a", 24), 1), after("the key is ", letters("b", 28), 1), after("use ", hexa("a", 32), 1), free(F.substring(b64, 1, 40), 1),
         free(F.concat(word("e"), word("f"), word("g"), word("h"), word("i"), word("j")), 0), free(F.concat(F.initcap(word("e")), F.initcap(word("f")), F.initcap(word("g")), F.initcap(word("h")), F.initcap(word("i"))), 0),
         free(F.concat(word("e"), F.lit("_"), word("f"), F.lit("_"), word("g"), F.lit("_"), word("h"), F.lit("_"), word("i")), 0), free(F.concat(F.lit("/"), word("e"), F.lit("/"), word("f"), F.lit("/"), word("g"), F.lit("/"), word("h"), F.lit("/"), word("i")), 0),
@@ -162,9 +176,7 @@ def labelled_findings(spark: SparkSession, each: int = 120, words: list[str] | N
         free(F.concat(word("e"), word("f"), word("g"), F.substring(digits, 1, 2)), 0), free(F.concat(word("e"), F.lit("_"), word("f"), F.lit("_"), F.substring(digits, 1, 2)), 0), free(F.concat(word("e"), F.lit("-v"), F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, 1), F.lit("."), F.substring(digits, 3, 2)), 0),
         free(F.concat(F.lit("+1-"), F.substring(digits, 1, 3), F.lit("-"), F.substring(digits, 4, 3), F.lit("-"), F.substring(digits, 7, 4)), 0), after("10.1016/", F.concat(F.lit("j."), word("e"), F.lit(".2019."), F.substring(digits, 1, 6)), 0),
     ]
-    rows = spark.range(len(make) * each, numPartitions=4).select((F.col("id") % len(make)).cast("int").alias("sort"), F.floor(F.col("id") / len(make)).cast("int").alias("nth"))
-    choose = lambda k: F.coalesce(*[F.when(sort == i, m[k] if isinstance(m[k], Column) else F.lit(m[k])) for i, m in enumerate(make)])
-    return settle(rows.select(*[choose(k).alias(n) for k, n in enumerate(("before", "value", "kind", "after", "label"))]), "findings")
+    return make
 
 
 def train(findings: DataFrame, known: Usage, trees: int = 30, depth: int = 6, seed: int = 5) -> Scanner:

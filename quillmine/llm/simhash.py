@@ -9,6 +9,7 @@ segments' tables with small Hamming balls, and complete distances are verified o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -157,6 +158,12 @@ def parity_bits(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Such bits as eight words of 64, whatever the number of shingles, for comparisons in the JVM."""
+    odd = np.bincount((shingles & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def parity_distance(x: bytes, y: bytes) -> int:
     """In how many places two sets' parity bits differ, the longer ones folded."""
     a, b = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
@@ -167,6 +174,9 @@ def parity_distance(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+PARITIES = tuple(f"p{k}" for k in range(8))
+
+
 def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, bucket: int = 64) -> DataFrame:
     """The rows and columns of ``documents`` with one row of each group of similar ones, that of its smallest id.
 
@@ -209,30 +219,44 @@ def similar_groups(documents: DataFrame, text_col: str = "text", similarity: flo
     texts = pick(documents, text=text_col).withColumn("node", F.xxhash64("text"))
     usual = _usual(texts, width, seed)
     kept = settle(_sketches(texts, usual, similarity, width, seed), "similar-sketches")
-    nodes = settle(kept.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "size", "bits")]), "similar-nodes")
+    nodes = settle(kept.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "size", "bits", *PARITIES)]), "similar-nodes")
     check = _Check(texts, nodes, similarity, width, seed)
 
     held = settle(_meetings(kept, usual, bucket), "similar-meetings")
     hubs = held.where((F.col("node") != F.col("hub.node")) & _fits(F.col("meta"), F.col("hub.meta"), similarity))
     pairs = hubs.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).union(_near_fingerprints(nodes))
-    found = check.links(pairs)
+    known = _joined(None, check.links(pairs))
 
-    rooted = _rooted_by(held, found, "node", "meta", "value", "n")
-    few = rooted.where(F.col("n") <= bucket).groupBy("value").agg(F.collect_list(F.struct("node", "meta", "root")).alias("all"), F.min("root").alias("low"), F.max("root").alias("high"))
-    other = lambda y: (y["node"] > F.col("x.node")) & (y["root"] != F.col("x.root")) & _fits(F.col("x.meta"), y["meta"], similarity)
+    shared = held.withColumn("s", F.count("*").over(Window.partitionBy("node")))  # under how many shingles a set meets others
+    rooted = _rooted_by(shared.select("node", "meta", "value", "n", "s"), known)
+    few = rooted.where(F.col("n") <= bucket).groupBy("value").agg(F.collect_list(F.struct("node", "meta", "root", "s")).alias("all"), F.min("root").alias("low"), F.max("root").alias("high"))
+    x = F.col("x")
+    other = lambda y: (y["node"] > x["node"]) & (y["root"] != x["root"]) & _fits(x["meta"], y["meta"], similarity, x["s"], y["s"])
     few = few.where("low <> high").select("all", F.explode("all").alias("x")).select(F.col("x.node").alias("a"), F.explode(F.filter("all", other)).alias("y"))
-    found = found.union(check.links(few.select("a", F.col("y.node").alias("b"))))
+    known = _joined(known, check.links(few.select("a", F.col("y.node").alias("b"))))
 
-    many = settle(held.where(F.col("n") > bucket).select("value", "node", "meta"), "similar-many")
+    many = settle(rooted.where(F.col("n") > bucket).select("value", "node", "meta", "s"), "similar-many")
+    under = many.groupBy("node").agg(F.array_sort(F.collect_set("value")).alias("under"))
+    many = settle(many.join(under, "node").join(nodes.select("node", *PARITIES), "node"), "similar-many")
     if many.limit(1).count():
         for nearest in (4, 16, None):
-            inside, outside = _main_and_others(_rooted_by(many, found, "node", "meta", "value"))
+            rooted = _rooted_by(many, known)
+            inside, outside = _main_and_others(rooted, nearest or 0)
+            if not outside.limit(1).count():
+                break
             if nearest:
-                pairs = outside.join(inside, "value").where(_fits(F.col("meta"), F.col("hub.meta"), similarity)).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+                fits = _fits(F.col("meta"), F.col("hub.meta"), similarity, F.col("s"), F.col("hub.s"))
+                pairs = outside.join(inside, "value").where(fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
             else:
-                pairs = _with_all(outside, _rooted_by(many, found, "node", "meta", "value"), similarity)
-            found = found.union(check.links(pairs, nearest))
-    return components(found, "similar-components")
+                pairs = _with_all(outside, rooted, similarity)
+            known = _joined(known, check.links(pairs, nearest))
+    return known
+
+
+def _joined(known: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) of the components that new links make with those that are known."""
+    stars = links if known is None else known.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
+    return settle(components(stars, "similar-components"), "similar-known")
 
 
 def _usual(texts: DataFrame, width: int, seed: int, share: int = 16, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
@@ -283,11 +307,12 @@ def _sketches(texts: DataFrame, usual: tuple[np.ndarray, np.ndarray], similarity
                 sets = [np.unique(h) for h in lists]
                 prefixes = [_prefix(h, usual, similarity).view(np.int64) for h in sets]
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+                odd = np.array([parities(h) for h in sets]).reshape(-1, len(PARITIES))
                 yield pa.RecordBatch.from_pydict({
                     "node": some.column("node"), "fp": _longs([simhash(h) for h in lists]), "size": pa.array([len(h) for h in sets], pa.int64()),
-                    "bits": pa.array([parity_bits(h) for h in sets], pa.binary()), "prefix": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))})
+                    "bits": pa.array([parity_bits(h) for h in sets], pa.binary()), "prefix": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))} | {c: pa.array(np.ascontiguousarray(odd[:, k])) for k, c in enumerate(PARITIES)})
 
-    return texts.select("node", "text").mapInArrow(run, "node long, fp long, size long, bits binary, prefix array<long>")
+    return texts.select("node", "text").mapInArrow(run, "node long, fp long, size long, bits binary, prefix array<long>, " + ", ".join(f"{c} long" for c in PARITIES))
 
 
 def _meetings(sketches: DataFrame, usual: tuple[np.ndarray, np.ndarray], bucket: int, share: int = 16, each: int = 65_536) -> DataFrame:
@@ -312,12 +337,26 @@ def _meetings(sketches: DataFrame, usual: tuple[np.ndarray, np.ndarray], bucket:
     return rows.where((F.col("hub.node") != F.col("top")) | split).select("value", "node", "meta", "hub", "n")
 
 
-def _fits(x: Column, y: Column, similarity: float) -> Column:
-    """Whether two sets' sizes, and the shingles that are left from where they meet, allow the similarity."""
+def _fits(x: Column, y: Column, similarity: float, sx: Column | None = None, sy: Column | None = None) -> Column:
+    """Whether what is known of two sets allows the similarity: their sizes, the shingles that are left from where
+    they meet, and under how many shingles of their prefixes either meets others at all (``sx`` and ``sy``).
+
+    Of the two prefixes one ends first in the order.  All that the sets share up to there stands in both prefixes, and
+    beyond it the one has no more shingles than follow its prefix; so what they share is bounded by the smaller
+    of sx and sy and the larger of the rests."""
     size, left = lambda m: F.shiftright(m, 32), lambda m: F.shiftright(m, 32) - m.bitwiseAND(F.lit((1 << 32) - 1))
-    shared = F.least(left(x), left(y)) + 1e-6 >= (size(x) + size(y)) * (similarity / (1 + similarity))
-    empty = (size(x) == 0) & (size(y) == 0)
-    return empty | (shared & (F.least(size(x), size(y)) + 1e-6 >= F.greatest(size(x), size(y)) * similarity))
+    needed = (size(x) + size(y)) * (similarity / (1 + similarity)) - 1e-6
+    return ((size(x) == 0) & (size(y) == 0)) | (_sizes_fit(x, y, similarity, sx, sy) & (F.least(left(x), left(y)) >= needed))
+
+
+def _sizes_fit(x: Column, y: Column, similarity: float, sx: Column | None = None, sy: Column | None = None) -> Column:
+    """The part of ``_fits`` that doesn't depend on where the two sets meet."""
+    m, n = F.shiftright(x, 32), F.shiftright(y, 32)
+    fits = F.least(m, n) + 1e-6 >= F.greatest(m, n) * similarity
+    if sx is None:
+        return fits
+    needed = (m + n) * (similarity / (1 + similarity)) - 1e-6
+    return ((m == 0) & (n == 0)) | (fits & (F.least(sx, sy) + F.ceil(F.greatest(m, n) * similarity - 1e-6) - 1 >= needed))
 
 
 def _near_fingerprints(nodes: DataFrame) -> DataFrame:
@@ -330,16 +369,15 @@ def _near_fingerprints(nodes: DataFrame) -> DataFrame:
     return same.union(near.select(F.col("aa").alias("a"), F.col("bb").alias("b")))
 
 
-def _rooted_by(rows: DataFrame, found: DataFrame, *names: str) -> DataFrame:
-    """The rows with the root of each node's component under the links found so far."""
-    known = components(found, "similar-components")
-    return settle(rows.select(*names).join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-rooted")
+def _rooted_by(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows with the root of each node's component, as far as it is known."""
+    return settle(rows.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-rooted")
 
 
-def _main_and_others(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _main_and_others(rows: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     """Of each value with several roots: (value, hub), a member of the largest component, another for each
-    value, and the rows of all other components."""
-    hub = F.min_by(F.struct("node", "meta"), F.xxhash64("node", "value"))
+    value and turn, and the rows of all other components."""
+    hub = F.min_by(F.struct("node", "meta", "s"), F.xxhash64("node", "value", F.lit(turn)))
     by = rows.groupBy("value", "root").agg(F.count("*").alias("n"), hub.alias("hub"))
     main = by.groupBy("value").agg(F.max(F.struct("n", "root", "hub")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
     main = settle(main.select("value", F.col("m.root").alias("main"), F.col("m.hub").alias("hub")), "similar-main")
@@ -348,13 +386,19 @@ def _main_and_others(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _with_all(outside: DataFrame, rows: DataFrame, similarity: float, each: int = 4096) -> DataFrame:
-    """Pairs of each outside row with all of other roots under its value, dealt in parts of some ``each`` rows."""
+    """Pairs of each outside row with all of other roots under its value whose parities allow the similarity,
+    each pair under the first value that both stand under, dealt in parts of some ``each`` rows."""
     parts = rows.join(outside.select("value").distinct(), "value", "left_semi").groupBy("value").agg(F.ceil(F.count("*") / each).cast("int").alias("parts"))
     parts = settle(parts, "similar-parts")
     x = outside.join(parts, "value").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("x")
     y = rows.join(parts, "value").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).alias("y")
     met = (F.col("x.value") == F.col("y.value")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.root") != F.col("y.root"))
-    return x.join(y, met & _fits(F.col("x.meta"), F.col("y.meta"), similarity)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in PARITIES])
+    both = F.shiftright("x.meta", 32) + F.shiftright("y.meta", 32)
+    near = apart <= both * ((1 - similarity) / (1 + similarity)) + 1e-6
+    first = F.get(F.array_intersect("x.under", "y.under"), F.lit(0)) == F.col("x.value")
+    rough = _sizes_fit(F.col("x.meta"), F.col("y.meta"), similarity, F.col("x.s"), F.col("y.s"))
+    return x.join(y, met & rough & near & first).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 class _Check:
@@ -370,15 +414,16 @@ class _Check:
         pairs = settle(pairs.where("a <> b").distinct(), "similar-pairs")
 
         def compare(batch):
-            apart, good = [], []
-            for m, n, x, y in zip(*[batch[c].to_pylist() for c in ("m", "n", "x", "y")], strict=True):
-                fits = min(m, n) + 1e-6 >= similarity * max(m, n)
-                apart.append(parity_distance(x, y) if fits else 0)
-                good.append(fits and apart[-1] <= (m + n) * (1 - similarity) / (1 + similarity) + 1e-6)
-            return {"a": batch["a"], "b": batch["b"], "apart": pa.array(apart, pa.int64()), "good": pa.array(good, pa.bool_())}
+            """The pairs whose parity bits allow the similarity, and how far they are apart."""
+            far, good = [], []
+            for i, (m, n, x, y) in enumerate(zip(*[batch[c].to_pylist() for c in ("m", "n", "x", "y")], strict=True)):
+                if min(m, n) + 1e-6 >= similarity * max(m, n) and (d := parity_distance(x, y)) <= (m + n) * (1 - similarity) / (1 + similarity) + 1e-6:
+                    far.append(d)
+                    good.append(i)
+            return {"a": batch["a"].take(pa.array(good, pa.int64())), "b": batch["b"].take(pa.array(good, pa.int64())), "apart": pa.array(far, pa.int64())}
 
         joined = pairs.join(self.nodes.toDF("a", "m", "x"), "a").join(self.nodes.toDF("b", "n", "y"), "b").select("a", "b", "m", "n", "x", "y")
-        likely = map_arrow(joined, "a long, b long, apart long, good boolean", compare).where("good")
+        likely = map_arrow(joined, "a long, b long, apart long", compare)
         if nearest:
             by = Window.partitionBy("b").orderBy("apart", "a")
             likely = likely.withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= nearest)

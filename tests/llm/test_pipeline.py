@@ -43,8 +43,8 @@ def test_run_equals_the_stages_one_by_one(spark):
     holds = lambda w: any(tuple(w[k : k + n]) in windows for n in sizes for k in range(len(w) - n + 1))
     clean = [i for i in good if i in stay and not holds(cut(rows[i].text))]
     masked = {i: rows[i].text for i in clean}
-    forest = secrets.train(secrets.labelled_findings(spark))
-    for r in secrets.scan(docs.where(docs.doc_id.isin(clean)), forest).collect():
+    left = docs.where(docs.doc_id.isin(clean))
+    for r in secrets.scan(left, secrets.scanner_of(left)).collect():
         text = masked[r.id]
         for f in reversed([f for f in r.findings if f.secret]):
             text = text[: f.start - 1] + secrets.MASK + text[f.start - 1 + f.length :]
