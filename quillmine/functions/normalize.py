@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,31 +26,40 @@ CORPORATE = ["gmbh", "ag", "inc.", "inc", "llc", "ltd.", "ltd", "s.a.", "sa", "p
 WARD = r"^(medizinische\s+klinik|klinik\s+(f[üu]r|der|des|an\s+der|und)|klinikum\s+(der|des)\s+universit[äa]|clinique\s+de|servicio\s+de|i\.\s+medizinische|ii\.\s+medizinische|iii\.\s+medizinische)"
 
 
+# What a free answer becomes: the first rule that holds decides, so the order of the rules is part of them.  A rule is
+# (how the answer is tested, with what, the value); answers are tested in lower case.
+SPECIALTY_RULES = [("is", RADIOLOGY, "Radiology"), ("is", CARDIOLOGY, "Cardiology"), ("is", ["unclear", ""], "Unclear"), ("is", ["notreported"], "NotReported")]
+RELEVANCE_RULES = [
+    ("is", ["main"], "Main"), ("is", ["secondary"], "Secondary"), ("is", REFUSALS, "NotRelevant"), ("is", CONSENTS, "Main"),
+    ("begins", ["not relevant", "notrelevant", "irrelevant"], "NotRelevant"), ("begins", ["relevant", "yes"], "Main"), ("holds", IMAGING, "Main"), ("longer", 30, "Main"),
+]
+STUDY_RULES = [
+    *[("is", [name.lower()], name) for name in STUDIES], ("is", DESIGNS, "OriginalResearch"), ("holds", ["systematic", "meta-analysis", "meta analysis"], "SystematicReviewOrMetaAnalysis"),
+    ("holds", ["case report", "case series"], "CaseReportOrSeries"), ("holds", ["review"], "Review"),
+]
+
+
+def by_rules(answer: Column, rules: list[tuple], otherwise: str) -> Column:
+    """The value of the first rule that holds for an answer; null has none of what rules ask for."""
+    some = lambda words, test: reduce(lambda x, y: x | y, [test(w) for w in words])
+    tests = {"is": answer.isin, "begins": lambda words: some(words, answer.startswith), "holds": lambda words: some(words, answer.contains), "longer": lambda n: F.char_length(answer) > n}
+    out = F.when(F.lit(False), otherwise)
+    for how, what, value in rules:
+        out = out.when(tests[how](what), value)
+    return out.otherwise(otherwise)
+
+
 def specialty(raw: Column) -> Column:
-    key = F.lower(strip_space(raw))
-    return F.when(key.isin(RADIOLOGY), "Radiology").when(key.isin(CARDIOLOGY), "Cardiology").when(key.isin("unclear", ""), "Unclear").when(key == "notreported", "NotReported").otherwise("Other")
+    return by_rules(F.lower(strip_space(raw)), SPECIALTY_RULES, "Other")
 
 
 def relevance(raw: Column) -> Column:
     """Main, Secondary or NotRelevant; an answer that explains itself at length is Main."""
-    said = strip_space(raw)
-    key = F.lower(said)
-    return (
-        F.when(key == "main", "Main").when(key == "secondary", "Secondary").when(key.isin(REFUSALS), "NotRelevant").when(key.isin(CONSENTS), "Main")
-        .when(key.rlike("^(not relevant|notrelevant|irrelevant)"), "NotRelevant").when(key.rlike("^(relevant|yes)"), "Main")
-        .when(key.rlike("|".join(map(re.escape, IMAGING))) | (F.char_length(said) > 30), "Main").otherwise("NotRelevant")
-    )
+    return by_rules(F.lower(strip_space(raw)), RELEVANCE_RULES, "NotRelevant")
 
 
 def study_type(raw: Column) -> Column:
-    key = F.regexp_replace(F.lower(strip_space(raw)), r"(?U)\s+", " ")
-    out = F.when(key == STUDIES[0].lower(), STUDIES[0])
-    for name in STUDIES[1:]:
-        out = out.when(key == name.lower(), name)
-    return (
-        out.when(key.isin(DESIGNS), "OriginalResearch").when(key.rlike("systematic|meta-analysis|meta analysis"), "SystematicReviewOrMetaAnalysis")
-        .when(key.rlike("case report|case series"), "CaseReportOrSeries").when(key.contains("review"), "Review").otherwise("Other")
-    )
+    return by_rules(F.regexp_replace(F.lower(strip_space(raw)), r"(?U)\s+", " "), STUDY_RULES, "Other")
 
 
 def majority(first: Column, last: Column, corresponding: Column) -> Column:
