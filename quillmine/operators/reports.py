@@ -15,6 +15,12 @@ def journal_title(journal_json: Column) -> Column:
     return F.coalesce(*[F.when(n != "", n) for n in names])
 
 
+def journal_name(journal_json: Column) -> Column:
+    """As analyses name a journal: its title, or its abbreviated one, or nothing."""
+    names = [F.get_json_object(journal_json, f"$.{k}") for k in ("title", "title_abbreviated")]
+    return F.coalesce(*[F.when(n != "", n) for n in names], F.lit(""))
+
+
 def most_common(df: DataFrame, value: str, k: int | None = None, order: str = "_pos") -> DataFrame:
     """(value, n): the most frequent values, ties in the order in which they first occur."""
     counted = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"), F.min(order).alias("__first")).orderBy(F.desc("n"), "__first")

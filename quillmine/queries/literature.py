@@ -267,6 +267,14 @@ def scope_distribution(spark, sf):
     return R.scope_distribution(p, registry, F.col("journal"), F.col("language") != "en")
 
 
+@query(f"WITH {PAPERS} SELECT pmid, CASE pos % 4 WHEN 0 THEN journal WHEN 1 THEN left(journal, 4) ELSE '' END AS name FROM p")
+def journal_names(spark, sf):
+    """A title, only an abbreviated one, neither, or no JSON."""
+    k = F.col("_pos") % 4
+    held = F.to_json(F.struct(F.when(k == 0, F.col("journal")).when(k == 1, "").alias("title"), F.when(k == 1, F.left("journal", F.lit(4))).alias("title_abbreviated")))
+    return papers(spark, sf).select("pmid", R.journal_name(F.when(k == 3, "no JSON").otherwise(held)).alias("name"))
+
+
 @query(f"WITH {PAPERS} SELECT journal AS journal_name, count(*) AS count_total, count(*) FILTER (WHERE language <> 'en') AS count_european FROM p WHERE journal IS NOT NULL GROUP BY journal ORDER BY 2 DESC, 1 LIMIT 5")
 def registry_topn(spark, sf):
     return R.registry_top(papers(spark, sf), "journal", F.col("language") != "en", 5)
