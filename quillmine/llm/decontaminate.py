@@ -1,10 +1,9 @@
 """Benchmark decontamination by a prefix-filtered set join, in DataFrame operations only.
 
 An item is cut into windows.  A window occurs in a document where all its shingles do, in place, so any
-one of its shingles is a sufficient prefix for the join.  Shingles are ordered by how many occurrences
-their rarest word has among all documents, which bounds their own; each window is joined by its first
-shingle in that order, at that word; then come the bounds of length and position, the hashes of the
-shingle and of the window, and, for what is left, the window itself, word by word.
+one of its shingles is a sufficient prefix for the join.  Shingles are ordered by how often they occur in
+all documents; each window is joined by the rarest of its own; then come the bounds of length and
+position, the window's hash and, for what is left, the window itself, word by word.
 """
 
 from __future__ import annotations
@@ -17,8 +16,8 @@ from pyspark.sql import functions as F
 from quillmine.llm.common import LOWER, UPPER, lower_ascii, pick, settle
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORDS = 1_000_000  # word hashes broadcast at a time, 8 bytes each
-WINDOWS = 50_000  # windows broadcast at a time, 48 bytes each however long their words
+SHINGLES = 1_000_000  # hashes of shingles broadcast at a time, 8 bytes each
+WINDOWS = 50_000  # windows broadcast at a time, 40 bytes each however long their words
 
 
 def words(text: Column) -> Column:
@@ -51,31 +50,45 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     id_type = docs.schema["id"].dataType.simpleString()
     split = docs.select("id", "th", words(F.col("text")).alias("w"))
 
-    # How often each of the benchmark's words occurs in all documents.
-    inside = settle(windows.select("wid", "window", F.posexplode("window").alias("off", "word")).withColumn("key", F.xxhash64("word")), "window-words")
-    known = settle(inside.select("key").distinct(), "benchmark-words")
-    occurring = split.select(F.explode("w").alias("word")).select(F.xxhash64("word").alias("key"))
-    passes = max(1, -(-known.count() // WORDS))
-    counted = reduce(DataFrame.union, [occurring.join(F.broadcast(known.where(F.pmod("key", F.lit(passes)) == k)), "key") for k in range(passes)])
-    counted = settle(counted.groupBy("key").agg(F.count("*").alias("n")), "word-counts")
-
-    # Each window's first shingle, at its rarest word (ties: smaller hash, then place); a window with a
-    # word that no document has can't occur.
-    first = inside.join(counted, "key", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "off")).alias("f"), F.first("window").alias("window"))
+    # The windows' shingles, of ``shingle`` words or of all that a shorter window has, at their places.
     size, run = F.size("window"), F.least(F.size("window"), F.lit(shingle))
-    first = first.where("f.n > 0").select("wid", "window", size.alias("size"), "f.key", "f.off", F.least(F.col("f.off"), size - run).alias("lead"), run.alias("run"))
-    prefix = settle(first.withColumn("h", F.xxhash64(F.slice("window", F.col("lead") + 1, F.col("run")))).withColumn("whole", F.xxhash64("window")).drop("window").withColumn("nth", F.monotonically_increasing_id() % 1_000_003), "window-prefixes")
-    at = split.select("id", "th", "w", F.posexplode("w").alias("at", "word")).withColumn("key", F.xxhash64("word"))
-    begins = F.col("at") - F.col("off")  # from 0
-    bounds = (begins >= 0) & (begins + F.col("size") <= F.size("w"))
-    place = F.greatest(begins, F.lit(0))
-    agrees = (F.xxhash64(F.slice("w", place + F.col("lead") + 1, F.col("run"))) == F.col("h")) & (F.xxhash64(F.slice("w", place + 1, F.col("size"))) == F.col("whole"))
-    passes = max(1, -(-prefix.count() // WINDOWS))
-    held = []
-    for k in range(passes):
-        some = prefix.where(F.pmod("nth", F.lit(passes)) == k).withColumnRenamed("key", "of")
-        held.append(at.join(F.broadcast(some), (F.col("key") == F.col("of")) & bounds & agrees).select("id", "th", "wid", begins.alias("begins"), (begins + F.col("size")).alias("ends"), F.slice("w", place + 1, F.col("size")).alias("found")))
-    held = reduce(DataFrame.union, held).join(windows, "wid").where("found = window").select("id", "th", "wid", "begins", "ends")
+    inside = windows.select("wid", size.alias("size"), run.alias("run"), F.xxhash64("window").alias("whole"), "window", F.explode(F.sequence(F.lit(0), size - run)).alias("off"))
+    inside = inside.select("wid", "size", "run", "whole", "off", F.xxhash64("run", F.slice("window", F.col("off") + 1, F.col("run"))).alias("key"))
+    inside = settle(inside, "window-shingles")
+    runs = [r["run"] for r in inside.select("run").distinct().collect()]  # at most as many as a shingle has words
+
+    def places(*columns: str) -> DataFrame:
+        """The documents' shingles of the same lengths: their place and hash."""
+        begun = split.select(*columns, "w", F.posexplode("w").alias("at", "first")).drop("first")
+        of = [F.struct(F.lit(r).alias("run"), F.xxhash64(F.lit(r), F.slice("w", F.col("at") + 1, F.lit(r))).alias("key")) for r in runs]
+        if len(of) == 1:
+            made = begun.withColumn("shingle", of[0])
+        else:
+            made = begun.withColumn("shingle", F.explode(F.array(*of)))
+        return made.where(F.col("at") + F.col("shingle.run") <= F.size("w")).select(*columns, "w", "at", F.col("shingle.key").alias("key"))
+
+    def nowhere() -> DataFrame:
+        return split.where("false").select("id", "th", F.lit(0).cast("long").alias("wid"), F.lit(0).alias("begins"), F.lit(0).alias("ends"))
+
+    # How often each occurs, and each window's rarest (ties: smaller hash, then place); a window with a
+    # shingle that no document has can't occur.
+    held = nowhere()
+    if runs:
+        known = settle(inside.select("key").distinct(), "benchmark-shingles")
+        passes = max(1, -(-known.count() // SHINGLES))
+        counted = reduce(DataFrame.union, [places().select("key").join(F.broadcast(known.where(F.pmod("key", F.lit(passes)) == k)), "key") for k in range(passes)])
+        counted = settle(counted.groupBy("key").agg(F.count("*").alias("n")), "shingle-counts")
+        first = inside.join(counted, "key", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "off", "size", "whole")).alias("f"))
+        prefix = settle(first.where("f.n > 0").select("wid", "f.key", "f.off", "f.size", "f.whole", (F.monotonically_increasing_id() % 1_000_003).alias("nth")), "window-prefixes")
+        begins = F.col("at") - F.col("off")  # from 0
+        found = F.slice("w", F.greatest(begins, F.lit(0)) + 1, F.col("size"))
+        agrees = (begins >= 0) & (begins + F.col("size") <= F.size("w")) & (F.xxhash64(found) == F.col("whole"))
+        passes = max(1, -(-prefix.count() // WINDOWS))
+        met = []
+        for k in range(passes):
+            some = prefix.where(F.pmod("nth", F.lit(passes)) == k).withColumnRenamed("key", "of")
+            met.append(places("id", "th").join(F.broadcast(some), (F.col("key") == F.col("of")) & agrees).select("id", "th", "wid", begins.alias("begins"), (begins + F.col("size")).alias("ends"), found.alias("found")))
+        held = reduce(DataFrame.union, met).join(windows, "wid").where("found = window").select("id", "th", "wid", "begins", "ends")
     held = settle(held.distinct(), "window-hits")
 
     by = Window.partitionBy("id", "th").orderBy("begins", "ends")

@@ -31,7 +31,7 @@ def brute(doc, items, window=10):
 
 
 def test_cases_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(D, "WORDS", 20)
+    monkeypatch.setattr(D, "SHINGLES", 20)
     monkeypatch.setattr(D, "WINDOWS", 3)  # several passes
     ten = "one two three four five six seven eight nine ten"
     items = [(1, ten + " eleven twelve"), (2, "ab ab ab ab ab ab ab ab ab ab ab"), (10, "Lone"), (3, "tiny item here"), (4, None), (5, ""), (6, "!!"), (7, ten + " eleven twelve"), (None, "É accent word"), (7, ten + " eleven twelve")]
