@@ -373,3 +373,11 @@ def test_progress_modes(caplog):
     assert "step=c" in caplog.text
     with pytest.raises(ValueError):
         steps.reporter("none")
+
+
+def test_exports_of_the_package():
+    import quillmine
+
+    assert all(getattr(quillmine, n) for n in quillmine.__all__) and quillmine.run is steps.run and quillmine.load_config is config.load
+    with pytest.raises(AttributeError):
+        quillmine.nothing
