@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import threading
 import uuid
@@ -109,6 +110,15 @@ def crc_mod(id_column: Column, divisor: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string")) % divisor == remainder, F.lit(False))
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system; workers are used again and wait beside others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, schema: str, f: Callable[[dict[str, pa.Array]], dict]) -> DataFrame:
     """mapInArrow with a function from one batch's columns to the result's columns."""
 
@@ -116,10 +126,16 @@ def map_arrow(df: DataFrame, schema: str, f: Callable[[dict[str, pa.Array]], dic
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(f(dict(zip(batch.schema.names, batch.columns, strict=True))))
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def small(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """A written frame of ids or hashes, marked for broadcast if it has at most ``most`` rows (some 40 MB)."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def by_size(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """A batch's rows in slices of at most ``most`` bytes of a text column, or of one row."""
     lengths, begin, held = pc.binary_length(batch.column(column)).fill_null(0).to_pylist(), 0, 0

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillmine.llm.common import by_size, map_arrow, pick, tune
+from quillmine.llm.common import by_size, give_back, map_arrow, pick, tune
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -380,6 +380,8 @@ def encode(documents: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
                 offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
                 yield pa.RecordBatch.from_pydict({"id": some.column("id"), "n_tokens": pa.array(np.diff(offsets).astype(np.int64)), "token_ids": listed, "round_trip": pa.array(back, pa.bool_())})
+        pieces.forget()
+        give_back()
 
     rows = pick(documents, id=id_col, text=text_col)
     return rows.select("id", "text").mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, token_ids array<int>, round_trip boolean")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import map_arrow, pick, settle, tune
+from quillmine.llm.common import give_back, map_arrow, pick, settle, small, tune
 from quillmine.llm.components import components
 
 
@@ -185,7 +185,8 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     without words, null among them.  ``similar_groups`` below misses no similar pair.  Null ids come
     last; of rows with one id the smallest hash of the text stays, and of rows with one id and text that
     of the smallest hash over all columns.  An empty table gives an empty result.  Texts of any length
-    are compared whole.  Texts are not shuffled unless those that go are too many to broadcast.
+    are compared whole.  Ids of candidates and of rows that go are broadcast up to half a million; beyond, texts
+    are shuffled to them.
     """
     tune(documents.sparkSession)
     rows = pick(documents, id=id_col, text=text_col).select(F.struct(F.col("id").isNull().alias("none"), "id", F.xxhash64("text").alias("node")).alias("row"))
@@ -196,7 +197,7 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     stay = settle(group.groupBy("root").agg(F.min("row").alias("row")).select("row"), "similar-stay")
     go = texts.join(stay, texts.row.eqNullSafe(stay.row), "left_anti")
     again = texts.where("n > 1").join(stay, texts.row.eqNullSafe(stay.row), "left_semi")
-    return _without(documents, settle(go, "similar-go"), settle(again, "similar-again"), id_col, text_col)
+    return _without(documents, small(settle(go.select("row"), "similar-go")), settle(again.select("row"), "similar-again"), id_col, text_col)
 
 
 def similar_groups(documents: DataFrame, text_col: str = "text", similarity: float = 0.8, width: int = 5, seed: int = 42, bucket: int = 64) -> DataFrame:
@@ -311,6 +312,7 @@ def _sketches(texts: DataFrame, usual: tuple[np.ndarray, np.ndarray], similarity
                 yield pa.RecordBatch.from_pydict({
                     "node": some.column("node"), "fp": _longs([simhash(h) for h in lists]), "size": pa.array([len(h) for h in sets], pa.int64()),
                     "bits": pa.array([parity_bits(h) for h in sets], pa.binary()), "prefix": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))} | {c: pa.array(np.ascontiguousarray(odd[:, k])) for k, c in enumerate(PARITIES)})
+        give_back()
 
     return texts.select("node", "text").mapInArrow(run, "node long, fp long, size long, bits binary, prefix array<long>, " + ", ".join(f"{c} long" for c in PARITIES))
 
@@ -429,7 +431,7 @@ class _Check:
             likely = likely.withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= nearest)
         likely = settle(likely.select("a", "b"), "similar-likely")
 
-        wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        wanted = settle(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct(), "similar-wanted")
 
         width, seed = self.width, self.seed
 
@@ -437,7 +439,7 @@ class _Check:
             held = [np.unique(shingle_hashes(t, width, seed)).tobytes() for t in batch["text"].cast(pa.binary()).to_pylist()]
             return {"node": batch["node"], "shingles": pa.array(held, pa.binary())}
 
-        some = self.texts.join(wanted, "node", "left_semi").select("node", "text")
+        some = self.texts.join(small(wanted), "node", "left_semi").select("node", "text")
         held = settle(map_arrow(some, "node long, shingles binary", sets).groupBy("node").agg(F.first("shingles").alias("shingles")), "similar-shingles")
 
         def verify(batch):
