@@ -32,7 +32,7 @@ def tune(spark: SparkSession) -> None:
     """Keep Arrow batches small: texts can be very long, and workers hold a batch at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     try:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
     except Exception:  # noqa: BLE001  a Spark without that setting
         pass
 

@@ -27,7 +27,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the model format
 BASE, MIX = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
-FILTER, CACHE = 20, 21  # bits of the tables that spare most probes
+FILTER, CACHE = 20, 20  # bits of the tables that spare most probes
 LONG = 32  # longer words are cut wherever no piece can span two characters
 MOST_WORDS = 300_000  # encoded words that a worker remembers
 AT_ONCE = 1 << 21  # bytes of texts that are encoded at a time, unless one has more
