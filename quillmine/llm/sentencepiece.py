@@ -31,6 +31,8 @@ FILTER, CACHE = 20, 20  # bits of the tables that spare most probes
 LONG = 32  # longer words are cut wherever no piece can span two characters
 MOST_WORDS = 300_000  # encoded words that a worker remembers
 AT_ONCE = 1 << 21  # bytes of texts that are encoded at a time, unless one has more
+DECODED = 32  # texts that are decoded at a time
+STEP = 100_000  # characters of words that advance together
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, object]]:
@@ -273,7 +275,7 @@ class Pieces:
                 cut = [self._cut(SPACE + w) for w in group]
                 known: dict[str, np.ndarray] = {}
                 for length, parts in groupby(sorted({p for c in cut for p in c}, key=len), len):
-                    parts, step = list(parts), max(1, 200_000 // length)
+                    parts, step = list(parts), max(1, STEP // length)
                     for k in range(0, len(parts), step):
                         ids, n = self._paths(parts[k : k + step])
                         known.update(zip(parts[k : k + step], np.split(ids, np.cumsum(n)[:-1]), strict=True))
@@ -281,7 +283,7 @@ class Pieces:
                 flat += got
                 sizes.append(np.array([len(g) for g in got], np.int64))
             else:
-                step = 200_000 // (size + 1)
+                step = STEP // (size + 1)
                 for k in range(0, len(group), step):
                     ids, n = self._paths([SPACE + w for w in group[k : k + step]])
                     flat.append(ids)
@@ -376,7 +378,7 @@ def encode(documents: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
             for some in by_size(batch, "text", AT_ONCE):
                 texts = [(t or b"").decode("utf-8", "replace") for t in some.column("text").cast(pa.binary()).to_pylist()]
                 ids = pieces.encode(texts)
-                back = [a == b for a, b in zip(pieces.decode(ids), texts, strict=True)]
+                back = [a == b for k in range(0, len(ids), DECODED) for a, b in zip(pieces.decode(ids[k : k + DECODED]), texts[k : k + DECODED], strict=True)]
                 offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
                 yield pa.RecordBatch.from_pydict({"id": some.column("id"), "n_tokens": pa.array(np.diff(offsets).astype(np.int64)), "token_ids": listed, "round_trip": pa.array(back, pa.bool_())})
