@@ -39,8 +39,8 @@ def normalize_title(title: Column) -> Column:
 
 def title_block_key(title: Column) -> Column:
     """The first three words of a title, or all of one that has fewer."""
-    parts = F.split(strip_space(title), r"(?U)\s+")
-    return F.when(F.size(parts) >= 3, F.array_join(F.slice(parts, 1, 3), " ")).otherwise(title)
+    three = F.regexp_replace(F.regexp_extract(title, r"(?U)^\s*(\S+\s+\S+\s+\S+)", 1), r"(?U)\s+", " ")
+    return F.when(three != "", three).otherwise(title)
 
 
 def clean_xml(text: Column) -> Column:

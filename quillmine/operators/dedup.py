@@ -6,10 +6,11 @@ see each other's flags, but that fuzzy matching leaves out what the layers befor
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from string import ascii_lowercase
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from quillmine.functions.text import normalize_title, title_block_key
 from quillmine.spine import POS, first_per_key
 
 RETRACTED = r"\bretracted?\b"
+SOME = r"(?U)\S"
 
 
 @dataclass
@@ -43,24 +45,28 @@ def title_copies(papers: DataFrame) -> DataFrame:
 
 
 def _letters(text: Column) -> Column:
-    """How often each of a to z stands in a text, and how many other characters there are."""
-    size = F.char_length(text)
-    each = [size - F.char_length(F.replace(text, F.lit(c), F.lit(""))) for c in ascii_lowercase]
-    return F.array(*each, F.char_length(F.regexp_replace(text, "[a-z]", "")))
+    """How often each of a to z stands in a text."""
+    return F.array(*[F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in ascii_lowercase])
 
 
 def fuzzy_pairs(papers: DataFrame, threshold: float = 90.0, year: str = "year") -> DataFrame:
     """(block, a, b, ratio): pairs of titles that are alike, a before b, within one year and block of first words.
 
     The band of lengths is part of the definition: it is narrower than what the ratio alone would need.
-    Blocks are joined on their key, which Spark can split where one is large.  A common subsequence has no
-    more of a letter than either title, so pairs whose letters in common are too few are left out in the join,
-    and only texts of the others are scored.
+    Blocks are joined on their key, which Spark can split where one is large; its hash stands first, so that
+    rows are sorted by a number.  A common subsequence has no more of a letter than either title, so pairs
+    whose letters in common are too few are left out in the join, and only texts of the others are scored.
     """
-    titled = papers.withColumn("__t", normalize_title(F.col("title"))).where("__t <> ''")
-    side = titled.select(F.col(year).alias("y"), title_block_key(F.col("__t")).alias("k"), F.col(POS).alias("p"), "pmid", F.col("__t").alias("t"), F.char_length("__t").alias("n"), _letters(F.col("__t")).alias("c"))
+    return _pairs(papers.where(F.col("title").rlike(SOME)).withColumn("__t", normalize_title(F.col("title"))), threshold, year)
+
+
+def _pairs(titled: DataFrame, threshold: float, year: str) -> DataFrame:
+    keyed = titled.select(F.col(year).alias("y"), title_block_key(F.col("__t")).alias("k"), F.col(POS).alias("p"), "pmid", F.col("__t").alias("t"))
+    counted = keyed.select(F.xxhash64("y", "k").alias("h"), "*", F.char_length("t").alias("n"), _letters(F.col("t")).alias("c"))
+    others = F.col("n") - F.aggregate("c", F.lit(0), lambda total, x: total + x)
+    side = counted.withColumn("c", F.concat("c", F.array(others)))
     a, b = side.alias("a"), side.alias("b")
-    near = F.col("a.y").eqNullSafe(F.col("b.y")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.p") < F.col("b.p"))
+    near = (F.col("a.h") == F.col("b.h")) & F.col("a.y").eqNullSafe(F.col("b.y")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.p") < F.col("b.p"))
     band = F.least("a.n", "b.n") * 100.0 >= F.greatest("a.n", "b.n") * threshold
     common = F.aggregate(F.zip_with("a.c", "b.c", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
     enough = common * 200.0 >= (F.col("a.n") + F.col("b.n")) * threshold
@@ -71,50 +77,79 @@ def fuzzy_pairs(papers: DataFrame, threshold: float = 90.0, year: str = "year")
 def greedy_followers(pairs: DataFrame) -> DataFrame:
     """(pmid): in order of position, each title that still stands removes those after it that are like it.
 
-    Only matches reach this step, a block at a time, so its input is sparse."""
+    Only matches reach this step, sorted by block in each task, which goes through them once and holds the
+    followers of one block.  Blocks whose hashes are equal go together, which changes nothing: no pair links them.
+    """
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        gone: set = set()
-        for lead, follow in block.sort_values(["pa", "pb"])[["pa", "pb"]].itertuples(index=False):
-            if lead not in gone:
-                gone.add(follow)
-        return block.loc[block.pb.isin(gone), ["b"]].drop_duplicates().rename(columns={"b": "pmid"})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, gone = None, set()
+        for batch in batches:
+            found = []
+            for block, lead, follow, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != now:
+                    now, gone = block, set()
+                if lead not in gone and follow not in gone:
+                    gone.add(follow)
+                    found.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["pmid"])
 
-    return pairs.groupBy("block").applyInPandas(run, "pmid string")
+    rows = pairs.select(F.xxhash64("block").alias("block"), "pa", "pb", "b")
+    return rows.repartition("block").sortWithinPartitions("block", "pa", "pb").mapInArrow(run, "pmid string")
 
 
-def retracted(papers: DataFrame) -> DataFrame:
-    """Papers that were retracted, by their flag or, for want of it, by their publication status."""
+def is_retracted(papers: DataFrame) -> Column:
+    """Whether a paper was retracted, by its flag or, for want of it, by its publication status."""
     if "is_retracted" in papers.columns:
-        return papers.where("is_retracted").select("pmid")
+        return F.col("is_retracted")
     if "publication_status" in papers.columns:
-        return papers.where(F.lower("publication_status").rlike(RETRACTED)).select("pmid")
-    return papers.where("false").select("pmid")
+        return F.lower("publication_status").rlike(RETRACTED)
+    return F.lit(False)
 
 
-def notices(papers: DataFrame) -> DataFrame:
+def is_notice(papers: DataFrame) -> Column:
     if "retraction_of_pmid" not in papers.columns:
-        return papers.where("false").select("pmid")
-    return papers.where("retraction_of_pmid is not null and retraction_of_pmid <> ''").select("pmid")
+        return F.lit(False)
+    return F.col("retraction_of_pmid") != ""
+
+
+def retracted(papers: DataFrame) -> DataFrame:
+    return papers.where(is_retracted(papers)).select("pmid")
+
+
+def notices(papers: DataFrame) -> DataFrame:
+    return papers.where(is_notice(papers)).select("pmid")
+
+
+def _later(key: Column) -> Column:
+    """Whether a row has a key and isn't the first with it; rows without one are dealt out by ``pmid``."""
+    key = F.when(key != "", key)
+    row = F.row_number().over(Window.partitionBy(key, F.when(key.isNull(), F.col("pmid"))).orderBy(POS))
+    return key.isNotNull() & (row > 1)
 
 
 def flag(papers: DataFrame, config: DedupConfig | None = None) -> DataFrame:
-    """(pmid, reason) of all rows to remove, over papers with one row a key; a key may have several reasons."""
+    """(pmid, reason) of all rows to remove, over papers with one row a key; a key may have several reasons.
+
+    The layers before fuzzy matching mark the rows they flag in passing, without a join, and carry only
+    the columns that layers look at.
+    """
     config = config or DedupConfig()
-    flagged = []
-    why = lambda df, reason: df.select("pmid", F.lit(reason).alias("reason"))
+    rows, why = papers, {}
     if config.check_doi:
-        flagged.append(why(doi_copies(papers), "doi_duplicate"))
+        rows, why["doi_duplicate"] = rows.withColumn("__doi", _later(F.col("doi"))), F.col("__doi")
     if config.check_title_fuzzy:
-        flagged.append(why(title_copies(papers), "exact_title_duplicate"))
-        before = flagged[0] if len(flagged) == 1 else flagged[0].union(flagged[1])
-        left = papers.join(before.select("pmid").distinct(), "pmid", "left_anti")
-        flagged.append(why(greedy_followers(fuzzy_pairs(left, config.fuzzy_threshold)), "fuzzy_title_duplicate"))
+        rows = rows.withColumn("__t", normalize_title(F.col("title")))
+        rows, why["exact_title_duplicate"] = rows.withColumn("__exact", _later(F.col("__t"))), F.col("__exact")
+    before = list(why.values())
     if config.remove_retracted:
-        flagged += [why(retracted(papers), "retracted"), why(notices(papers), "retraction_notice")]
-    out = papers.where("false").select("pmid", F.lit("").alias("reason"))
-    for f in flagged:
-        out = out.union(f)
+        why |= {"retracted": is_retracted(papers), "retraction_notice": is_notice(papers)}
+    reasons = F.array_compact(F.array(*[F.when(of, F.lit(reason)) for reason, of in why.items()])) if why else F.array().cast("array<string>")
+    out = rows.select("pmid", F.explode(reasons).alias("reason"))
+    if config.check_title_fuzzy:
+        left = rows.where(F.col("__t") != "")
+        for flagged in before:
+            left = left.where(~flagged)
+        out = out.union(greedy_followers(_pairs(left, config.fuzzy_threshold, "year")).select("pmid", F.lit("fuzzy_title_duplicate")))
     return out
 
 
@@ -122,7 +157,7 @@ def deduplicate(papers: DataFrame, config: DedupConfig | None = None) -> tuple[D
     """(the papers that stay, the flags): the first row of each key, without what any layer flags."""
     one = first_per_key(papers, "pmid")
     flags = flag(one, config)
-    return one.join(flags.select("pmid").distinct(), "pmid", "left_anti"), flags
+    return one.join(flags.select("pmid"), "pmid", "left_anti"), flags
 
 
 def statistics(papers: DataFrame, stay: DataFrame, flags: DataFrame) -> DataFrame:

@@ -88,6 +88,38 @@ def test_layers_equal_the_definition(spark, seed, parts):
     assert found.rows_removed == len(rows) - len(stay) and found.pmid_duplicates == len(rows) - len({r["pmid"] for r in rows})
 
 
+def blocks(spark, many):
+    """Many blocks of four titles that grow, and one large block whose matches fill several batches."""
+    rows = [(f"case {i} of something seen by somebody else somewhere" + "x" * (0, 2, 5, 40)[v], 2001 + i % 3) for i in range(many) for v in range(4)]
+    rows += [("one large block " + "y" * 60 + "z" * (i % 25), None) for i in range(60)]
+    rows = [{"pmid": str(i), "title": t + " " * (i % 2), "doi": f"10.1/{i // 2}" if i % 7 == 0 else "", "year": y, "is_retracted": i % 11 == 0, "retraction_of_pmid": "", "_pos": i} for i, (t, y) in enumerate(rows)]
+    return rows, spark.createDataFrame(rows, "pmid string, title string, doi string, year long, is_retracted boolean, retraction_of_pmid string, _pos long")
+
+
+def test_followers_of_many_blocks_come_of_one_pass_a_task(spark):
+    rows, df = blocks(spark, 100)
+    _, _, fuzzy, _ = brute([{**r, "doi": ""} for r in rows])
+    distinct = df.dropDuplicates(["title"]).drop("doi").join(D.title_copies(df), "pmid", "left_anti")
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = D.greedy_followers(D.fuzzy_pairs(distinct))
+        got = [r.pmid for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert sorted(got) == sorted(fuzzy) and len(fuzzy) > 200
+    assert "FlatMapGroups" not in found._jdf.queryExecution().optimizedPlan().toString()  # a call of Python a block
+
+
+def test_ratio_of_titles_with_common_ends():
+    rng = random.Random(2)
+    for _ in range(200):
+        head, tail, a, b = ("".join(rng.choice("abé ") for _ in range(rng.randint(0, n))) for n in (30, 30, 6, 6))
+        a, b = head + a + tail, head + b + tail
+        if a or b:
+            assert indel_ratio(a, b) == 200.0 * lcs(a, b) / (len(a) + len(b))
+
+
 def test_length_band_is_part_of_the_definition(spark):
     a = "one two three " + "x" * 80
     rows = [("1", a, 0), ("2", a[:-16], 1), ("3", a[:-4] + "yy", 2)]
