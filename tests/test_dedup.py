@@ -111,6 +111,16 @@ def test_followers_of_many_blocks_come_of_one_pass_a_task(spark):
     assert "FlatMapGroups" not in found._jdf.queryExecution().optimizedPlan().toString()  # a call of Python a block
 
 
+def test_layers_read_the_papers_a_fixed_few_times(spark):
+    rows, df = blocks(spark, 20)
+    doi, exact, fuzzy, stay = brute(rows)
+    left, flags = D.deduplicate(df)
+    found = D.statistics(df, left, flags)
+    assert found.first().asDict() == {"pmid_duplicates": 0, "doi_duplicates": len(doi), "fuzzy_duplicates": len(exact) + len(fuzzy), "retracted": sum(r["is_retracted"] for r in rows), "retraction_notices": 0, "rows_removed": len(rows) - len(stay)}
+    reads = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
+    assert reads(flags) <= 3 and reads(left) <= 4 and reads(found) <= 8
+
+
 def test_ratio_of_titles_with_common_ends():
     rng = random.Random(2)
     for _ in range(200):
