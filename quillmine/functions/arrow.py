@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 
 def with_columns(df: DataFrame, source: list[str], added: str, f: Callable[..., tuple]) -> DataFrame:
@@ -14,8 +15,7 @@ def with_columns(df: DataFrame, source: list[str], added: str, f: Callable[...,
     ``added`` is their schema.  Batches stay small, since cells such as XML are wide; all other
     columns pass through as Arrow data, untouched.  Columns of the same names are replaced.
     """
-    spark = df.sparkSession
-    new = spark.createDataFrame([], added).schema
+    new = StructType.fromDDL(added)
     names = [n.name for n in new]
     held = df.drop(*[n for n in names if n not in source])
     keep = [c for c in held.columns if c not in names]

@@ -31,6 +31,8 @@ def indel_ratio(a: str | None, b: str | None) -> float:
     if a == b:
         return 100.0
     size = len(a) + len(b)
+    if a.startswith(b) or b.startswith(a):
+        return 200.0 * min(len(a), len(b)) / size
     same = _shared(a, b)
     a, b = a[same:], b[same:]
     end = _shared(a[::-1], b[::-1])

@@ -121,6 +121,47 @@ def test_layers_read_the_papers_a_fixed_few_times(spark):
     assert reads(flags) <= 3 and reads(left) <= 4 and reads(found) <= 8
 
 
+def scans(frame):
+    """How often the plan that ran reads the rows; exchanges that it uses again are not read twice."""
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Scan ExistingRDD")
+
+
+def test_statistics_come_of_one_pass_and_one_count_of_keys(spark):
+    rows, df = blocks(spark, 20)
+    rows += [{**r, "_pos": r["_pos"] + 1000} for r in rows[:9]]
+    df = spark.createDataFrame(rows, df.schema).repartition(3)
+    _, _, _, stay = brute(rows)
+    left, flags = D.deduplicate(df)
+    found = D.statistics(df, None, flags)
+    got = found.collect()
+    assert got == D.statistics(df, left, flags).collect() and got[0].rows_removed == len(rows) - len(stay) and got[0].pmid_duplicates == 9
+    assert scans(found) == 2
+
+
+def test_rows_removed_follow_from_flags_where_keys_are_null(spark):
+    rows = [(None, "a title", "10.1/1", 0), (None, "a title", "10.1/1", 1), ("1", "a title", "10.1/1", 2), ("2", "A title ", "", 3), ("1", "other", "", 4), ("", None, None, 5)]
+    df = spark.createDataFrame([(k, t, d, 2001, p) for k, t, d, p in rows], "pmid string, title string, doi string, year long, _pos long")
+    left, flags = D.deduplicate(df)
+    got = D.statistics(df, None, flags).collect()
+    assert got == D.statistics(df, left, flags).collect() and got[0].rows_removed == 4
+
+
+@pytest.mark.parametrize("small", [0, 2, 5, 1000])
+def test_small_and_large_blocks_have_the_same_followers(spark, monkeypatch, small):
+    rows, df = blocks(spark, 15)
+    rows = [{**r, "title": r["title"].replace("yy", "éy", i % 5)} for i, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, df.schema).repartition(3)
+    _, _, fuzzy, _ = brute(rows)
+    monkeypatch.setattr(D, "SMALL", small)
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = [r.pmid for r in D.flag(df).where("reason = 'fuzzy_title_duplicate'").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert sorted(got) == sorted(fuzzy) and len(fuzzy) > 30
+
+
 def test_ratio_of_titles_with_common_ends():
     rng = random.Random(2)
     for _ in range(200):

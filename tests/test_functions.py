@@ -54,6 +54,13 @@ def values(spark, f, *rows):
     return [r.v for r in df.select("i", f(*[F.col(n) for n in names]).alias("v")).orderBy("i").collect()]
 
 
+def test_strip_space_takes_all_white_space_of_unicode_and_no_more(spark):
+    space = [chr(i) for i in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    others = [chr(i) for i in (0x1C, 0x1F, 0x180E, 0x200B, 0xFEFF)]
+    texts = [f"{c}\n a{c}b {c}" for c in space + others]
+    assert values(spark, T.strip_space, *[(t,) for t in texts], (" \u3000\n",), (None,)) == [f"a{c}b" for c in space] + [f"{c}\n a{c}b {c}" for c in others] + ["", None]
+
+
 def test_text(spark):
     assert values(spark, T.normalize_doi, (" DOI:10.1/A.",), ("https://dx.doi.org/10.2/b);/ ",), ("10.3/c",), (None,)) == ["10.1/a", "10.2/b", "10.3/c", None]
     assert values(spark, T.normalize_title, ("  A b\t",), ("",)) == ["a b", ""]
