@@ -42,7 +42,7 @@ def normalize_title(title: Column) -> Column:
 def title_block_key(title: Column) -> Column:
     """The first three words of a title, or all of one that has fewer."""
     three = F.regexp_replace(F.regexp_extract(title, r"(?U)^\s*(\S+\s+\S+\s+\S+)", 1), r"(?U)\s+", " ")
-    return F.when(three != "", three).otherwise(title)
+    return F.coalesce(F.nullif(three, F.lit("")), title)
 
 
 def clean_xml(text: Column) -> Column:

@@ -158,7 +158,7 @@ def _followers_in_passing(sized: DataFrame, threshold: float) -> DataFrame:
             yield out.filter(pa.array(follows | (bits.to_numpy() != 0)))
 
     rows = sized.sortWithinPartitions("h", "y", "k", "p").select("nth", "t", F.expr(f"t is not null and size between 2 and {SMALL}").alias("look"), "pmid", "bits")
-    return rows.mapInArrow(run, "pmid string, bits int, follows boolean")
+    return rows.where("look or bits <> 0").mapInArrow(run, "pmid string, bits int, follows boolean")
 
 
 def flag(papers: DataFrame, config: DedupConfig | None = None) -> DataFrame:

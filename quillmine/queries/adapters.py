@@ -78,11 +78,11 @@ STEPS = (0, 2, 5, 40)
 
 def variants(spark: SparkSession, sf: str) -> DataFrame:
     """A customer is four papers of like titles: one of another year, some with copied keys, DOIs and titles,
-    some retracted, some notices of a retraction."""
+    some retracted, some notices of a retraction.  Customers are dealt out first, as a file may be read by one task."""
     v, k = F.col("v"), F.col("c_custkey")
     base = F.concat(F.lit("Case "), k.cast("string"), F.lit(" of "), "country", F.lit(" seen by "), "c_mktsegment")
     grown = F.concat(base, F.repeat(F.lit("x"), F.element_at(F.array(*map(F.lit, STEPS)), v + 1)))
-    rows = residents(spark, sf).select("c_custkey", "country", "c_mktsegment", F.explode(F.array(*map(F.lit, range(4)))).alias("v"))
+    rows = residents(spark, sf).select("c_custkey", "country", "c_mktsegment").repartition("c_custkey").select("*", F.explode(F.array(*map(F.lit, range(4)))).alias("v"))
     return rows.select(
         F.when((k % 17 == 0) & (v == 3), k * 4).otherwise(k * 4 + v).cast("string").alias("pmid"), F.when((k % 5 == 0) & (v == 3), F.concat(F.lit(" "), F.upper(base))).otherwise(grown).alias("title"),
         F.when(k % 7 != 0, F.lit(2001) + F.when(v == 3, 1).otherwise(0)).cast("long").alias("year"), F.when((k % 3 == 0) & v.isin(1, 2), F.concat(F.lit("10.1/"), k.cast("string"))).otherwise("").alias("doi"),
